@@ -46,10 +46,10 @@ def platform_raw(base: DataFrame, top_n: int | None = TOP_PLATFORMS) -> DataFram
     return top_n_per_group(agg, CONTEXT, "doc_count", "platform", top_n)
 
 
-def derive_platform(raw: DataFrame) -> DataFrame:
+def platform_derived_columns() -> list:
+    """Derived platform columns as expressions over the raw bucket aggregates."""
     sent, rec, ren, fail = r2("sent_raw"), F.col("received_raw"), F.col("rendered_raw"), F.col("failed_raw")
-    return raw.select(
-        *_IDS, "platform",
+    return [
         sent.alias("sent"),
         rec.alias("received"), ren.alias("rendered"), fail.alias("failed"),
         rate(rec, sent).alias("receiveRate"),
@@ -57,8 +57,11 @@ def derive_platform(raw: DataFrame) -> DataFrame:
         rate(fail, rec).alias("failureRate"),
         rate(ren, sent).alias("netSuccessRate"),
         r2("avg_render_raw").alias("avgRenderMs"),
-        *_INTERVAL,
-    )
+    ]
+
+
+def derive_platform(raw: DataFrame) -> DataFrame:
+    return raw.select(*_IDS, "platform", *platform_derived_columns(), *_INTERVAL)
 
 
 def platform_metrics(base: DataFrame, top_n: int | None = TOP_PLATFORMS) -> DataFrame:
@@ -217,7 +220,11 @@ def latency_aggregates(base: DataFrame, group_cols: list[str] | None = None,
 def derive_latency_flat(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Flat latency row: receive_p50 ... ack_max, renderDuration_* copied from render."""
     keep = [*_IDS, *_INTERVAL] if keep is None else keep
-    cols = [F.col(c) for c in keep]
+    return raw.select(*keep, *latency_derived_columns())
+
+
+def latency_derived_columns() -> list:
+    cols = []
     for name in LATENCY_SERIES:
         for p in LATENCY_PERCENTS:
             cols.append(r2(f"{name}_p{p}_raw").alias(f"{name}_p{p}"))
@@ -226,7 +233,7 @@ def derive_latency_flat(raw: DataFrame, keep: list[str] | None = None) -> DataFr
     for p in (50, 95, 99):
         cols.append(r2(f"render_p{p}_raw").alias(f"renderDuration_p{p}"))
     cols.append(r2("render_avg_raw").alias("renderDuration_avg"))
-    return raw.select(*cols)
+    return cols
 
 
 def latency_percentiles(base: DataFrame, approx_accuracy: int | None = None) -> DataFrame:

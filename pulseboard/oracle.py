@@ -344,3 +344,25 @@ def timeseries_long(wide: str = "tsr_wide", metrics=None) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT {IDS}, '{m}' AS metric, interval, time, {m} AS value, intervalFrom, intervalTo FROM {wide}"
         for m in metrics)
+
+
+def rt_base(where: str, match_id: str = "", timeline_id: str = "", start: str = "1970-01-01 00:00:00",
+            end: str = "2024-02-01 00:00:00") -> str:
+    """Realtime request context: tenant from the event, literal ids and interval."""
+    return f"""
+rtb AS (
+  SELECT tenant_id AS tenantId, '{match_id}' AS matchId, '{timeline_id}' AS timelineId,
+         TIMESTAMP '{start}' AS intervalFrom, TIMESTAMP '{end}' AS intervalTo, te.*
+  FROM te WHERE tenant_id IS NOT NULL AND {where}
+)"""
+
+
+def rt_funnel_select(src: str = "plat") -> str:
+    return f"""
+SELECT tenantId, sent, received, rendered, failed,
+       {calc_rate('received', 'sent')} AS receiveRate, {calc_rate('rendered', 'received')} AS renderRate,
+       {calc_rate('failed', 'received')} AS failureRate, {calc_rate('rendered', 'sent')} AS netSuccessRate
+FROM (SELECT tenantId, CAST(SUM(CAST(sent AS DECIMAL(38,2))) AS DOUBLE) AS sent,
+             CAST(SUM(received) AS BIGINT) AS received, CAST(SUM(rendered) AS BIGINT) AS rendered,
+             CAST(SUM(failed) AS BIGINT) AS failed
+      FROM {src} GROUP BY tenantId)"""

@@ -194,3 +194,107 @@ for _m in ["sent", "received", "rendered", "failed", "avgRenderMs"]:
           + O.timeseries_long())
 def q_timeseries_hourly(spark, sf_dir):
     return M.timeseries(etl_base(spark, sf_dir, HOURLY))
+
+
+# ------------------------------------------------------------------ realtime
+from pulseboard.operators.predicates import RealtimeQuery  # noqa: E402
+from pulseboard.operators.realtime import Realtime  # noqa: E402
+
+RT_NOW = "2024-02-01T00:00:00Z"
+RT_RANGE = RealtimeQuery(start="2024-01-08T00:00:00Z", end="2024-01-22T00:00:00Z")
+RT_TIMELINES = RealtimeQuery(timeline_ids=("tl-1", "tl-4", "tl-7", "tl-22"), match_id="match-1",
+                             start="2024-01-02T00:00:00Z", end="2024-01-29T00:00:00Z")
+RT_QUESTION = RealtimeQuery(question_id="tl-3", platform="web", match_id="match-3")
+RT_MATCH = RealtimeQuery(match_id="match-2")
+
+_RT_RANGE_SQL = O.rt_base("ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-22 00:00:00'",
+                          start="2024-01-08 00:00:00", end="2024-01-22 00:00:00")
+_RT_TL_SQL = O.rt_base("timeline_id IN ('tl-1', 'tl-4', 'tl-7', 'tl-22') AND ts >= TIMESTAMP '2024-01-02 00:00:00' "
+                       "AND ts < TIMESTAMP '2024-01-29 00:00:00'", match_id="match-1", timeline_id="tl-1",
+                       start="2024-01-02 00:00:00", end="2024-01-29 00:00:00")
+_RT_Q_SQL = O.rt_base("timeline_id IN ('tl-3') AND platform = 'web'", match_id="match-3", timeline_id="tl-3")
+_RT_M_SQL = O.rt_base("media_content_id = 'match-2'", match_id="match-2")
+
+
+def _rt(spark, sf_dir, q):
+    return Realtime(fixture_events(spark, sf_dir), q, None, RT_NOW)
+
+
+@register("realtime_funnel", O.with_(O.FIXTURE_VIEW, _RT_RANGE_SQL, O.platform_cte(src="rtb"))
+          + O.rt_funnel_select())
+def q_rt_funnel(spark, sf_dir):
+    return _rt(spark, sf_dir, RT_RANGE).funnel()
+
+
+@register("realtime_funnel_timelines", O.with_(O.FIXTURE_VIEW, _RT_TL_SQL, O.platform_cte(src="rtb"))
+          + O.rt_funnel_select())
+def q_rt_funnel_tl(spark, sf_dir):
+    return _rt(spark, sf_dir, RT_TIMELINES).funnel()
+
+
+@register("heatmap", O.with_(O.FIXTURE_VIEW, _RT_RANGE_SQL, O.platform_cte(src="rtb"))
+          + "SELECT tenantId, platform, sent, received, rendered, failed FROM plat")
+def q_heatmap(spark, sf_dir):
+    return _rt(spark, sf_dir, RT_RANGE).heatmap()
+
+
+@register("realtime_failures", O.with_(O.FIXTURE_VIEW, _RT_Q_SQL, O.failure_cte(src="rtb"))
+          + "SELECT tenantId, failureReason, failureStep, count, percentOfFailed FROM fail")
+def q_rt_failures(spark, sf_dir):
+    return _rt(spark, sf_dir, RT_QUESTION).failures()
+
+
+@register("realtime_device_os", O.with_(O.FIXTURE_VIEW, _RT_TL_SQL, O.device_cte(src="rtb", dims=[("os", "client_os")]))
+          + "SELECT tenantId, bucketKey AS dimension, received, rendered, failed, renderRate, avgRenderMs FROM dev")
+def q_rt_device(spark, sf_dir):
+    return _rt(spark, sf_dir, RT_TIMELINES).device("os")
+
+
+@register("realtime_device_fallback", O.with_(O.FIXTURE_VIEW, _RT_RANGE_SQL, O.device_cte(src="rtb", dims=[("unsupported-dimension", "browser")]))
+          + "SELECT tenantId, bucketKey AS dimension, received, rendered, failed, renderRate, avgRenderMs FROM dev")
+def q_rt_device_fallback(spark, sf_dir):
+    return _rt(spark, sf_dir, RT_RANGE).device("unsupported-dimension")
+
+
+@register("realtime_transport", O.with_(O.FIXTURE_VIEW, _RT_M_SQL, O.transport_cte(src="rtb"))
+          + "SELECT tenantId, transportMode, count, renderRate, avgRenderMs, p95RenderMs FROM tr")
+def q_rt_transport(spark, sf_dir):
+    return _rt(spark, sf_dir, RT_MATCH).transport()
+
+
+@register("realtime_sdk", O.with_(O.FIXTURE_VIEW, _RT_RANGE_SQL, O.sdk_cte(src="rtb"))
+          + "SELECT tenantId, sdkVersion, count, renderRate, avgRenderMs FROM sdk")
+def q_rt_sdk(spark, sf_dir):
+    return _rt(spark, sf_dir, RT_RANGE).sdk()
+
+
+@register("realtime_timeseries_1m", O.with_(O.FIXTURE_VIEW, _RT_TL_SQL, O.timeseries_cte(src="rtb", interval="1m"))
+          + "SELECT tenantId, time, sent AS value FROM tsr_wide")
+def q_rt_ts_1m(spark, sf_dir):
+    return _rt(spark, sf_dir, RT_TIMELINES).timeseries()
+
+
+@register("realtime_timeseries_1h", O.with_(O.FIXTURE_VIEW, _RT_M_SQL, O.timeseries_cte(src="rtb", interval="1h"))
+          + "SELECT tenantId, time, rendered AS value FROM tsr_wide")
+def q_rt_ts_1h(spark, sf_dir):
+    return _rt(spark, sf_dir, RT_MATCH).timeseries("rendered", "1h")
+
+
+@register("realtime_latency", O.with_(O.FIXTURE_VIEW, _RT_M_SQL, O.latency_cte(src="rtb"))
+          + "SELECT * FROM lat")
+def q_rt_latency(spark, sf_dir):
+    return _rt(spark, sf_dir, RT_MATCH).latency()
+
+
+@register("funnel_debug", O.with_(O.FIXTURE_VIEW, _RT_RANGE_SQL, O.platform_cte(src="rtb"))
+          + "SELECT tenantId, platform, doc_count, sent_raw, received_raw, rendered_raw, failed_raw, avg_render_raw, "
+            "sent, received, rendered, failed, receiveRate, renderRate, failureRate, netSuccessRate, avgRenderMs FROM plat")
+def q_funnel_debug(spark, sf_dir):
+    return _rt(spark, sf_dir, RT_RANGE).funnel_debug()
+
+
+@register("latency_debug", O.with_(O.FIXTURE_VIEW, _RT_TL_SQL, O.latency_cte(src="rtb"))
+          + "SELECT * EXCLUDE (timelineId, matchId, intervalFrom, intervalTo, receive_lst, render_lst, ack_lst) FROM lat_raw JOIN "
+            "(SELECT * EXCLUDE (timelineId, matchId, intervalFrom, intervalTo) FROM lat) USING (tenantId)")
+def q_latency_debug(spark, sf_dir):
+    return _rt(spark, sf_dir, RT_TIMELINES).latency_debug()
