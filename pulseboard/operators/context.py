@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pulseboard.functions.time import bucket_start, interval_micros
 from pulseboard.schema import CONTEXT, DEFAULT_ENVIRONMENT, EVENT_LABELS, EVENT_NUMERICS
 
-EVENT_PAYLOAD = ["ts", *[c for c in EVENT_LABELS if c not in ("tenant_id", "timeline_id", "media_content_id")],
+EVENT_PAYLOAD = ["event_id", "ts", *[c for c in EVENT_LABELS if c not in ("tenant_id", "timeline_id", "media_content_id")],
                  *EVENT_NUMERICS]
 
 

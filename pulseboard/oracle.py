@@ -366,3 +366,128 @@ FROM (SELECT tenantId, CAST(SUM(CAST(sent AS DECIMAL(38,2))) AS DOUBLE) AS sent,
              CAST(SUM(received) AS BIGINT) AS received, CAST(SUM(rendered) AS BIGINT) AS rendered,
              CAST(SUM(failed) AS BIGINT) AS failed
       FROM {src} GROUP BY tenantId)"""
+
+
+# ----------------------------------------------------------------- job-side oracle CTEs
+def job_inputs(now_iso: str = "2024-01-15T10:30:00.000Z") -> str:
+    """targets, tenants, active targets, scheduled jobs, backfill requests, messages."""
+    head = ("'{\"tenantId\":\"' || tenantId || '\",\"matchId\":\"' || matchId || '\",\"timelineId\":\"' "
+            "|| timelineIds[1] || '\"'")
+    variants = [
+        f"{head} || ',\"timeRangeMinutes\":0}}'",
+        "'{\"tenantId\":7,\"matchId\":\"' || matchId || '\",\"timelineId\":\"' || timelineIds[1] || '\",\"timeRangeMinutes\":60}'",
+        f"{head} || ',\"timeRangeMinutes\":60'",
+        f"{head} || ',\"timeRangeMinutes\":5,\"intervalFrom\":\"not-a-date\",\"intervalTo\":\"2024-01-02T00:00:00.000Z\"}}'",
+        f"{head} || ',\"timeRangeMinutes\":5,\"intervalFrom\":\"2024-01-05T00:00:00.000Z\",\"intervalTo\":\"2024-01-04T00:00:00.000Z\"}}'",
+        f"{head} || ',\"timeRangeMinutes\":5,\"intervalFrom\":\"2024-01-05T00:00:00.000Z\"}}'",
+        f"{head} || ',\"timeRangeMinutes\":7.5,\"retryCount\":2,\"origin\":\"backfill\"}}'",
+    ]
+    defects = "\n  UNION ALL ".join(f"SELECT {v} AS value FROM targets" for v in variants)
+    return f"""
+targets AS (
+  SELECT tenant_id AS tenantId, media_content_id AS matchId, list_sort(list(DISTINCT timeline_id)) AS timelineIds,
+         (CAST(regexp_extract(media_content_id, '(\\d+)$', 1) AS INTEGER) % 5) <> 4 AS enabled
+  FROM te WHERE tenant_id IS NOT NULL AND media_content_id IS NOT NULL AND timeline_id IS NOT NULL
+  GROUP BY tenant_id, media_content_id
+),
+tenants AS (
+  SELECT DISTINCT tenant_id AS name, CASE WHEN tenant_id = 'tenant-2' THEN 'INACTIVE' ELSE 'ACTIVE' END AS status
+  FROM te WHERE tenant_id IS NOT NULL
+),
+active_targets AS (
+  SELECT * FROM targets WHERE enabled AND tenantId IN (SELECT name FROM tenants WHERE status = 'ACTIVE')
+),
+sched AS (
+  SELECT tenantId, matchId, UNNEST(timelineIds) AS timelineId, CAST(60 AS DOUBLE) AS timeRangeMinutes,
+         CAST(0 AS BIGINT) AS retryCount, 'scheduled' AS origin, '{now_iso}' AS scheduledAt
+  FROM active_targets
+),
+requests AS (
+  SELECT tenantId, matchId, timelineIds, w.f AS intervalFrom, w.t AS intervalTo,
+         CASE WHEN matchId = 'match-5' THEN 'tenant-0' ELSE tenantId END AS callerTenant,
+         md5(tenantId || '|' || matchId || '|' || w.f || '|' || w.t) AS correlationKey
+  FROM targets, (VALUES ('2024-01-06T00:00:00.000Z', '2024-01-13T00:00:00.000Z'),
+                        ('2024-01-10T00:00:00.000Z', '2024-01-20T00:00:00.000Z'),
+                        ('2024-03-01T00:00:00.000Z', '2024-03-02T00:00:00.000Z')) AS w(f, t)
+),
+backfill AS (
+  SELECT tenantId, matchId, UNNEST(timelineIds) AS timelineId, CAST(5 AS DOUBLE) AS timeRangeMinutes,
+         intervalFrom, intervalTo, CAST(0 AS BIGINT) AS retryCount, 'backfill' AS origin,
+         correlationKey AS correlationId
+  FROM requests WHERE tenantId = callerTenant
+),
+msgs AS (
+  SELECT '{{"version":1,"jobType":"extract-transform-load-metrics","tenantId":"' || tenantId || '","matchId":"'
+         || matchId || '","timelineId":"' || timelineId || '","timeRangeMinutes":60.0,"retryCount":0,'
+         || '"origin":"scheduled","scheduledAt":"{now_iso}"}}' AS value FROM sched
+  UNION ALL {defects}
+)"""
+
+
+def validate_cte(src: str = "msgs", name: str = "val") -> str:
+    # DuckDB may evaluate JSON functions on every row regardless of CASE guards,
+    # so unparseable values are replaced by '{}' before any JSON function runs.
+    ok = "ok"
+
+    def jt(path):
+        return f"json_type(jv, '{path}')"
+
+    def js(path):
+        return f"json_extract_string(jv, '{path}')"
+
+    def sok(k):
+        return f"(COALESCE({jt('$.' + k)} = 'VARCHAR', false) AND COALESCE(length({js('$.' + k)}), 0) > 0)"
+
+    rng = f"TRY_CAST({js('$.timeRangeMinutes')} AS DOUBLE)"
+    rng_ok = (f"(COALESCE({jt('$.timeRangeMinutes')} IN ('UBIGINT', 'BIGINT', 'DOUBLE'), false) AND {rng} IS NOT NULL "
+              f"AND NOT isnan({rng}) AND NOT isinf({rng}) AND {rng} > 0)")
+    f_s, t_s = js("$.intervalFrom"), js("$.intervalTo")
+    f_t = f"CAST(TRY_CAST({f_s} AS TIMESTAMPTZ) AS TIMESTAMP)"
+    t_t = f"CAST(TRY_CAST({t_s} AS TIMESTAMPTZ) AS TIMESTAMP)"
+    explicit = f"({f_s} IS NOT NULL OR {t_s} IS NOT NULL)"
+    err = f"""CASE WHEN NOT {ok} THEN 'Unparseable job message'
+         WHEN NOT ({sok('tenantId')} AND {sok('matchId')} AND {sok('timelineId')} AND {rng_ok})
+           THEN 'Invalid timeline payload: missing tenantId, matchId, timelineId, or timeRangeMinutes'
+         WHEN {f_s} IS NOT NULL AND {f_t} IS NULL THEN 'Missing or invalid job field: intervalFrom'
+         WHEN {t_s} IS NOT NULL AND {t_t} IS NULL THEN 'Missing or invalid job field: intervalTo'
+         WHEN {explicit} AND ({f_t} IS NULL OR {t_t} IS NULL OR {f_t} >= {t_t})
+           THEN 'intervalFrom and intervalTo must both be valid and ordered' END"""
+    return f"""
+{name}_p AS (
+  SELECT value, json_valid(value) AS okv FROM {src}
+),
+{name}_j AS (
+  SELECT value, okv AND json_type(CASE WHEN okv THEN value ELSE 'null' END) = 'OBJECT' AS ok,
+         CASE WHEN okv AND json_type(CASE WHEN okv THEN value ELSE 'null' END) = 'OBJECT'
+              THEN value ELSE '{{}}' END AS jv
+  FROM {name}_p
+),
+{name} AS (
+  SELECT value,
+         COALESCE(TRY_CAST({js('$.version')} AS BIGINT), 1) AS version,
+         COALESCE({js('$.jobType')}, 'extract-transform-load-metrics') AS jobType,
+         {js('$.tenantId')} AS tenantId, {js('$.matchId')} AS matchId, {js('$.timelineId')} AS timelineId,
+         {rng} AS timeRangeMinutes,
+         CASE WHEN {explicit} THEN {f_t} END AS explicitFrom,
+         CASE WHEN {explicit} THEN {t_t} END AS explicitTo,
+         COALESCE(TRY_CAST({js('$.retryCount')} AS BIGINT), 0) AS retryCount,
+         {js('$.origin')} AS origin, {js('$.correlationId')} AS correlationId,
+         ({err}) IS NULL AS is_valid,
+         {err} AS error_message
+  FROM {name}_j
+)"""
+
+
+def align_sql(now_sql_ts: str = "TIMESTAMP '2024-01-15 10:30:00'") -> tuple[str, str]:
+    now_ms = f"CAST(epoch_ms({now_sql_ts}) AS DOUBLE)"
+    rms = "(timeRangeMinutes * 60000.0)"
+    to_ms = f"(floor({now_ms} / {rms}) * {rms})"
+    return (f"epoch_ms(CAST({to_ms} - {rms} AS BIGINT))", f"epoch_ms(CAST({to_ms} AS BIGINT))")
+
+
+def encoded_backfill(src: str = "backfill") -> str:
+    return (f"SELECT '{{\"version\":1,\"jobType\":\"extract-transform-load-metrics\",\"tenantId\":\"' || tenantId "
+            f"|| '\",\"matchId\":\"' || matchId || '\",\"timelineId\":\"' || timelineId "
+            f"|| '\",\"timeRangeMinutes\":5.0,\"intervalFrom\":\"' || intervalFrom || '\",\"intervalTo\":\"' "
+            f"|| intervalTo || '\",\"retryCount\":0,\"origin\":\"backfill\",\"correlationId\":\"' || correlationId "
+            f"|| '\"}}' AS value FROM {src}")

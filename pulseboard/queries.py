@@ -298,3 +298,131 @@ def q_funnel_debug(spark, sf_dir):
             "(SELECT * EXCLUDE (timelineId, matchId, intervalFrom, intervalTo) FROM lat) USING (tenantId)")
 def q_latency_debug(spark, sf_dir):
     return _rt(spark, sf_dir, RT_TIMELINES).latency_debug()
+
+
+# ------------------------------------------------------------------ jobs
+from pulseboard.plans import jobs as JB  # noqa: E402
+from pulseboard.sources import jobs as JS  # noqa: E402
+
+JOB_NOW = "2024-01-15T10:30:00Z"
+_JOB_NOW_SQL = "TIMESTAMP '2024-01-15 10:30:00'"
+_JOBS_SQL = O.with_(O.FIXTURE_VIEW, O.job_inputs())
+_VAL_SQL = O.with_(O.FIXTURE_VIEW, O.job_inputs(), O.validate_cte())
+_AL_FROM, _AL_TO = O.align_sql(_JOB_NOW_SQL)
+
+
+def _validated(spark, sf_dir):
+    return JB.validate_jobs(JS.fixture_job_messages(fixture_events(spark, sf_dir), JOB_NOW))
+
+
+@register("job_expansion", _JOBS_SQL + f"""SELECT tenantId, matchId, timelineId, timeRangeMinutes, retryCount, origin,
+  scheduledAt, {_AL_FROM} AS intervalFrom, {_AL_TO} AS intervalTo FROM sched""")
+def q_job_expansion(spark, sf_dir):
+    ev = fixture_events(spark, sf_dir)
+    jobs = JB.expand_scheduled(JS.fixture_targets(ev), JS.fixture_tenants(ev), JOB_NOW)
+    return JB.resolve_scheduled(jobs, JOB_NOW).drop("explicitFrom", "explicitTo")
+
+
+@register("job_skipped_targets", _JOBS_SQL + """SELECT tenantId, matchId, array_to_string(timelineIds, ',') AS timelineIds
+FROM targets WHERE enabled AND tenantId NOT IN (SELECT name FROM tenants WHERE status = 'ACTIVE')""")
+def q_job_skipped(spark, sf_dir):
+    ev = fixture_events(spark, sf_dir)
+    return JB.skipped_targets(JS.fixture_targets(ev), JS.fixture_tenants(ev)).select(
+        "tenantId", "matchId", F.array_join("timelineIds", ",").alias("timelineIds"))
+
+
+@register("backfill_expansion", _JOBS_SQL + "SELECT * FROM backfill")
+def q_backfill_expansion(spark, sf_dir):
+    req = JS.fixture_backfill_requests(JS.fixture_targets(fixture_events(spark, sf_dir)))
+    return JB.expand_backfill(req, caller_tenant_col="callerTenant", correlation_id="correlationKey")
+
+
+@register("job_validation", _VAL_SQL + "SELECT * FROM val")
+def q_job_validation(spark, sf_dir):
+    return _validated(spark, sf_dir)
+
+
+@register("job_messages", _VAL_SQL + """SELECT tenantId || '|' || matchId || '|' || timelineId AS key, version, jobType,
+  tenantId, matchId, timelineId, timeRangeMinutes, retryCount, origin, correlationId FROM val WHERE is_valid""")
+def q_job_messages(spark, sf_dir):
+    v = _validated(spark, sf_dir).where("is_valid")
+    return v.select(JB.job_key().alias("key"), "version", "jobType", "tenantId", "matchId", "timelineId",
+                    "timeRangeMinutes", "retryCount", "origin", "correlationId")
+
+
+@register("job_dead_letters", _VAL_SQL + """SELECT value, error_message AS errorMessage,
+  TIMESTAMP '2024-01-15 10:30:00' AS failedAt FROM val WHERE NOT is_valid""")
+def q_job_dead_letters(spark, sf_dir):
+    return JB.dead_letters(_validated(spark, sf_dir), JOB_NOW)
+
+
+@register("interval_alignment", _VAL_SQL + f"""SELECT tenantId, matchId, timelineId, timeRangeMinutes,
+  CASE WHEN explicitFrom IS NOT NULL AND explicitTo IS NOT NULL THEN explicitFrom ELSE {_AL_FROM} END AS intervalFrom,
+  CASE WHEN explicitFrom IS NOT NULL AND explicitTo IS NOT NULL THEN explicitTo ELSE {_AL_TO} END AS intervalTo
+FROM val WHERE is_valid""")
+def q_interval_alignment(spark, sf_dir):
+    return JB.valid_jobs(_validated(spark, sf_dir), JOB_NOW).select(
+        "tenantId", "matchId", "timelineId", "timeRangeMinutes", "intervalFrom", "intervalTo")
+
+
+def _backfill_jobs(spark, sf_dir):
+    """K2 -> JSON -> validation (as a consumer would) -> jobs with explicit intervals."""
+    ev = fixture_events(spark, sf_dir)
+    req = JS.fixture_backfill_requests(JS.fixture_targets(ev))
+    jobs = JB.expand_backfill(req, caller_tenant_col="callerTenant", correlation_id="correlationKey")
+    return ev, JB.valid_jobs(JB.validate_jobs(JB.encode_jobs(jobs)))
+
+
+_BF_SQL = O.with_(O.FIXTURE_VIEW, O.job_inputs(), f"bmsgs AS ({O.encoded_backfill()})",
+                  O.validate_cte(src="bmsgs", name="bval"),
+                  """bjobs AS (SELECT DISTINCT tenantId, matchId, timelineId, explicitFrom AS intervalFrom,
+                              explicitTo AS intervalTo FROM bval WHERE is_valid)""",
+                  """jbase AS (SELECT j.tenantId, j.matchId, j.timelineId, j.intervalFrom, j.intervalTo, te.*
+                     FROM te JOIN bjobs j ON te.tenant_id = j.tenantId AND te.timeline_id = j.timelineId
+                      AND te.media_content_id = j.matchId AND te.ts >= j.intervalFrom AND te.ts < j.intervalTo
+                     WHERE te.environment = 'development')""")
+
+
+@register("jobs_join_events", _BF_SQL + """SELECT tenantId, matchId, timelineId, intervalFrom, intervalTo, event_id, ts,
+  stage FROM jbase""")
+def q_jobs_join_events(spark, sf_dir):
+    ev, jobs = _backfill_jobs(spark, sf_dir)
+    return JB.jobs_join_events(jobs, ev).select(
+        "tenantId", "matchId", "timelineId", "intervalFrom", "intervalTo", "event_id", "ts", "stage")
+
+
+@register("jobs_join_events_bucketed", _BF_SQL + """SELECT tenantId, matchId, timelineId, intervalFrom, intervalTo,
+  event_id, ts, stage FROM jbase""")
+def q_jobs_join_events_bucketed(spark, sf_dir):
+    """Same join through the shuffle path (what runs when the job list is too big to broadcast)."""
+    ev, jobs = _backfill_jobs(spark, sf_dir)
+    return JB.jobs_join_events(jobs, ev, broadcast_max_jobs=0).select(
+        "tenantId", "matchId", "timelineId", "intervalFrom", "intervalTo", "event_id", "ts", "stage")
+
+
+_BF_CTES = [O.FIXTURE_VIEW, O.job_inputs(), f"bmsgs AS ({O.encoded_backfill()})",
+             O.validate_cte(src="bmsgs", name="bval"),
+             """bjobs AS (SELECT DISTINCT tenantId, matchId, timelineId, explicitFrom AS intervalFrom,
+                         explicitTo AS intervalTo FROM bval WHERE is_valid)""",
+             """jbase AS (SELECT j.tenantId, j.matchId, j.timelineId, j.intervalFrom, j.intervalTo, te.*
+                FROM te JOIN bjobs j ON te.tenant_id = j.tenantId AND te.timeline_id = j.timelineId
+                 AND te.media_content_id = j.matchId AND te.ts >= j.intervalFrom AND te.ts < j.intervalTo
+                WHERE te.environment = 'development')"""]
+
+
+@register("backfill_platform", O.with_(*_BF_CTES, O.platform_cte(src="jbase")) + f"SELECT {O.PLATFORM_COLS} FROM plat")
+def q_backfill_platform(spark, sf_dir):
+    ev, jobs = _backfill_jobs(spark, sf_dir)
+    return M.platform_metrics(JB.jobs_join_events(jobs, ev))
+
+
+@register("latency_zero_fill", O.with_(*_BF_CTES, O.latency_cte(src="jbase")) + """SELECT j.timelineId, j.matchId,
+  j.tenantId, j.intervalFrom, j.intervalTo, """ + ", ".join(
+    f"COALESCE(l.{c}, 0.0) AS {c}" for c in
+    [f"{n}_{s}" for n, _ in O.LAT_SERIES for s in ["p50", "p75", "p95", "p99", "avg", "max"]]
+    + ["renderDuration_p50", "renderDuration_p95", "renderDuration_p99", "renderDuration_avg"])
+    + """ FROM bjobs j LEFT JOIN lat l ON j.tenantId = l.tenantId AND j.matchId = l.matchId
+  AND j.timelineId = l.timelineId AND j.intervalFrom = l.intervalFrom AND j.intervalTo = l.intervalTo""")
+def q_latency_zero_fill(spark, sf_dir):
+    ev, jobs = _backfill_jobs(spark, sf_dir)
+    return JB.zero_fill_latency(jobs, M.latency_percentiles(JB.jobs_join_events(jobs, ev)))
