@@ -491,3 +491,20 @@ def encoded_backfill(src: str = "backfill") -> str:
             f"|| '\",\"timeRangeMinutes\":5.0,\"intervalFrom\":\"' || intervalFrom || '\",\"intervalTo\":\"' "
             f"|| intervalTo || '\",\"retryCount\":0,\"origin\":\"backfill\",\"correlationId\":\"' || correlationId "
             f"|| '\"}}' AS value FROM {src}")
+
+
+# ----------------------------------------------------------------- store oracle
+def rollup_sql(src: str, cols: list[str], key: list[str], inc: list[str], double_inc: set[str],
+               order: tuple[str, str] = ("intervalFrom", "timelineId")) -> str:
+    part = ", ".join(key)
+    sel = []
+    for c in cols:
+        if c in inc:
+            if c in double_inc:
+                sel.append(f"CAST(SUM(CAST({c} AS DECIMAL(38,2))) OVER (PARTITION BY {part}) AS DOUBLE) AS {c}")
+            else:
+                sel.append(f"CAST(SUM({c}) OVER (PARTITION BY {part}) AS BIGINT) AS {c}")
+        else:
+            sel.append(c)
+    return (f"SELECT {', '.join(cols)} FROM (SELECT {', '.join(sel)}, row_number() OVER (PARTITION BY {part} "
+            f"ORDER BY {order[0]} DESC, {order[1]} DESC) AS _rn FROM {src}) WHERE _rn = 1")

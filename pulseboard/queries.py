@@ -426,3 +426,136 @@ def q_backfill_platform(spark, sf_dir):
 def q_latency_zero_fill(spark, sf_dir):
     ev, jobs = _backfill_jobs(spark, sf_dir)
     return JB.zero_fill_latency(jobs, M.latency_percentiles(JB.jobs_join_events(jobs, ev)))
+
+
+# ------------------------------------------------------------------ store
+from pulseboard.operators.predicates import MetricQuery  # noqa: E402
+from pulseboard.plans import store as ST  # noqa: E402
+from pulseboard.schema import METRIC_META  # noqa: E402
+
+_LAT_FLAT = (["timelineId", "matchId", "tenantId", "intervalFrom", "intervalTo"]
+             + [f"{n}_{s}" for n, _ in O.LAT_SERIES for s in ["p50", "p75", "p95", "p99", "avg", "max"]]
+             + ["renderDuration_p50", "renderDuration_p95", "renderDuration_p99", "renderDuration_avg"])
+_TS_COLS = ["timelineId", "matchId", "tenantId", "metric", "interval", "time", "value", "intervalFrom", "intervalTo"]
+
+# metric type -> (per-job Spark builder, oracle CTEs, oracle per-job relation, columns, double accumulated fields)
+_PER_JOB = {
+    "platform": (M.platform_metrics, [O.platform_cte()], "plat", [c.strip() for c in O.PLATFORM_COLS.split(",")],
+                 {"sent"}),
+    "device": (M.device_breakdown, [O.device_cte()], "dev", [c.strip() for c in DEVICE_COLS.split(",")], set()),
+    "transport": (M.transport_comparison, [O.transport_cte()], "tr", [c.strip() for c in TRANSPORT_COLS.split(",")],
+                  set()),
+    "sdk": (M.sdk_versions, [O.sdk_cte()], "sdk", [c.strip() for c in SDK_COLS.split(",")], set()),
+    "failure": (M.failure_analysis, [O.failure_cte()], "fail", [c.strip() for c in FAILURE_COLS.split(",")], set()),
+    "latency": (M.latency_percentiles, [O.latency_cte()], "lat", _LAT_FLAT, set()),
+    "timeseries": (M.timeseries, [O.timeseries_cte(), f"tsl AS ({O.timeseries_long()})"], "tsl", _TS_COLS,
+                   {"value"}),
+}
+
+
+def _per_job(spark, sf_dir, t, base=None):
+    base = etl_base(spark, sf_dir) if base is None else base
+    return _PER_JOB[t][0](base)
+
+
+def _rollup_oracle(t: str, src_filter: str | None = None) -> tuple[list[str], str]:
+    fn, ctes, rel, cols, dbl = _PER_JOB[t]
+    meta = METRIC_META[t]
+    return ([O.FIXTURE_VIEW, O.grid_base(DAILY), *ctes],
+            O.rollup_sql(rel, cols, list(meta.unique), list(meta.accumulate), dbl))
+
+
+def _match_table(spark, sf_dir, t):
+    return ST.match_rollup(_per_job(spark, sf_dir, t), t)
+
+
+for _t in METRIC_META:
+    _ctes, _sql = _rollup_oracle(_t)
+    register(f"match_rollup_{_t}", O.with_(*_ctes) + _sql)(
+        lambda spark, sf_dir, _tt=_t: _match_table(spark, sf_dir, _tt))
+
+
+@register("match_rollup_platform_recomputed", O.with_(*_rollup_oracle("platform")[0], "mr AS (" + _rollup_oracle("platform")[1] + ")")
+          + f"""SELECT tenantId, matchId, platform, intervalFrom, sent, received, rendered, failed,
+  {O.rate('received', 'sent')} AS receiveRate, {O.rate('rendered', 'received')} AS renderRate,
+  {O.rate('failed', 'received')} AS failureRate, {O.rate('rendered', 'sent')} AS netSuccessRate FROM mr""")
+def q_match_rollup_recomputed(spark, sf_dir):
+    from pulseboard.functions.numeric import rate
+    t = _match_table(spark, sf_dir, "platform")
+    return t.select("tenantId", "matchId", "platform", "intervalFrom", "sent", "received", "rendered", "failed",
+                    rate("received", "sent").alias("receiveRate"), rate("rendered", "received").alias("renderRate"),
+                    rate("failed", "received").alias("failureRate"), rate("rendered", "sent").alias("netSuccessRate"))
+
+
+# Store "as of" 2024-01-20 (events before the cutoff), then a full re-run of every daily job.
+STORE_CUTOFF = "2024-01-20T00:00:00Z"
+_CUT_SQL = "ts < TIMESTAMP '2024-01-20 00:00:00'"
+
+
+def _old_new(spark, sf_dir):
+    ev = fixture_events(spark, sf_dir)
+    old_rows = M.platform_metrics(grid_context(ev.where(F.col("ts") < F.lit("2024-01-20 00:00:00").cast("timestamp")),
+                                               DAILY))
+    new_rows = M.platform_metrics(grid_context(ev, DAILY))
+    return old_rows, new_rows
+
+
+_PCOLS = [c.strip() for c in O.PLATFORM_COLS.split(",")]
+_UPSERT_CTES = [O.FIXTURE_VIEW, O.grid_base(DAILY), O.platform_cte(name="pnew"),
+                f"obase AS (SELECT * FROM base WHERE {_CUT_SQL})", O.platform_cte(name="pold", src="obase"),
+                "oldt AS (" + O.rollup_sql("pold", _PCOLS, list(METRIC_META['platform'].unique),
+                                           list(METRIC_META['platform'].accumulate), {"sent"}) + ")",
+                "newt AS (" + O.rollup_sql("pnew", _PCOLS, list(METRIC_META['platform'].unique),
+                                           list(METRIC_META['platform'].accumulate), {"sent"}) + ")"]
+
+
+def _upsert_select() -> str:
+    key = list(METRIC_META["platform"].unique)
+    inc = list(METRIC_META["platform"].accumulate)
+    sel = []
+    for c in _PCOLS:
+        if c in key:
+            sel.append(f"COALESCE(n.{c}, o.{c}) AS {c}")
+        elif c in inc:
+            sel.append(f"COALESCE(o.{c}, 0) + COALESCE(n.{c}, 0) AS {c}")
+        else:
+            sel.append(f"CASE WHEN n.tenantId IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}")
+    on = " AND ".join(f"o.{k} = n.{k}" for k in key)
+    return f"SELECT {', '.join(sel)} FROM oldt o FULL OUTER JOIN newt n ON {on}"
+
+
+@register("accumulate_upsert", O.with_(*_UPSERT_CTES) + _upsert_select())
+def q_accumulate_upsert(spark, sf_dir):
+    old_rows, new_rows = _old_new(spark, sf_dir)
+    return ST.upsert(ST.match_rollup(old_rows, "platform"), new_rows, "platform")
+
+
+@register("idempotent_upsert", O.with_(*_UPSERT_CTES) + "SELECT * FROM newt")
+def q_idempotent_upsert(spark, sf_dir):
+    old_rows, new_rows = _old_new(spark, sf_dir)
+    return ST.idempotent_upsert(old_rows, new_rows, "platform")
+
+
+READ_Q = MetricQuery(tenant_id="tenant-0", start="2024-01-05T00:00:00Z", end="2024-01-25T00:00:00Z")
+READ_Q_MATCH = MetricQuery(tenant_id="tenant-1", match_id="match-1", timeline_ids=("tl-7", "tl-13"))
+_READ_SQL = ("tenantId = 'tenant-0' AND intervalFrom >= TIMESTAMP '2024-01-05 00:00:00' "
+             "AND intervalFrom <= TIMESTAMP '2024-01-25 00:00:00'")
+_READ_SQL_M = "tenantId = 'tenant-1' AND matchId = 'match-1' AND timelineId IN ('tl-7', 'tl-13')"
+
+for _t in METRIC_META:
+    _ctes, _sql = _rollup_oracle(_t)
+    register(f"read_{_t}", O.with_(*_ctes, f"mt AS ({_sql})") + f"SELECT * FROM mt WHERE {_READ_SQL}")(
+        lambda spark, sf_dir, _tt=_t: ST.read_metric(_match_table(spark, sf_dir, _tt), _tt, READ_Q))
+
+_ctes, _sql = _rollup_oracle("platform")
+register("read_platform_match", O.with_(*_ctes, f"mt AS ({_sql})") + f"SELECT * FROM mt WHERE {_READ_SQL_M}")(
+    lambda spark, sf_dir: ST.read_metric(_match_table(spark, sf_dir, "platform"), "platform", READ_Q_MATCH))
+_ctes, _sql = _rollup_oracle("timeseries")
+register("read_timeseries_metric", O.with_(*_ctes, f"mt AS ({_sql})")
+         + f"SELECT * FROM mt WHERE {_READ_SQL} AND metric = 'failed'")(
+    lambda spark, sf_dir: ST.read_metric(_match_table(spark, sf_dir, "timeseries"), "timeseries", READ_Q, "failed"))
+
+RETENTION_NOW = "2024-04-15T00:00:00Z"
+register("retention_prune", O.with_(*_ctes, f"mt AS ({_sql})")
+         + "SELECT * FROM mt WHERE intervalFrom >= TIMESTAMP '2024-01-16 00:00:00'")(
+    lambda spark, sf_dir: ST.retention_prune(_match_table(spark, sf_dir, "timeseries"), RETENTION_NOW))
