@@ -559,3 +559,45 @@ RETENTION_NOW = "2024-04-15T00:00:00Z"
 register("retention_prune", O.with_(*_ctes, f"mt AS ({_sql})")
          + "SELECT * FROM mt WHERE intervalFrom >= TIMESTAMP '2024-01-16 00:00:00'")(
     lambda spark, sf_dir: ST.retention_prune(_match_table(spark, sf_dir, "timeseries"), RETENTION_NOW))
+
+
+# ------------------------------------------------------------------ A16 match funnel
+from pulseboard.operators import match_funnel as MF  # noqa: E402
+
+
+def _etl_events(spark, sf_dir):
+    return fixture_events(spark, sf_dir).where(F.col("environment") == "development")
+
+
+_MF_CTE = """
+mq AS (
+  SELECT tenant_id AS tenantId, media_content_id AS matchId, timeline_id AS timelineId,
+         CAST(SUM(CAST(CASE WHEN stage = 'sent' THEN room_size END AS DECIMAL(18,6))) AS DOUBLE) AS _sent,
+         COUNT(*) FILTER (WHERE stage = 'received') AS received,
+         COUNT(*) FILTER (WHERE stage = 'rendered') AS rendered,
+         COUNT(*) FILTER (WHERE stage = 'render-failed') AS failed,
+         COUNT(*) AS doc_count
+  FROM te WHERE environment = 'development' AND media_content_id IS NOT NULL AND timeline_id IS NOT NULL
+  GROUP BY tenant_id, media_content_id, timeline_id
+)"""
+
+
+@register("match_funnel", O.with_(O.FIXTURE_VIEW, _MF_CTE) + f"""SELECT tenantId, matchId, {O.r2('_sent')} AS sent,
+  received, rendered, failed, {O.rate('received', O.r2('_sent'))} AS receiveRate,
+  {O.rate('rendered', 'received')} AS renderRate, {O.rate('failed', 'received')} AS failureRate,
+  {O.rate('rendered', O.r2('_sent'))} AS netSuccessRate, questionCount
+FROM (SELECT tenantId, matchId, CAST(SUM(CAST(_sent AS DECIMAL(38,6))) AS DOUBLE) AS _sent,
+             CAST(SUM(received) AS BIGINT) AS received, CAST(SUM(rendered) AS BIGINT) AS rendered,
+             CAST(SUM(failed) AS BIGINT) AS failed, CAST(LEAST(COUNT(*), 500) AS BIGINT) AS questionCount
+      FROM mq GROUP BY tenantId, matchId)""")
+def q_match_funnel(spark, sf_dir):
+    return MF.match_funnel(_etl_events(spark, sf_dir))
+
+
+@register("match_funnel_questions", O.with_(O.FIXTURE_VIEW, _MF_CTE) + f"""SELECT tenantId, matchId, timelineId,
+  {O.r2('_sent')} AS sent, received, rendered, failed, {O.rate('received', O.r2('_sent'))} AS receiveRate,
+  {O.rate('rendered', 'received')} AS renderRate
+FROM (SELECT *, row_number() OVER (PARTITION BY tenantId, matchId ORDER BY doc_count DESC, timelineId) AS rk FROM mq)
+WHERE rk <= 500""")
+def q_match_funnel_questions(spark, sf_dir):
+    return MF.match_funnel_questions(_etl_events(spark, sf_dir))
