@@ -33,16 +33,21 @@ def _exact_sum(x):
 
 
 # ---------------------------------------------------------------- A3 platform
-def platform_raw(base: DataFrame, top_n: int | None = TOP_PLATFORMS) -> DataFrame:
-    """Bucket-level aggregates before derivation (what the store returns)."""
-    agg = base.groupBy(*CONTEXT, key_or_unknown("platform").alias("platform")).agg(
+def platform_aggregations() -> list:
+    """Raw per-bucket aggregates of the platform table (shared by batch and streaming)."""
+    return [
         _exact_sum(F.when(stage_is(STAGE_SENT), F.col("room_size"))).alias("sent_raw"),
         _count_stage(STAGE_RECEIVED).alias("received_raw"),
         _count_stage(STAGE_RENDERED).alias("rendered_raw"),
         _count_stage(STAGE_FAILED).alias("failed_raw"),
         exact_avg(F.when(stage_is(STAGE_RENDERED), F.col("render_duration_ms"))).alias("avg_render_raw"),
         F.count(F.lit(1)).alias("doc_count"),
-    )
+    ]
+
+
+def platform_raw(base: DataFrame, top_n: int | None = TOP_PLATFORMS) -> DataFrame:
+    """Bucket-level aggregates before derivation (what the store returns)."""
+    agg = base.groupBy(*CONTEXT, key_or_unknown("platform").alias("platform")).agg(*platform_aggregations())
     return top_n_per_group(agg, CONTEXT, "doc_count", "platform", top_n)
 
 
@@ -262,12 +267,20 @@ def timeseries_wide(base: DataFrame, interval: str = ETL_TIMESERIES_INTERVAL) ->
     step = parse_interval(interval)
     us = F.unix_micros("ts")
     agg = (base.withColumn("_b", us - F.pmod(us, F.lit(step)))
-           .groupBy(*CONTEXT, "_b").agg(
-               _exact_sum(F.col("room_size")).alias("_sent"),
-               _count_stage(STAGE_RECEIVED).alias("_received"),
-               _count_stage(STAGE_RENDERED).alias("_rendered"),
-               _count_stage(STAGE_FAILED).alias("_failed"),
-               exact_avg(F.col("render_duration_ms")).alias("_avg")))
+           .groupBy(*CONTEXT, "_b").agg(*timeseries_aggregations()))
+    return fill_gaps(agg, step, interval)
+
+
+def timeseries_aggregations() -> list:
+    return [_exact_sum(F.col("room_size")).alias("_sent"),
+            _count_stage(STAGE_RECEIVED).alias("_received"),
+            _count_stage(STAGE_RENDERED).alias("_rendered"),
+            _count_stage(STAGE_FAILED).alias("_failed"),
+            exact_avg(F.col("render_duration_ms")).alias("_avg")]
+
+
+def fill_gaps(agg: DataFrame, step: int, interval: str) -> DataFrame:
+    """Non-empty bucket rows (CONTEXT, ``_b`` epoch micros, raw measures) -> gap-filled wide rows."""
     nxt = F.lead("_b").over(Window.partitionBy(*CONTEXT).orderBy("_b"))
     with_next = agg.withColumn("_last", F.coalesce(nxt - F.lit(step), F.col("_b")))
     filled = with_next.select("*", F.posexplode(F.sequence(F.col("_b"), F.col("_last"), F.lit(step)))
@@ -291,11 +304,25 @@ def timeseries_wide(base: DataFrame, interval: str = ETL_TIMESERIES_INTERVAL) ->
 def timeseries(base: DataFrame, metrics: list[str] | None = None,
                interval: str = ETL_TIMESERIES_INTERVAL) -> DataFrame:
     """Long format (metric, interval, time, value); all five metrics in one pass."""
+    metrics = _check_metrics(metrics)
+    return timeseries_long(timeseries_wide(base, interval), metrics)
+
+
+def _check_metrics(metrics: list[str] | None) -> list[str]:
     metrics = list(TIMESERIES_METRICS) if metrics is None else list(metrics)
     for m in metrics:
         if m not in TIMESERIES_METRICS:
             raise ValueError(f"Unsupported timeseries metric: {m}")
-    wide = timeseries_wide(base, interval)
+    return metrics
+
+
+def timeseries_from_buckets(buckets: DataFrame, interval: str = ETL_TIMESERIES_INTERVAL,
+                            metrics: list[str] | None = None) -> DataFrame:
+    """Long timeseries from stored non-empty bucket rows (e.g. written by a stream)."""
+    return timeseries_long(fill_gaps(buckets, parse_interval(interval), interval), _check_metrics(metrics))
+
+
+def timeseries_long(wide: DataFrame, metrics: list[str]) -> DataFrame:
     ids = [*_IDS, "interval", "time", *_INTERVAL]
     if len(metrics) == 1:
         return wide.select(*_IDS, F.lit(metrics[0]).alias("metric"), "interval", "time",

@@ -95,12 +95,21 @@ def contribution_key(metric_type: str) -> list[str]:
     return key + [c for c in ("timelineId", "intervalFrom") if c not in key]
 
 
-def replace_contributions(old_contrib: DataFrame | None, new: DataFrame, metric_type: str) -> DataFrame:
-    """Idempotent mode: a job's rows replace its previous rows (rerun-safe)."""
+def replace_contributions(old_contrib: DataFrame | None, new: DataFrame, metric_type: str,
+                          by: str = "job") -> DataFrame:
+    """Idempotent mode: new rows replace old ones (rerun-safe).
+
+    ``by='job'``: a batch run recomputes whole jobs, so all old rows of those jobs
+    go (a bucket that disappeared disappears).  ``by='row'``: a streaming update
+    carries only the changed buckets, so only rows with the same contribution
+    key are replaced.
+    """
     if old_contrib is None:
         return new
-    jobs = new.select("tenantId", "matchId", "timelineId", "intervalFrom").distinct()
-    kept = old_contrib.join(jobs, ["tenantId", "matchId", "timelineId", "intervalFrom"], "left_anti")
+    keys = (["tenantId", "matchId", "timelineId", "intervalFrom"] if by == "job"
+            else contribution_key(metric_type))
+    gone = new.select(*keys).distinct()
+    kept = old_contrib.join(gone, keys, "left_anti")
     return kept.unionByName(new)
 
 
@@ -149,7 +158,8 @@ def read_partitions(spark: SparkSession, path: str, touched: DataFrame) -> DataF
 
 
 def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: str,
-                 mode: str = "idempotent", now: datetime | str | None = None) -> DataFrame:
+                 mode: str = "idempotent", now: datetime | str | None = None,
+                 replace_by: str = "job") -> DataFrame:
     """Merge ``new`` per-job rows into the table at ``path``; rewrite only touched partitions.
 
     ``mode='idempotent'`` keeps a contribution table next to it (one row per job
@@ -163,7 +173,8 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: st
     touched = new.select("tenantId", partition_day(metric_type)).distinct()
     if mode == "idempotent":
         cpath = path.rstrip("/") + "_contrib"
-        contrib = cut_lineage(replace_contributions(read_partitions(spark, cpath, touched), new, metric_type))
+        contrib = cut_lineage(replace_contributions(read_partitions(spark, cpath, touched), new, metric_type,
+                                                    by=replace_by))
         write_table(contrib, cpath, metric_type)
         merged = cut_lineage(match_rollup(contrib, metric_type))
     elif mode == "accumulate":

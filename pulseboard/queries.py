@@ -601,3 +601,43 @@ FROM (SELECT *, row_number() OVER (PARTITION BY tenantId, matchId ORDER BY doc_c
 WHERE rk <= 500""")
 def q_match_funnel_questions(spark, sf_dir):
     return MF.match_funnel_questions(_etl_events(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ streaming (ST1-ST4)
+import uuid  # noqa: E402
+
+from pulseboard.session import ensure_checkpoint_dir  # noqa: E402
+from pulseboard.sources.events import fixture_event_stream  # noqa: E402
+from pulseboard.streaming import sinks as SK  # noqa: E402
+from pulseboard.streaming import windowed as SW  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder below the session's (shared) checkpoint directory."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("stream_platform_hourly", ORACLES["platform_metrics_hourly"])
+def q_stream_platform(spark, sf_dir):
+    root = _scratch(spark, "stream-platform")
+    stream = SW.stream_platform_metrics(fixture_event_stream(spark, sf_dir), minutes=HOURLY)
+    SK.run_available_now(stream, SK.metric_upsert_sink(f"{root}/platform", "platform"), f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/platform_contrib").select(*[c.strip() for c in O.PLATFORM_COLS.split(",")])
+
+
+@register("stream_timeseries_hourly_jobs", ORACLES["timeseries_hourly_jobs"])
+def q_stream_timeseries(spark, sf_dir):
+    root = _scratch(spark, "stream-timeseries")
+    stream = SW.stream_timeseries_buckets(fixture_event_stream(spark, sf_dir), job_minutes=HOURLY)
+    SK.run_available_now(stream, SK.buckets_sink(f"{root}/buckets"), f"{root}/_checkpoint")
+    return M.timeseries_from_buckets(spark.read.parquet(f"{root}/buckets").drop("intervalDate"))
+
+
+@register("stream_job_dead_letters", ORACLES["job_dead_letters"])
+def q_stream_job_dlq(spark, sf_dir):
+    root = _scratch(spark, "stream-jobs")
+    JS.fixture_job_messages(fixture_events(spark, sf_dir), JOB_NOW).write.text(f"{root}/messages")
+    msgs = spark.readStream.schema("value string").text(f"{root}/messages")
+    SK.run_available_now(msgs, SK.job_validation_sink(f"{root}/jobs", f"{root}/dlq", JOB_NOW),
+                         f"{root}/_checkpoint", output_mode="append")
+    return spark.read.parquet(f"{root}/dlq").select("value", "errorMessage", "failedAt")

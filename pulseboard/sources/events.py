@@ -71,7 +71,22 @@ STEP_BY_ID4 = {0: "load-overlay", 1: "render-overlay", 2: "ack-event", 3: "schem
 
 def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat tracking events derived from ``{sf_dir}/events.parquet``."""
-    ev = read_table(spark, sf_dir, "events")
+    return map_fixture_events(read_table(spark, sf_dir, "events"))
+
+
+def fixture_event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The same mapping over a file stream of the driver's ``events`` table."""
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    # a file stream watches a directory: keep only the events file of the folder
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return map_fixture_events(reader.parquet(sf_dir))
+
+
+def map_fixture_events(ev: DataFrame) -> DataFrame:
+    """Pure projection (works on batch and streaming frames)."""
     eid, uid, et = F.col("event_id"), F.col("user_id"), F.col("event_type")
     k = F.get_json_object("props", "$.k").cast("int")
     stage = None
