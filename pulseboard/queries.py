@@ -641,3 +641,21 @@ def q_stream_job_dlq(spark, sf_dir):
     SK.run_available_now(msgs, SK.job_validation_sink(f"{root}/jobs", f"{root}/dlq", JOB_NOW),
                          f"{root}/_checkpoint", output_mode="append")
     return spark.read.parquet(f"{root}/dlq").select("value", "errorMessage", "failedAt")
+
+
+# ------------------------------------------------------------------ A18 all metrics in one run
+from pulseboard.plans import etl as ETL  # noqa: E402
+
+
+@register("all_metrics_store", " UNION ALL ".join(
+    f"SELECT '{_t}' AS metric, CAST(COUNT(*) AS BIGINT) AS rows FROM ("
+    + O.with_(*_rollup_oracle(_t)[0]) + _rollup_oracle(_t)[1] + ")" for _t in METRIC_META))
+def q_all_metrics_store(spark, sf_dir):
+    """Run all seven metrics into a fresh store (idempotent mode) and report rows per table."""
+    root = _scratch(spark, "store")
+    ETL.run_all(spark, etl_base(spark, sf_dir), root)
+    parts = [spark.read.parquet(f"{root}/{t}").select(F.lit(t).alias("metric")) for t in METRIC_META]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("metric").agg(F.count(F.lit(1)).alias("rows"))

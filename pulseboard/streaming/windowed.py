@@ -21,8 +21,9 @@ from pulseboard.functions.time import parse_interval
 from pulseboard.operators import metrics as M
 from pulseboard.schema import DEFAULT_ENVIRONMENT
 
-_IDS = [F.col("tenant_id").alias("tenantId"), F.col("media_content_id").alias("matchId"),
-        F.col("timeline_id").alias("timelineId")]
+def _ids() -> list:
+    return [F.col("tenant_id").alias("tenantId"), F.col("media_content_id").alias("matchId"),
+            F.col("timeline_id").alias("timelineId")]
 
 
 def _job_events(events: DataFrame, environment: str | None, watermark: str) -> DataFrame:
@@ -38,7 +39,7 @@ def stream_platform_metrics(events: DataFrame, minutes: int = 60, watermark: str
                             environment: str | None = DEFAULT_ENVIRONMENT) -> DataFrame:
     """A3 per (tenant, match, timeline, event-time window, platform) on a stream."""
     ev = _job_events(events, environment, watermark)
-    agg = ev.groupBy(F.window("ts", f"{minutes} minutes").alias("w"), *_IDS,
+    agg = ev.groupBy(F.window("ts", f"{minutes} minutes").alias("w"), *_ids(),
                      key_or_unknown("platform").alias("platform")).agg(*M.platform_aggregations())
     raw = agg.select(F.col("w.start").alias("intervalFrom"), F.col("w.end").alias("intervalTo"),
                      "tenantId", "matchId", "timelineId", "platform", "sent_raw", "received_raw",
@@ -62,7 +63,7 @@ def stream_timeseries_buckets(events: DataFrame, job_minutes: int = 60, interval
     ev = _job_events(events, environment, watermark)
     us = F.unix_micros("ts")
     job_start = us - F.pmod(us, F.lit(job_step))
-    agg = ev.groupBy(F.window("ts", f"{step // 1_000_000} seconds").alias("w"), *_IDS,
+    agg = ev.groupBy(F.window("ts", f"{step // 1_000_000} seconds").alias("w"), *_ids(),
                      F.timestamp_micros(job_start).alias("intervalFrom"),
                      F.timestamp_micros(job_start + F.lit(job_step)).alias("intervalTo")
                      ).agg(*M.timeseries_aggregations())
