@@ -29,17 +29,17 @@ class MetricRunError(RuntimeError):
         super().__init__("failed metrics: " + ", ".join(sorted(failures)))
 
 
+def metric_frame(name: str, fn: MetricFn, base: DataFrame, jobs: DataFrame | None = None) -> DataFrame:
+    """Lazy per-job rows of one metric (with ``jobs``, latency gets zero rows for empty jobs)."""
+    if name == "latency" and jobs is not None:
+        return M.latency_nested(JB.zero_fill_latency(jobs, M.latency_percentiles(base)))
+    return fn(base)
+
+
 def metric_frames(base: DataFrame, registry: dict[str, MetricFn] | None = None,
                   jobs: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Lazy per-job rows of every registered metric (``jobs`` adds zero latency rows)."""
     registry = M.METRIC_FUNCTIONS if registry is None else registry
-    out = {}
-    for name, fn in registry.items():
-        if name == "latency" and jobs is not None:
-            out[name] = M.latency_nested(JB.zero_fill_latency(jobs, M.latency_percentiles(base)))
-        else:
-            out[name] = fn(base)
-    return out
+    return {name: metric_frame(name, fn, base, jobs) for name, fn in registry.items()}
 
 
 def run_all(spark: SparkSession, base: DataFrame, store_root: str, mode: str = "idempotent",
@@ -54,20 +54,21 @@ def run_all(spark: SparkSession, base: DataFrame, store_root: str, mode: str = "
     """
     if persist_base:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    frames = metric_frames(base, registry, jobs)
+    registry = M.METRIC_FUNCTIONS if registry is None else registry
     failures: dict[str, str] = {}
     results: dict[str, DataFrame] = {}
 
     def one(name: str):
         try:
-            results[name] = ST.upsert_table(spark, f"{store_root.rstrip('/')}/{name}", frames[name], name,
+            rows = metric_frame(name, registry[name], base, jobs)
+            results[name] = ST.upsert_table(spark, f"{store_root.rstrip('/')}/{name}", rows, name,
                                             mode=mode, now=now)
         except Exception as e:  # noqa: BLE001 - isolate one metric's failure from the others
             failures[name] = f"{type(e).__name__}: {e}"
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            list(pool.map(one, frames))
+            list(pool.map(one, registry))
     finally:
         if persist_base:
             base.unpersist()

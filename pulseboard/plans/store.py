@@ -110,7 +110,7 @@ def replace_contributions(old_contrib: DataFrame | None, new: DataFrame, metric_
             else contribution_key(metric_type))
     gone = new.select(*keys).distinct()
     kept = old_contrib.join(gone, keys, "left_anti")
-    return kept.unionByName(new)
+    return kept.select(*new.columns).unionByName(new)
 
 
 def idempotent_upsert(old_contrib: DataFrame | None, new: DataFrame, metric_type: str) -> DataFrame:
@@ -145,7 +145,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def read_partitions(spark: SparkSession, path: str, touched: DataFrame) -> DataFrame | None:
+def read_partitions(spark: SparkSession, path: str, touched: DataFrame,
+                    like: DataFrame | None = None) -> DataFrame | None:
     """Rows of the (tenantId, intervalDate) partitions listed in ``touched`` only.
 
     The semi join on partition columns lets dynamic partition pruning skip every
@@ -153,7 +154,11 @@ def read_partitions(spark: SparkSession, path: str, touched: DataFrame) -> DataF
     """
     if not _exists(spark, path):
         return None
-    return (spark.read.parquet(path).join(touched, ["tenantId", "intervalDate"], "left_semi")
+    # the schema is given (not inferred): a table written from zero rows has no files
+    schema = T.StructType([*like.schema.fields, T.StructField("intervalDate", T.DateType())]) \
+        if like is not None else None
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return (reader.parquet(path).join(touched, ["tenantId", "intervalDate"], "left_semi")
             .drop("intervalDate"))
 
 
@@ -173,18 +178,26 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: st
     touched = new.select("tenantId", partition_day(metric_type)).distinct()
     if mode == "idempotent":
         cpath = path.rstrip("/") + "_contrib"
-        contrib = cut_lineage(replace_contributions(read_partitions(spark, cpath, touched), new, metric_type,
+        contrib = cut_lineage(replace_contributions(read_partitions(spark, cpath, touched, new), new, metric_type,
                                                     by=replace_by))
         write_table(contrib, cpath, metric_type)
         merged = cut_lineage(match_rollup(contrib, metric_type))
     elif mode == "accumulate":
-        merged = cut_lineage(upsert(read_partitions(spark, path, touched), new, metric_type, now))
+        merged = cut_lineage(upsert(read_partitions(spark, path, touched, _stored_like(new, metric_type, now)),
+                                     new, metric_type, now))
     else:
         raise ValueError(f"unknown upsert mode {mode!r}")
     write_table(merged, path, metric_type)
     return merged
 
 
+def _stored_like(new: DataFrame, metric_type: str, now) -> DataFrame:
+    """Schema of the stored table for ``new`` rows (adds the audit timestamps when kept)."""
+    if now is None:
+        return new
+    return new.withColumns({"createdAt": F.lit(None).cast("timestamp"), "updatedAt": F.lit(None).cast("timestamp")})
+
+
 # ------------------------------------------------------------------ reads
 def read_metric(table: DataFrame, metric_type: str, q: MetricQuery, metric: str | None = None) -> DataFrame:
     """Stored-metric read: tenant / match / timelines IN / closed intervalFrom range

@@ -48,7 +48,7 @@ def buckets_sink(path: str):
         spark = batch.sparkSession
         new = batch.withColumn("intervalDate", F.to_date("intervalFrom"))
         touched = new.select("tenantId", "intervalDate").distinct()
-        old = ST.read_partitions(spark, path, touched)
+        old = ST.read_partitions(spark, path, touched, batch)
         merged = new.drop("intervalDate")
         if old is not None:
             merged = old.join(merged.select(*keys), keys, "left_anti").unionByName(merged)
