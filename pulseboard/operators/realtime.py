@@ -97,8 +97,9 @@ class Realtime:
         return ts.select(*self.keys, "time", "value")
 
     # latency view: one row (per tenant), zeros when empty
-    def latency(self) -> DataFrame:
-        raw = M.latency_aggregates(self.base, group_cols=self.keys)
+    def latency(self, approx_accuracy: int | None = None) -> DataFrame:
+        """``approx_accuracy``: bounded-memory sketch for very large request ranges."""
+        raw = M.latency_aggregates(self.base, group_cols=self.keys, approx_accuracy=approx_accuracy)
         tenant = F.col("tenantId") if self.keys else F.lit(self.tenant_id).alias("tenantId")
         return raw.select(F.lit(self.q.context_timeline()).alias("timelineId"),
                           F.lit(self.q.match_id or "").alias("matchId"), tenant,

@@ -162,6 +162,22 @@ def read_partitions(spark: SparkSession, path: str, touched: DataFrame,
             .drop("intervalDate"))
 
 
+def require_keys(rows: DataFrame, metric_type: str) -> DataFrame:
+    """A row with a null unique field fails the write (as the reference's upsert does).
+
+    Lazy: ``raise_error`` fires inside the write's tasks, no extra pass over the data.
+    """
+    key = METRIC_META[metric_type].unique
+    missing = None
+    for k in key:
+        cond = F.col(k).isNull()
+        missing = cond if missing is None else (missing | cond)
+    msg = F.concat(F.lit(f"Missing unique field required for {metric_type} upsert: "),
+                   F.concat_ws(",", *[F.when(F.col(k).isNull(), F.lit(k)) for k in key]))
+    # the filter keeps every row; evaluating it raises on the first row without a key
+    return rows.where(F.coalesce(F.when(missing, F.raise_error(msg)).cast("boolean"), F.lit(True)))
+
+
 def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: str,
                  mode: str = "idempotent", now: datetime | str | None = None,
                  replace_by: str = "job") -> DataFrame:
@@ -175,6 +191,7 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: st
     shared checkpoint dir) before the overwrite, so the write never reads the
     partitions it replaces and a lost executor cannot lose them.
     """
+    new = require_keys(new, metric_type)
     touched = new.select("tenantId", partition_day(metric_type)).distinct()
     if mode == "idempotent":
         cpath = path.rstrip("/") + "_contrib"
