@@ -18,9 +18,31 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Each function accepts Columns, or SQL expression text (a column name is one).
+# With text the whole expression is built by one ``F.expr`` call, which keeps
+# plan construction cheap for the many derived columns of a metric row.
+
+def r2_sql(x: str) -> str:
+    d = f"CAST(({x}) AS DOUBLE)"
+    return (f"(CASE WHEN {d} IS NULL OR isnan({d}) OR abs({d}) = CAST('Infinity' AS DOUBLE) THEN 0D "
+            f"ELSE floor({d} * 100 + 0.5) / 100 END)")
+
+
+def rate_sql(n: str, d: str) -> str:
+    dd = f"CAST(({d}) AS DOUBLE)"
+    return f"(CASE WHEN {dd} > 0 THEN {r2_sql(f'CAST(({n}) AS DOUBLE) / {dd} * 100')} ELSE 0D END)"
+
+
+def calc_rate_sql(n: str, d: str) -> str:
+    dd = f"CAST(({d}) AS DOUBLE)"
+    return f"(CASE WHEN {dd} > 0 THEN floor(CAST(({n}) AS DOUBLE) / {dd} * 10000 + 0.5) / 100 ELSE 0D END)"
+
+
 def r2(x) -> Column:
     """Normalise a number: null / NaN / +-Infinity -> 0, else round to 2 decimals."""
-    x = _col(x).cast("double")
+    if isinstance(x, str):
+        return F.expr(r2_sql(x))
+    x = x.cast("double")
     bad = x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(_INF))
     return F.when(bad, F.lit(0.0)).otherwise(F.floor(x * 100 + 0.5) / 100)
 
@@ -31,12 +53,16 @@ def rate(n, d) -> Column:
     The division sits inside the ``when`` branch, so a zero denominator is never
     evaluated (ANSI mode would raise on it).
     """
+    if isinstance(n, str) and isinstance(d, str):
+        return F.expr(rate_sql(n, d))
     n, d = _col(n).cast("double"), _col(d).cast("double")
     return F.when(d > 0, r2(n / d * 100)).otherwise(F.lit(0.0))
 
 
 def calc_rate(n, d) -> Column:
     """Realtime funnel rate: round(n/d*10000)/100 with the same half-up rule."""
+    if isinstance(n, str) and isinstance(d, str):
+        return F.expr(calc_rate_sql(n, d))
     n, d = _col(n).cast("double"), _col(d).cast("double")
     return F.when(d > 0, F.floor(n / d * 10000 + 0.5) / 100).otherwise(F.lit(0.0))
 

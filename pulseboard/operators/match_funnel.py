@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.functions.numeric import r2, rate, stage_is
+from pulseboard.functions.numeric import r2_sql, rate, stage_is
 from pulseboard.operators.topk import top_n_per_group
 from pulseboard.schema import STAGE_FAILED, STAGE_RECEIVED, STAGE_RENDERED, STAGE_SENT
 
@@ -37,8 +37,8 @@ def per_question(events: DataFrame) -> DataFrame:
 
 def match_funnel_questions(events: DataFrame, top_n: int = TOP_QUESTIONS) -> DataFrame:
     q = top_n_per_group(per_question(events), ["tenantId", "matchId"], "doc_count", "timelineId", top_n)
-    sent = r2("_sent")
-    return q.select("tenantId", "matchId", "timelineId", sent.alias("sent"), "received", "rendered", "failed",
+    sent = r2_sql("_sent")
+    return q.select("tenantId", "matchId", "timelineId", F.expr(sent).alias("sent"), "received", "rendered", "failed",
                     rate("received", sent).alias("receiveRate"), rate("rendered", "received").alias("renderRate"))
 
 
@@ -48,8 +48,8 @@ def match_funnel(events: DataFrame, top_n: int = TOP_QUESTIONS) -> DataFrame:
         F.sum("received").alias("received"), F.sum("rendered").alias("rendered"),
         F.sum("failed").alias("failed"),
         F.least(F.count(F.lit(1)), F.lit(top_n)).cast("long").alias("questionCount"))
-    sent = r2("_sent")
-    return totals.select("tenantId", "matchId", sent.alias("sent"), "received", "rendered", "failed",
+    sent = r2_sql("_sent")
+    return totals.select("tenantId", "matchId", F.expr(sent).alias("sent"), "received", "rendered", "failed",
                          rate("received", sent).alias("receiveRate"),
                          rate("rendered", "received").alias("renderRate"),
                          rate("failed", "received").alias("failureRate"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulseboard.functions.numeric import exact_avg, key_or_unknown, r2, rate, stage_is
+from pulseboard.functions.numeric import exact_avg, key_or_unknown, r2, r2_sql, rate, stage_is
 from pulseboard.functions.time import parse_interval
 from pulseboard.operators.topk import top_n_per_group
 from pulseboard.schema import (
@@ -53,14 +53,15 @@ def platform_raw(base: DataFrame, top_n: int | None = TOP_PLATFORMS) -> DataFram
 
 def platform_derived_columns() -> list:
     """Derived platform columns as expressions over the raw bucket aggregates."""
-    sent, rec, ren, fail = r2("sent_raw"), F.col("received_raw"), F.col("rendered_raw"), F.col("failed_raw")
+    sent = r2_sql("sent_raw")
     return [
-        sent.alias("sent"),
-        rec.alias("received"), ren.alias("rendered"), fail.alias("failed"),
-        rate(rec, sent).alias("receiveRate"),
-        rate(ren, rec).alias("renderRate"),
-        rate(fail, rec).alias("failureRate"),
-        rate(ren, sent).alias("netSuccessRate"),
+        F.expr(sent).alias("sent"),
+        F.col("received_raw").alias("received"), F.col("rendered_raw").alias("rendered"),
+        F.col("failed_raw").alias("failed"),
+        rate("received_raw", sent).alias("receiveRate"),
+        rate("rendered_raw", "received_raw").alias("renderRate"),
+        rate("failed_raw", "received_raw").alias("failureRate"),
+        rate("rendered_raw", sent).alias("netSuccessRate"),
         r2("avg_render_raw").alias("avgRenderMs"),
     ]
 

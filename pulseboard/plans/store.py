@@ -187,21 +187,30 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: st
     and key; a rerun replaces its job's rows) and derives the match table from
     it; ``mode='accumulate'`` reproduces the reference's blind ``$inc``.  Every
     key lies inside one (tenant, day) partition, so the partition-local merge is
-    complete.  The merged rows are checkpointed (reliable checkpoint in the
-    shared checkpoint dir) before the overwrite, so the write never reads the
-    partitions it replaces and a lost executor cannot lose them.
+    complete.
+
+    Materialisation: the new metric rows are checkpointed once (reliable
+    checkpoint in the shared checkpoint dir) - they are small next to the
+    events, and every later step (touched partitions, replace, union) reads
+    them instead of re-running the aggregation.  A merge that reads the same
+    partitions it overwrites is checkpointed before the write as well; the match
+    table is rolled up from the committed contribution partitions.
     """
-    new = require_keys(new, metric_type)
+    new = cut_lineage(require_keys(new, metric_type))
     touched = new.select("tenantId", partition_day(metric_type)).distinct()
     if mode == "idempotent":
         cpath = path.rstrip("/") + "_contrib"
-        contrib = cut_lineage(replace_contributions(read_partitions(spark, cpath, touched, new), new, metric_type,
-                                                    by=replace_by))
+        old_c = read_partitions(spark, cpath, touched, new)
+        contrib = replace_contributions(old_c, new, metric_type, by=replace_by)
+        if old_c is not None:
+            contrib = cut_lineage(contrib)
         write_table(contrib, cpath, metric_type)
-        merged = cut_lineage(match_rollup(contrib, metric_type))
+        merged = match_rollup(read_partitions(spark, cpath, touched, new), metric_type)
     elif mode == "accumulate":
-        merged = cut_lineage(upsert(read_partitions(spark, path, touched, _stored_like(new, metric_type, now)),
-                                     new, metric_type, now))
+        old = read_partitions(spark, path, touched, _stored_like(new, metric_type, now))
+        merged = upsert(old, new, metric_type, now)
+        if old is not None:
+            merged = cut_lineage(merged)
     else:
         raise ValueError(f"unknown upsert mode {mode!r}")
     write_table(merged, path, metric_type)

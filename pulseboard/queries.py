@@ -16,7 +16,8 @@ from pulseboard import oracle as O
 from pulseboard.operators import metrics as M
 from pulseboard.operators.context import grid_context
 from pulseboard.operators.predicates import EventQuery, event_predicate
-from pulseboard.sources.events import FLAT_COLUMNS, fixture_events
+from pulseboard.sources.events import FLAT_COLUMNS
+from pulseboard.sources.events import fixture_events as _fixture_events
 
 # Job grid of the registered per-job queries: one job per timeline and UTC day
 # (a backfill-style 1440-minute range), plus an hourly variant (the scheduler's
@@ -37,6 +38,24 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+_FIXTURE_CACHE: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
+def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapped event frame, built once per session and folder.
+
+    Only the (immutable) logical plan is reused - no data is cached - which
+    saves re-reading the Parquet footer and re-analysing the projection.
+    """
+    key = (id(spark), sf_dir)
+    hit = _FIXTURE_CACHE.get(key)
+    if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
+        return hit[1]
+    df = _fixture_events(spark, sf_dir)
+    _FIXTURE_CACHE[key] = (spark, df)
+    return df
+
+
 def etl_base(spark: SparkSession, sf_dir: str, minutes: float = DAILY) -> DataFrame:
     return grid_context(fixture_events(spark, sf_dir), minutes)
 

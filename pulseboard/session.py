@@ -46,13 +46,20 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only if unset."""
+    """Return the session's checkpoint folder (``spark.checkpoint.dir``).
+
+    A cluster must name a shared folder; only a local-mode session (tests,
+    bench) without one gets a scratch folder of its own.  Never a local
+    checkpoint: lineage is cut with reliable checkpoints only.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's object store)")
         conf_dir = tempfile.mkdtemp(prefix="pulseboard-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -45,14 +45,6 @@ def flatten_events(nested: DataFrame) -> DataFrame:
     return nested.select(*cols)
 
 
-def _pick(key: Column, mapping: dict[int, str | None]) -> Column:
-    expr = None
-    for k, v in mapping.items():
-        val = F.lit(v).cast("string")
-        expr = F.when(key == k, val) if expr is None else expr.when(key == k, val)
-    return expr
-
-
 # Test-data mapping of the driver's events table (FIXTURES.md §2).
 STAGE_OF_EVENT_TYPE = {
     "signup": "sent",
@@ -85,34 +77,41 @@ def fixture_event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger
     return map_fixture_events(reader.parquet(sf_dir))
 
 
+def _case_sql(key: str, mapping: dict) -> str:
+    arms = " ".join(f"WHEN {k!r} THEN {('NULL' if v is None else repr(v))}" for k, v in mapping.items())
+    return f"CASE {key} {arms} END"
+
+
+def fixture_projection() -> list[str]:
+    """The mapping as SQL expressions (one ``selectExpr``: a single call into the JVM)."""
+    k = "CAST(get_json_object(props, '$.k') AS INT)"
+    return [
+        "event_id",
+        "CAST(ts AS TIMESTAMP) AS ts",
+        "concat('tl-', CAST(user_id % 30 AS STRING)) AS timeline_id",
+        "concat('tenant-', CAST(user_id % 3 AS STRING)) AS tenant_id",
+        "concat('match-', CAST(user_id % 6 AS STRING)) AS media_content_id",
+        "CASE WHEN event_id % 10 = 0 THEN 'production' ELSE 'development' END AS environment",
+        f"{_case_sql('event_type', STAGE_OF_EVENT_TYPE)} AS stage",
+        f"{_case_sql(f'{k} % 5', PLATFORM_BY_K5)} AS platform",
+        f"{_case_sql('event_id % 4', BROWSER_BY_ID4)} AS browser",
+        f"{_case_sql('event_id % 5', OS_BY_ID5)} AS client_os",
+        f"{_case_sql('event_id % 3', DEVICE_BY_ID3)} AS device_class",
+        "CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 3 = 0 THEN 'longPolling' "
+        "ELSE 'wsInteractive' END AS transport_mode",
+        "CASE WHEN event_id % 13 = 0 THEN NULL ELSE concat('v2.', CAST(event_id % 7 AS STRING), '.0') END "
+        "AS sdk_version",
+        f"CASE WHEN event_type = 'error' AND event_id % 9 <> 0 THEN {_case_sql('event_id % 3', REASON_BY_ID3)} "
+        "END AS failure_reason",
+        f"CASE WHEN event_type = 'error' AND event_id % 8 <> 0 THEN {_case_sql('event_id % 4', STEP_BY_ID4)} "
+        "END AS failure_step",
+        "CASE WHEN event_type = 'signup' THEN CAST(10 + event_id % 90 AS DOUBLE) END AS room_size",
+        "CASE WHEN event_type IN ('click', 'error') THEN value END AS render_duration_ms",
+        "CASE WHEN event_type = 'view' THEN value END AS receive_latency_ms",
+        "CASE WHEN event_type = 'purchase' THEN value END AS ack_latency_ms",
+    ]
+
+
 def map_fixture_events(ev: DataFrame) -> DataFrame:
     """Pure projection (works on batch and streaming frames)."""
-    eid, uid, et = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    k = F.get_json_object("props", "$.k").cast("int")
-    stage = None
-    for src, dst in STAGE_OF_EVENT_TYPE.items():
-        stage = F.when(et == src, dst) if stage is None else stage.when(et == src, dst)
-    is_error = et == "error"
-    return ev.select(
-        eid.alias("event_id"),
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.concat(F.lit("tl-"), (uid % 30).cast("string")).alias("timeline_id"),
-        F.concat(F.lit("tenant-"), (uid % 3).cast("string")).alias("tenant_id"),
-        F.concat(F.lit("match-"), (uid % 6).cast("string")).alias("media_content_id"),
-        F.when(eid % 10 == 0, "production").otherwise("development").alias("environment"),
-        stage.alias("stage"),
-        _pick(k % 5, PLATFORM_BY_K5).alias("platform"),
-        _pick(eid % 4, BROWSER_BY_ID4).alias("browser"),
-        _pick(eid % 5, OS_BY_ID5).alias("client_os"),
-        _pick(eid % 3, DEVICE_BY_ID3).alias("device_class"),
-        F.when(eid % 11 == 0, F.lit(None).cast("string"))
-         .when(eid % 3 == 0, "longPolling").otherwise("wsInteractive").alias("transport_mode"),
-        F.when(eid % 13 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("v2."), (eid % 7).cast("string"), F.lit(".0"))).alias("sdk_version"),
-        F.when(is_error & (eid % 9 != 0), _pick(eid % 3, REASON_BY_ID3)).alias("failure_reason"),
-        F.when(is_error & (eid % 8 != 0), _pick(eid % 4, STEP_BY_ID4)).alias("failure_step"),
-        F.when(et == "signup", (F.lit(10) + eid % 90).cast("double")).alias("room_size"),
-        F.when(et.isin("click", "error"), F.col("value")).alias("render_duration_ms"),
-        F.when(et == "view", F.col("value")).alias("receive_latency_ms"),
-        F.when(et == "purchase", F.col("value")).alias("ack_latency_ms"),
-    )
+    return ev.selectExpr(*fixture_projection())
