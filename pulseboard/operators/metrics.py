@@ -113,7 +113,7 @@ def device_breakdown(base: DataFrame, dimensions: list[str] | None = None,
 
 # ---------------------------------------------------------------- A5 transport
 def transport_comparison(base: DataFrame, top_n: int | None = TOP_TRANSPORTS,
-                         approx_accuracy: int | None = None) -> DataFrame:
+                         approx_accuracy: int | None = None, skew_safe: bool = False) -> DataFrame:
     """A5: count of all rows, render rate, avg and p95 render time per transport mode.
 
     ``approx_accuracy`` switches the p95 to the mergeable ``percentile_approx``
@@ -121,15 +121,20 @@ def transport_comparison(base: DataFrame, top_n: int | None = TOP_TRANSPORTS,
     state is a value->count map per group (bounded by distinct values).
     """
     rendered_ms = F.when(stage_is(STAGE_RENDERED), F.col("render_duration_ms"))
-    p95 = (F.percentile(rendered_ms, F.lit(0.95)) if approx_accuracy is None
-           else F.percentile_approx(rendered_ms, F.lit(0.95), F.lit(approx_accuracy)))
-    agg = base.groupBy(*CONTEXT, key_or_unknown("transport_mode").alias("transportMode")).agg(
-        F.count(F.lit(1)).alias("count"),
-        _count_stage(STAGE_RECEIVED).alias("_received"),
-        _count_stage(STAGE_RENDERED).alias("_rendered"),
-        exact_avg(rendered_ms).alias("_avg"),
-        p95.alias("_p95"),
-    )
+    aggs = [F.count(F.lit(1)).alias("count"),
+            _count_stage(STAGE_RECEIVED).alias("_received"),
+            _count_stage(STAGE_RENDERED).alias("_rendered"),
+            exact_avg(rendered_ms).alias("_avg")]
+    keys = [*CONTEXT, "transportMode"]
+    keyed = base.withColumn("transportMode", key_or_unknown("transport_mode"))
+    if skew_safe:
+        from pulseboard.operators.percentiles import distributed_percentiles
+        pct = distributed_percentiles(keyed.withColumn("_r", rendered_ms), keys, "_r", [0.95])
+        agg = keyed.groupBy(*keys).agg(*aggs).join(pct.withColumnRenamed("p0", "_p95"), keys, "left")
+    else:
+        p95 = (F.percentile(rendered_ms, F.lit(0.95)) if approx_accuracy is None
+               else F.percentile_approx(rendered_ms, F.lit(0.95), F.lit(approx_accuracy)))
+        agg = keyed.groupBy(*keys).agg(*aggs, p95.alias("_p95"))
     top = top_n_per_group(agg, CONTEXT, "count", "transportMode", top_n)
     return top.select(
         *_IDS, "transportMode", "count",
@@ -196,13 +201,17 @@ LATENCY_SERIES = {"receive": "receive_latency_ms", "render": "render_duration_ms
 
 
 def latency_aggregates(base: DataFrame, group_cols: list[str] | None = None,
-                       approx_accuracy: int | None = None, with_stats: bool = False) -> DataFrame:
+                       approx_accuracy: int | None = None, with_stats: bool = False,
+                       skew_safe: bool = False) -> DataFrame:
     """Raw percentile and stats aggregates per group (no stage filter).
 
-    Exact ``percentile`` equals linear-interpolated quantiles; pass
-    ``approx_accuracy`` for the bounded-memory sketch on unbounded groups.
+    Exact ``percentile`` equals linear-interpolated quantiles; ``skew_safe``
+    computes the same values without gathering a group in one task
+    (operators.percentiles); ``approx_accuracy`` gives the bounded-memory sketch.
     """
     group_cols = CONTEXT if group_cols is None else group_cols
+    if skew_safe:
+        return _latency_skew_safe(base, group_cols, with_stats)
     ps = F.array(*[F.lit(p / 100.0) for p in LATENCY_PERCENTS])
     aggs = []
     for name, col in LATENCY_SERIES.items():
@@ -223,6 +232,33 @@ def latency_aggregates(base: DataFrame, group_cols: list[str] | None = None,
     return agg.select(*cols)
 
 
+def _latency_skew_safe(base: DataFrame, group_cols: list[str], with_stats: bool) -> DataFrame:
+    from pulseboard.operators.percentiles import distributed_percentiles
+    keys = list(group_cols) or ["_all"]
+    if not group_cols:
+        base = base.withColumn("_all", F.lit(0))
+    stats = []
+    for name, col in LATENCY_SERIES.items():
+        x = F.col(col)
+        stats += [exact_avg(x).alias(f"{name}_avg_raw"), F.max(x).alias(f"{name}_max_raw")]
+        if with_stats:
+            stats += [F.min(x).alias(f"{name}_min_raw"), F.count(x).alias(f"{name}_count"),
+                      _exact_sum(x).alias(f"{name}_sum_raw")]
+    out = base.groupBy(*keys).agg(*stats)
+    # the three series as one long column: one distributed pass for all of them
+    series = F.array(*[F.struct(F.lit(n).alias("_series"), F.col(c).cast("double").alias("_x"))
+                       for n, c in LATENCY_SERIES.items()])
+    pct = distributed_percentiles(base.select(*keys, F.inline(series)), [*keys, "_series"], "_x",
+                                  [p / 100.0 for p in LATENCY_PERCENTS])
+    wide = pct.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("_series") == name, F.col(f"p{i}"))).alias(f"{name}_p{p}_raw")
+        for name in LATENCY_SERIES for i, p in enumerate(LATENCY_PERCENTS)])
+    out = out.join(wide, keys, "left")
+    if not group_cols:
+        out = out.drop("_all")
+    return out
+
+
 def derive_latency_flat(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Flat latency row: receive_p50 ... ack_max, renderDuration_* copied from render."""
     keep = [*_IDS, *_INTERVAL] if keep is None else keep
@@ -242,9 +278,9 @@ def latency_derived_columns() -> list:
     return cols
 
 
-def latency_percentiles(base: DataFrame, approx_accuracy: int | None = None) -> DataFrame:
+def latency_percentiles(base: DataFrame, approx_accuracy: int | None = None, skew_safe: bool = False) -> DataFrame:
     """One flat latency row per job (jobs with events; see latency_zero_fill)."""
-    return derive_latency_flat(latency_aggregates(base, approx_accuracy=approx_accuracy))
+    return derive_latency_flat(latency_aggregates(base, approx_accuracy=approx_accuracy, skew_safe=skew_safe))
 
 
 def latency_nested(flat: DataFrame) -> DataFrame:

@@ -92,14 +92,15 @@ class Realtime:
 
     # A12
     def timeseries(self, metric: str | None = None, interval: str | None = None) -> DataFrame:
-        """Any fixed interval (default 1m), one metric (default sent); sort by time to present."""
+        """Any fixed interval (default 1m), one metric (default sent), ascending by bucket."""
         ts = M.timeseries(self.base, [metric or "sent"], interval or "1m")
-        return ts.select(*self.keys, "time", "value")
+        return ts.select(*self.keys, "time", "value").orderBy(*self.keys, "time")  # L4: ascending buckets
 
     # latency view: one row (per tenant), zeros when empty
-    def latency(self, approx_accuracy: int | None = None) -> DataFrame:
-        """``approx_accuracy``: bounded-memory sketch for very large request ranges."""
-        raw = M.latency_aggregates(self.base, group_cols=self.keys, approx_accuracy=approx_accuracy)
+    def latency(self, approx_accuracy: int | None = None, skew_safe: bool = False) -> DataFrame:
+        """Large request ranges: ``skew_safe`` (exact, distributed) or ``approx_accuracy`` (sketch)."""
+        raw = M.latency_aggregates(self.base, group_cols=self.keys, approx_accuracy=approx_accuracy,
+                                   skew_safe=skew_safe)
         tenant = F.col("tenantId") if self.keys else F.lit(self.tenant_id).alias("tenantId")
         return raw.select(F.lit(self.q.context_timeline()).alias("timelineId"),
                           F.lit(self.q.match_id or "").alias("matchId"), tenant,

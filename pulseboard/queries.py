@@ -678,3 +678,12 @@ def q_all_metrics_store(spark, sf_dir):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.groupBy("metric").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ------------------------------------------------------------------ skew-safe exact percentiles
+register("latency_percentiles_skew_safe", ORACLES["latency_percentiles"])(
+    lambda spark, sf_dir: M.latency_percentiles(etl_base(spark, sf_dir), skew_safe=True))
+register("realtime_latency_skew_safe", ORACLES["realtime_latency"])(
+    lambda spark, sf_dir: _rt(spark, sf_dir, RT_MATCH).latency(skew_safe=True))
+register("transport_comparison_skew_safe", ORACLES["transport_comparison"])(
+    lambda spark, sf_dir: M.transport_comparison(etl_base(spark, sf_dir), skew_safe=True))
