@@ -369,6 +369,15 @@ def timeseries_long(wide: DataFrame, metrics: list[str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- A18 registry
+def metric_registry(skew_safe: bool = False) -> dict:
+    """The seven metric functions; ``skew_safe`` switches percentiles to the distributed exact form."""
+    if not skew_safe:
+        return dict(METRIC_FUNCTIONS)
+    return {**METRIC_FUNCTIONS,
+            "transport": lambda base: transport_comparison(base, skew_safe=True),
+            "latency": lambda base: latency_nested(latency_percentiles(base, skew_safe=True))}
+
+
 METRIC_FUNCTIONS = {
     "platform": platform_metrics,
     "device": device_breakdown,

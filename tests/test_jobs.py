@@ -105,3 +105,15 @@ def test_fixture_inputs_follow_the_rules(spark):
     t = JS.fixture_targets(ev)
     assert t.where(~F.col("enabled")).select("matchId").distinct().collect()[0][0] == "match-4"
     assert {r["name"]: r["status"] for r in JS.fixture_tenants(ev).collect()}["tenant-2"] == "INACTIVE"
+
+
+def test_reference_payload_cases(spark):
+    """Four rejected payloads and the valid one of the reference's missing-data case."""
+    import json
+    valid = {"timeRangeMinutes": 5, "timelineId": "tl-1", "tenantId": "t1", "matchId": "match-1"}
+    bad = [{"timeRangeMinutes": 5}, {"timeRangeMinutes": 5, "tenantId": "t1", "matchId": "match-1"},
+           {"timeRangeMinutes": 5, "timelineId": "tl-1", "matchId": "match-1"},
+           {"timeRangeMinutes": 5, "timelineId": "", "tenantId": "t1", "matchId": "match-1"}]
+    out = JB.validate_jobs(msgs(spark, [json.dumps(p) for p in [valid, *bad]])).collect()
+    assert [r["is_valid"] for r in out] == [True, False, False, False, False]
+    assert {r["error_message"] for r in out[1:]} == {JB.ERR_PAYLOAD}

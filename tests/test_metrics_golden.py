@@ -217,3 +217,14 @@ def test_half_open_interval(spark):
             {"stage": "received", "ts": datetime(2026, 5, 13, 11, 0)}]
     out = M.platform_metrics(base_of(spark, rows)).where(F.col("intervalFrom") == datetime(2026, 5, 13, 10)).collect()
     assert out[0]["received"] == 1
+
+
+def test_sdk_derivations_on_bucket_values(spark):
+    """Bucket values of the reference's five-version case; the derivations applied directly."""
+    from pulseboard.functions import r2, rate
+    buckets = [("1.0.0", 100, 100, 90, 110.123), ("1.1.0", 200, 160, 120, 95.5), ("2.0.0", 300, 300, 210, 80.0),
+               ("2.1.0", 400, 250, 200, 70.777), ("3.0.0", 500, 500, 400, 65.0)]
+    df = spark.createDataFrame(buckets, "k string, c long, rec long, ren long, avg double")
+    out = df.select("k", rate("ren", "rec").alias("rr"), r2("avg").alias("a")).orderBy("k").collect()
+    assert [r["rr"] for r in out] == [90.0, 75.0, 70.0, 80.0, 80.0]
+    assert [r["a"] for r in out] == [110.12, 95.5, 80.0, 70.78, 65.0]
