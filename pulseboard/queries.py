@@ -687,3 +687,12 @@ register("realtime_latency_skew_safe", ORACLES["realtime_latency"])(
     lambda spark, sf_dir: _rt(spark, sf_dir, RT_MATCH).latency(skew_safe=True))
 register("transport_comparison_skew_safe", ORACLES["transport_comparison"])(
     lambda spark, sf_dir: M.transport_comparison(etl_base(spark, sf_dir), skew_safe=True))
+
+RT_ALL = RealtimeQuery()
+_RT_ALL_SQL = O.rt_base("true")
+
+
+@register("realtime_funnel_all", O.with_(O.FIXTURE_VIEW, _RT_ALL_SQL, O.platform_cte(src="rtb")) + O.rt_funnel_select())
+def q_rt_funnel_all(spark, sf_dir):
+    """The funnel of every tenant over its whole history (no request filter at all)."""
+    return _rt(spark, sf_dir, RT_ALL).funnel()

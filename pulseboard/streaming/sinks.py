@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from pulseboard.plans import jobs as JB
 from pulseboard.plans import store as ST
+from pulseboard.session import cut_lineage
 
 
 def _ledger_has(spark: SparkSession, ledger: str, batch_id: int) -> bool:
@@ -52,7 +53,7 @@ def buckets_sink(path: str):
         merged = new.drop("intervalDate")
         if old is not None:
             merged = old.join(merged.select(*keys), keys, "left_anti").unionByName(merged)
-        merged = merged.withColumn("intervalDate", F.to_date("intervalFrom")).checkpoint(eager=True)
+        merged = cut_lineage(merged.withColumn("intervalDate", F.to_date("intervalFrom")))
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("tenantId", "intervalDate").parquet(path))
     return run
