@@ -176,10 +176,13 @@ def failure_analysis(base: DataFrame, top_reasons: int | None = TOP_FAILURE_REAS
     def norm(c):  # '' is a real term, printed as 'unknown'
         return F.when(F.col(c) == "", F.lit("unknown")).otherwise(F.col(c))
 
+    # the (small) aggregated rows are hashed once by job: every window below
+    # partitions by the job or by (job, reason), so they share that exchange
     steps = (base.where(F.col("failure_reason").isNotNull())
              .groupBy(*CONTEXT, norm("failure_reason").alias("failureReason"),
                       norm("failure_step").alias("failureStep"))
-             .agg(F.count(F.lit(1)).alias("count")))
+             .agg(F.count(F.lit(1)).alias("count"))
+             .repartition(*CONTEXT))
     by_job = Window.partitionBy(*CONTEXT)
     by_reason = Window.partitionBy(*CONTEXT, "failureReason")
     steps = steps.withColumn("_reason_n", F.sum("count").over(by_reason))
