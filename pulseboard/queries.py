@@ -696,3 +696,28 @@ _RT_ALL_SQL = O.rt_base("true")
 def q_rt_funnel_all(spark, sf_dir):
     """The funnel of every tenant over its whole history (no request filter at all)."""
     return _rt(spark, sf_dir, RT_ALL).funnel()
+
+
+# ------------------------------------------------------------------ job consumer stream (end to end)
+from pulseboard.streaming.consumer import job_consumer_sink  # noqa: E402
+
+
+def _bf_match_table_sql() -> str:
+    meta = METRIC_META["platform"]
+    return (O.with_(*_BF_CTES, O.platform_cte(src="jbase"))
+            + O.rollup_sql("plat", _PCOLS, list(meta.unique), list(meta.accumulate), {"sent"}))
+
+
+@register("stream_job_consumer_platform", _bf_match_table_sql())
+def q_stream_job_consumer(spark, sf_dir):
+    """Backfill job messages as a stream -> validation -> range join -> seven metrics -> store;
+    returns the stored match-level platform table."""
+    root = _scratch(spark, "stream-consumer")
+    ev = fixture_events(spark, sf_dir)
+    req = JS.fixture_backfill_requests(JS.fixture_targets(ev))
+    jobs = JB.expand_backfill(req, caller_tenant_col="callerTenant", correlation_id="correlationKey")
+    JB.encode_jobs(jobs).select("value").write.text(f"{root}/messages")
+    msgs = spark.readStream.schema("value string").text(f"{root}/messages")
+    sink = job_consumer_sink(ev, f"{root}/store", f"{root}/dlq", lambda batch_id: JOB_NOW)
+    SK.run_available_now(msgs, sink, f"{root}/_checkpoint", output_mode="append")
+    return spark.read.parquet(f"{root}/store/platform").select(*_PCOLS)
