@@ -113,7 +113,8 @@ def device_breakdown(base: DataFrame, dimensions: list[str] | None = None,
 
 # ---------------------------------------------------------------- A5 transport
 def transport_comparison(base: DataFrame, top_n: int | None = TOP_TRANSPORTS,
-                         approx_accuracy: int | None = None, skew_safe: bool = False) -> DataFrame:
+                         approx_accuracy: int | None = None, skew_safe: bool = False,
+                         hot_threshold: int | None = None) -> DataFrame:
     """A5: count of all rows, render rate, avg and p95 render time per transport mode.
 
     ``approx_accuracy`` switches the p95 to the mergeable ``percentile_approx``
@@ -127,10 +128,20 @@ def transport_comparison(base: DataFrame, top_n: int | None = TOP_TRANSPORTS,
             exact_avg(rendered_ms).alias("_avg")]
     keys = [*CONTEXT, "transportMode"]
     keyed = base.withColumn("transportMode", key_or_unknown("transport_mode"))
+    hot = None
+    if hot_threshold is not None and not skew_safe and approx_accuracy is None:
+        from pulseboard.operators.percentiles import split_hot
+        keyed, hot = split_hot(keyed, keys, hot_threshold)
     if skew_safe:
         from pulseboard.operators.percentiles import distributed_percentiles
         pct = distributed_percentiles(keyed.withColumn("_r", rendered_ms), keys, "_r", [0.95])
         agg = keyed.groupBy(*keys).agg(*aggs).join(pct.withColumnRenamed("p0", "_p95"), keys, "left")
+    elif hot is not None:
+        from pulseboard.operators.percentiles import distributed_percentiles
+        pct = distributed_percentiles(hot.withColumn("_r", rendered_ms), keys, "_r", [0.95])
+        agg = (keyed.groupBy(*keys).agg(*aggs, F.percentile(rendered_ms, F.lit(0.95)).alias("_p95"))
+               .unionByName(hot.groupBy(*keys).agg(*aggs).join(pct.withColumnRenamed("p0", "_p95"), keys,
+                                                                "left")))
     else:
         p95 = (F.percentile(rendered_ms, F.lit(0.95)) if approx_accuracy is None
                else F.percentile_approx(rendered_ms, F.lit(0.95), F.lit(approx_accuracy)))
@@ -205,16 +216,24 @@ LATENCY_SERIES = {"receive": "receive_latency_ms", "render": "render_duration_ms
 
 def latency_aggregates(base: DataFrame, group_cols: list[str] | None = None,
                        approx_accuracy: int | None = None, with_stats: bool = False,
-                       skew_safe: bool = False) -> DataFrame:
+                       skew_safe: bool = False, hot_threshold: int | None = None) -> DataFrame:
     """Raw percentile and stats aggregates per group (no stage filter).
 
     Exact ``percentile`` equals linear-interpolated quantiles; ``skew_safe``
     computes the same values without gathering a group in one task
-    (operators.percentiles); ``approx_accuracy`` gives the bounded-memory sketch.
+    (operators.percentiles); ``hot_threshold`` does that only for groups above
+    that many rows and keeps the one-pass built-in for the rest (same values);
+    ``approx_accuracy`` gives the bounded-memory sketch.
     """
     group_cols = CONTEXT if group_cols is None else group_cols
     if skew_safe:
         return _latency_skew_safe(base, group_cols, with_stats)
+    if hot_threshold is not None and group_cols and approx_accuracy is None:
+        from pulseboard.operators.percentiles import split_hot
+        normal, hot = split_hot(base, list(group_cols), hot_threshold)
+        if hot is not None:
+            return (latency_aggregates(normal, group_cols, with_stats=with_stats)
+                    .unionByName(_latency_skew_safe(hot, group_cols, with_stats)))
     ps = F.array(*[F.lit(p / 100.0) for p in LATENCY_PERCENTS])
     aggs = []
     for name, col in LATENCY_SERIES.items():
@@ -281,9 +300,11 @@ def latency_derived_columns() -> list:
     return cols
 
 
-def latency_percentiles(base: DataFrame, approx_accuracy: int | None = None, skew_safe: bool = False) -> DataFrame:
+def latency_percentiles(base: DataFrame, approx_accuracy: int | None = None, skew_safe: bool = False,
+                        hot_threshold: int | None = None) -> DataFrame:
     """One flat latency row per job (jobs with events; see latency_zero_fill)."""
-    return derive_latency_flat(latency_aggregates(base, approx_accuracy=approx_accuracy, skew_safe=skew_safe))
+    return derive_latency_flat(latency_aggregates(base, approx_accuracy=approx_accuracy, skew_safe=skew_safe,
+                                                  hot_threshold=hot_threshold))
 
 
 def latency_nested(flat: DataFrame) -> DataFrame:
@@ -372,13 +393,15 @@ def timeseries_long(wide: DataFrame, metrics: list[str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- A18 registry
-def metric_registry(skew_safe: bool = False) -> dict:
-    """The seven metric functions; ``skew_safe`` switches percentiles to the distributed exact form."""
-    if not skew_safe:
+def metric_registry(skew_safe: bool = False, hot_threshold: int | None = None) -> dict:
+    """The seven metric functions.  ``skew_safe`` switches percentiles to the distributed exact
+    form everywhere; ``hot_threshold`` only for groups above that many rows."""
+    if not skew_safe and hot_threshold is None:
         return dict(METRIC_FUNCTIONS)
     return {**METRIC_FUNCTIONS,
-            "transport": lambda base: transport_comparison(base, skew_safe=True),
-            "latency": lambda base: latency_nested(latency_percentiles(base, skew_safe=True))}
+            "transport": lambda base: transport_comparison(base, skew_safe=skew_safe, hot_threshold=hot_threshold),
+            "latency": lambda base: latency_nested(latency_percentiles(base, skew_safe=skew_safe,
+                                                                       hot_threshold=hot_threshold))}
 
 
 METRIC_FUNCTIONS = {

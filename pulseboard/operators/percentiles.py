@@ -75,3 +75,25 @@ def distributed_percentiles(df: DataFrame, group_cols: list[str], value_col: str
         + (F.col("_pos") - F.col("_lo").cast("double")) * F.col("_vhi"))
     return both.groupBy(*g).agg(*[F.max(F.when(F.col("_i") == i, val)).alias(f"{prefix}{i}")
                                   for i in range(len(percents))])
+
+
+def hot_groups(df: DataFrame, group_cols: list[str], threshold: int) -> DataFrame:
+    """Groups holding more than ``threshold`` rows (a partial+final count, nothing gathered)."""
+    return (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_rows"))
+            .where(F.col("_rows") > threshold).select(*group_cols))
+
+
+def split_hot(df: DataFrame, group_cols: list[str], threshold: int,
+              broadcast_max: int = 100_000) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary groups, rows of hot groups or None when there is none).
+
+    The hot set is at most rows/threshold groups; its size is counted (bounded
+    ``limit``) before it is broadcast, and beyond ``broadcast_max`` the split
+    falls back to shuffle joins.
+    """
+    hot = hot_groups(df, group_cols, threshold)
+    n_hot = hot.limit(broadcast_max + 1).count()
+    if n_hot == 0:
+        return df, None
+    side = F.broadcast(hot) if n_hot <= broadcast_max else hot
+    return df.join(side, group_cols, "left_anti"), df.join(side, group_cols, "left_semi")

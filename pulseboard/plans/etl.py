@@ -22,6 +22,10 @@ from pulseboard.plans import store as ST
 
 MetricFn = Callable[[DataFrame], DataFrame]
 
+# Rows above which a job's percentiles leave the single-task built-in: about four
+# 128 MB input splits of ~100-byte events, i.e. more than one task should merge.
+HOT_JOB_ROWS = 5_000_000
+
 
 class MetricRunError(RuntimeError):
     def __init__(self, failures: dict[str, str]):
@@ -30,10 +34,11 @@ class MetricRunError(RuntimeError):
 
 
 def metric_frame(name: str, fn: MetricFn, base: DataFrame, jobs: DataFrame | None = None,
-                 skew_safe: bool = False) -> DataFrame:
-    """Lazy per-job rows of one metric (with ``jobs``, latency gets zero rows for empty jobs)."""
+                 skew_safe: bool = False, hot_threshold: int | None = None) -> DataFrame:
+    """Per-job rows of one metric (with ``jobs``, latency gets zero rows for empty jobs)."""
     if name == "latency" and jobs is not None:
-        return M.latency_nested(JB.zero_fill_latency(jobs, M.latency_percentiles(base, skew_safe=skew_safe)))
+        lat = M.latency_percentiles(base, skew_safe=skew_safe, hot_threshold=hot_threshold)
+        return M.latency_nested(JB.zero_fill_latency(jobs, lat))
     return fn(base)
 
 
@@ -46,23 +51,26 @@ def metric_frames(base: DataFrame, registry: dict[str, MetricFn] | None = None,
 def run_all(spark: SparkSession, base: DataFrame, store_root: str, mode: str = "idempotent",
             registry: dict[str, MetricFn] | None = None, jobs: DataFrame | None = None,
             now: datetime | str | None = None, parallelism: int = 7,
-            persist_base: bool = False, skew_safe: bool = False) -> dict[str, DataFrame]:
+            persist_base: bool = False, skew_safe: bool = False,
+            hot_threshold: int | None = HOT_JOB_ROWS) -> dict[str, DataFrame]:
     """Compute every metric and merge it into ``{store_root}/{metric}``.
 
     ``persist_base`` keeps the job-tagged events (MEMORY_AND_DISK) for the seven
     scans; off by default because each metric already reads only its own
     columns with pushed-down filters, and a 100 TB base should not be cached.
-    ``skew_safe`` computes the exact percentiles without gathering a job in one task.
+    Percentiles of jobs above ``hot_threshold`` rows are computed without
+    gathering the job in one task (exact, same values); ``skew_safe`` does that
+    for every job, ``hot_threshold=None`` for none.
     """
     if persist_base:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    registry = M.metric_registry(skew_safe) if registry is None else registry
+    registry = M.metric_registry(skew_safe, hot_threshold) if registry is None else registry
     failures: dict[str, str] = {}
     results: dict[str, DataFrame] = {}
 
     def one(name: str):
         try:
-            rows = metric_frame(name, registry[name], base, jobs, skew_safe)
+            rows = metric_frame(name, registry[name], base, jobs, skew_safe, hot_threshold)
             results[name] = ST.upsert_table(spark, f"{store_root.rstrip('/')}/{name}", rows, name,
                                             mode=mode, now=now)
         except Exception as e:  # noqa: BLE001 - isolate one metric's failure from the others

@@ -721,3 +721,10 @@ def q_stream_job_consumer(spark, sf_dir):
     sink = job_consumer_sink(ev, f"{root}/store", f"{root}/dlq", lambda batch_id: JOB_NOW)
     SK.run_available_now(msgs, sink, f"{root}/_checkpoint", output_mode="append")
     return spark.read.parquet(f"{root}/store/platform").select(*_PCOLS)
+
+# hot-job split with a threshold low enough that the fixture has hot and ordinary jobs
+HOT_ROWS_FIXTURE = 12
+register("latency_percentiles_hot_split", ORACLES["latency_percentiles"])(
+    lambda spark, sf_dir: M.latency_percentiles(etl_base(spark, sf_dir), hot_threshold=HOT_ROWS_FIXTURE))
+register("transport_comparison_hot_split", ORACLES["transport_comparison"])(
+    lambda spark, sf_dir: M.transport_comparison(etl_base(spark, sf_dir), hot_threshold=HOT_ROWS_FIXTURE))
