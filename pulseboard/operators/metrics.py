@@ -228,6 +228,10 @@ def latency_aggregates(base: DataFrame, group_cols: list[str] | None = None,
     group_cols = CONTEXT if group_cols is None else group_cols
     if skew_safe:
         return _latency_skew_safe(base, group_cols, with_stats)
+    if hot_threshold is not None and not group_cols and approx_accuracy is None:
+        # one global group (a single-tenant request): bounded count decides the path
+        if base.limit(hot_threshold + 1).count() > hot_threshold:
+            return _latency_skew_safe(base, group_cols, with_stats)
     if hot_threshold is not None and group_cols and approx_accuracy is None:
         from pulseboard.operators.percentiles import split_hot
         normal, hot = split_hot(base, list(group_cols), hot_threshold)

@@ -21,3 +21,21 @@ def test_distributed_equals_builtin_on_a_hot_group(spark):
     exp = {r["g"]: list(r["p"]) for r in df.groupBy("g").agg(
         F.percentile("v", F.array(*[F.lit(p) for p in ps])).alias("p")).collect() if r["p"] is not None}
     assert got == exp and "nulls" not in got
+
+
+def test_hot_split_uses_both_paths_and_keeps_values(spark):
+    from pulseboard.operators import metrics as M
+    from pulseboard.operators.context import grid_context
+    from pulseboard.sources.events import fixture_events
+    ensure_checkpoint_dir(spark)
+    base = grid_context(fixture_events(spark, "/root/testdata/sf0.001"), 1440)
+    plain = sorted(tuple(r) for r in M.latency_percentiles(base).collect())
+    split = sorted(tuple(r) for r in M.latency_percentiles(base, hot_threshold=1).collect())
+    assert plain == split
+    one = spark.createDataFrame([(float(v),) for v in range(10)], "receive_latency_ms double") \
+        .selectExpr("receive_latency_ms", "CAST(NULL AS DOUBLE) AS render_duration_ms",
+                    "CAST(NULL AS DOUBLE) AS ack_latency_ms")
+    a = M.latency_aggregates(one, group_cols=[], hot_threshold=3).collect()[0]
+    b = M.latency_aggregates(one, group_cols=[]).collect()[0]
+    assert a["receive_p95_raw"] == b["receive_p95_raw"] and abs(a["receive_p95_raw"] - 8.55) < 1e-9
+    assert a["render_p50_raw"] is None
