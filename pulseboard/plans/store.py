@@ -26,6 +26,7 @@ from pulseboard.session import cut_lineage
 
 ORDER = ("intervalFrom", "timelineId")
 TIMESERIES_RETENTION_DAYS = 90  # Fixed value: TTL of timeseries rows.
+TOUCHED_BROADCAST_MAX = 200_000  # (tenant, day) pairs of one upsert that may be broadcast
 
 
 def _sum_exact(c: str, dtype: T.DataType):
@@ -158,7 +159,11 @@ def read_partitions(spark: SparkSession, path: str, touched: DataFrame,
     schema = T.StructType([*like.schema.fields, T.StructField("intervalDate", T.DateType())]) \
         if like is not None else None
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return (reader.parquet(path).join(touched, ["tenantId", "intervalDate"], "left_semi")
+    # the touched (tenant, day) list is counted with a bound; broadcast below it, so
+    # dynamic partition pruning reuses the broadcast and lists only those folders
+    n = touched.limit(TOUCHED_BROADCAST_MAX + 1).count()
+    side = F.broadcast(touched) if n <= TOUCHED_BROADCAST_MAX else touched
+    return (reader.parquet(path).join(side, ["tenantId", "intervalDate"], "left_semi")
             .drop("intervalDate"))
 
 
