@@ -14,6 +14,7 @@ there; here it is fixed: ascending ``(intervalFrom, timelineId)``, greatest wins
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -185,14 +186,17 @@ def require_keys(rows: DataFrame, metric_type: str) -> DataFrame:
 
 def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: str,
                  mode: str = "idempotent", now: datetime | str | None = None,
-                 replace_by: str = "job") -> DataFrame:
+                 replace_by: str = "job",
+                 truncate: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Merge ``new`` per-job rows into the table at ``path``; rewrite only touched partitions.
 
     ``mode='idempotent'`` keeps a contribution table next to it (one row per job
     and key; a rerun replaces its job's rows) and derives the match table from
     it; ``mode='accumulate'`` reproduces the reference's blind ``$inc``.  Every
     key lies inside one (tenant, day) partition, so the partition-local merge is
-    complete.
+    complete.  ``truncate`` (idempotent mode) is applied to the contribution rows
+    before the rollup: a stream keeps every bucket in the contributions and
+    applies the per-job top-N here, once all buckets of the job are known.
 
     Materialisation: the new metric rows are checkpointed once (reliable
     checkpoint in the shared checkpoint dir) - they are small next to the
@@ -210,7 +214,10 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: st
         if old_c is not None:
             contrib = cut_lineage(contrib)
         write_table(contrib, cpath, metric_type)
-        merged = match_rollup(read_partitions(spark, cpath, touched, new), metric_type)
+        contrib_rows = read_partitions(spark, cpath, touched, new)
+        if truncate is not None:
+            contrib_rows = truncate(contrib_rows)
+        merged = match_rollup(contrib_rows, metric_type)
     elif mode == "accumulate":
         old = read_partitions(spark, path, touched, _stored_like(new, metric_type, now))
         merged = upsert(old, new, metric_type, now)

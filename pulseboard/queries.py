@@ -728,3 +728,23 @@ register("latency_percentiles_hot_split", ORACLES["latency_percentiles"])(
     lambda spark, sf_dir: M.latency_percentiles(etl_base(spark, sf_dir), hot_threshold=HOT_ROWS_FIXTURE))
 register("transport_comparison_hot_split", ORACLES["transport_comparison"])(
     lambda spark, sf_dir: M.transport_comparison(etl_base(spark, sf_dir), hot_threshold=HOT_ROWS_FIXTURE))
+
+
+def _stream_top_sql(n: int) -> str:
+    meta = METRIC_META["platform"]
+    return (O.with_(O.FIXTURE_VIEW, O.grid_base(HOURLY), O.platform_cte(top_n=n))
+            + O.rollup_sql("plat", _PCOLS, list(meta.unique), list(meta.accumulate), {"sent"}))
+
+
+STREAM_TOP_N = 2
+
+
+@register("stream_top_platforms_match", _stream_top_sql(STREAM_TOP_N))
+def q_stream_top_platforms(spark, sf_dir):
+    """Streamed platform buckets -> sink keeps all buckets, applies the per-job top-N, derives the match table."""
+    root = _scratch(spark, "stream-top")
+    stream = SW.stream_platform_metrics(fixture_event_stream(spark, sf_dir), minutes=HOURLY, keep_doc_count=True)
+    SK.run_available_now(stream, SK.metric_upsert_sink(f"{root}/platform", "platform",
+                                                       truncate=SW.platform_top_n(STREAM_TOP_N)),
+                         f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/platform").select(*_PCOLS)

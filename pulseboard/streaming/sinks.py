@@ -29,14 +29,18 @@ def _ledger_add(spark: SparkSession, ledger: str, batch_id: int) -> None:
     spark.range(1).select(F.lit(batch_id).cast("long").alias("batchId")).write.mode("append").parquet(ledger)
 
 
-def metric_upsert_sink(path: str, metric_type: str, mode: str = "idempotent"):
-    """foreachBatch function: merge the micro-batch rows into the table at ``path``."""
+def metric_upsert_sink(path: str, metric_type: str, mode: str = "idempotent", truncate=None):
+    """foreachBatch function: merge the micro-batch rows into the table at ``path``.
+
+    ``truncate`` applies the per-job top-N to the full contribution rows before
+    the match table is derived (see ``streaming.windowed.platform_top_n``).
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         ledger = path.rstrip("/") + "_batches"
         if _ledger_has(spark, ledger, batch_id):
             return
-        ST.upsert_table(spark, path, batch, metric_type, mode=mode, replace_by="row")
+        ST.upsert_table(spark, path, batch, metric_type, mode=mode, replace_by="row", truncate=truncate)
         _ledger_add(spark, ledger, batch_id)
     return run
 

@@ -8,7 +8,8 @@ window; later ones are dropped by the stream and left to a backfill (K3).
 The event-time window is the grouping key, so the watermark evicts the state
 of finished windows.  Update mode emits the current value of every changed
 bucket; the sink replaces rows (see streaming.sinks).  Top-N truncation needs
-all buckets of a job and is not applied by the stream (every platform is kept).
+all buckets of a job: the contribution table keeps every bucket and the sink
+truncates per job before deriving the match table (``platform_top_n``).
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 from pulseboard.functions.numeric import key_or_unknown
 from pulseboard.functions.time import parse_interval
 from pulseboard.operators import metrics as M
-from pulseboard.schema import DEFAULT_ENVIRONMENT
+from pulseboard.operators.topk import top_n_per_group
+from pulseboard.schema import CONTEXT, DEFAULT_ENVIRONMENT, TOP_PLATFORMS
 
 def _ids() -> list:
     return [F.col("tenant_id").alias("tenantId"), F.col("media_content_id").alias("matchId"),
@@ -36,15 +38,31 @@ def _job_events(events: DataFrame, environment: str | None, watermark: str) -> D
 
 
 def stream_platform_metrics(events: DataFrame, minutes: int = 60, watermark: str = "10 minutes",
-                            environment: str | None = DEFAULT_ENVIRONMENT) -> DataFrame:
-    """A3 per (tenant, match, timeline, event-time window, platform) on a stream."""
+                            environment: str | None = DEFAULT_ENVIRONMENT,
+                            keep_doc_count: bool = False) -> DataFrame:
+    """A3 per (tenant, match, timeline, event-time window, platform) on a stream.
+
+    ``keep_doc_count`` carries the bucket's row count, which the sink needs to
+    apply the top-N limit (:func:`platform_top_n`).
+    """
     ev = _job_events(events, environment, watermark)
     agg = ev.groupBy(F.window("ts", f"{minutes} minutes").alias("w"), *_ids(),
                      key_or_unknown("platform").alias("platform")).agg(*M.platform_aggregations())
     raw = agg.select(F.col("w.start").alias("intervalFrom"), F.col("w.end").alias("intervalTo"),
                      "tenantId", "matchId", "timelineId", "platform", "sent_raw", "received_raw",
                      "rendered_raw", "failed_raw", "avg_render_raw", "doc_count")
-    return M.derive_platform(raw)
+    out = M.derive_platform(raw)
+    if keep_doc_count:
+        out = raw.select("timelineId", "matchId", "tenantId", "platform", *M.platform_derived_columns(),
+                         "intervalFrom", "intervalTo", "doc_count")
+    return out
+
+
+def platform_top_n(n: int = TOP_PLATFORMS):
+    """Sink-side top-N of the platform buckets of each job (count desc, key asc)."""
+    def apply(contrib: DataFrame) -> DataFrame:
+        return top_n_per_group(contrib, CONTEXT, "doc_count", "platform", n).drop("doc_count")
+    return apply
 
 
 def stream_timeseries_buckets(events: DataFrame, job_minutes: int = 60, interval: str = "5m",
