@@ -48,12 +48,16 @@ def match_rollup(rows: DataFrame, metric_type: str, order: tuple[str, ...] = ORD
     key = list(meta.unique)
     types = dict((f.name, f.dataType) for f in rows.schema.fields)
     inc = [c for c in meta.accumulate if c in rows.columns]
-    rest = [c for c in rows.columns if c not in key and c not in inc]
+    audit = [c for c in ("createdAt", "updatedAt") if c in rows.columns]
+    rest = [c for c in rows.columns if c not in key and c not in inc and c not in audit]
     aggs = [_sum_exact(c, types[c]).alias(c) for c in inc]
+    # audit times of a match row: first creation and last update of its contributions
+    aggs += [(F.min(c) if c == "createdAt" else F.max(c)).alias(c) for c in audit]
     if rest:
         aggs.append(F.max_by(F.struct(*rest), F.struct(*[F.col(o) for o in order])).alias("_last"))
     out = rows.groupBy(*key).agg(*aggs)
-    cols = [F.col(c) for c in key] + [F.col(c) for c in inc] + [F.col(f"_last.{c}").alias(c) for c in rest]
+    cols = ([F.col(c) for c in key] + [F.col(c) for c in inc] + [F.col(c) for c in audit]
+            + [F.col(f"_last.{c}").alias(c) for c in rest])
     return out.select(*cols).select(*rows.columns)
 
 
@@ -205,11 +209,21 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: st
     partitions it overwrites is checkpointed before the write as well; the match
     table is rolled up from the committed contribution partitions.
     """
-    new = cut_lineage(require_keys(new, metric_type))
+    new = require_keys(new, metric_type)
+    if mode == "idempotent" and now is not None:
+        new = new.withColumns({"createdAt": ts_lit(now), "updatedAt": ts_lit(now)})
+    new = cut_lineage(new)
     touched = new.select("tenantId", partition_day(metric_type)).distinct()
     if mode == "idempotent":
         cpath = path.rstrip("/") + "_contrib"
         old_c = read_partitions(spark, cpath, touched, new)
+        if old_c is not None and now is not None:
+            # a contribution written again keeps the time it was first created
+            ckey = contribution_key(metric_type)
+            first = old_c.select(*ckey, F.col("createdAt").alias("_first"))
+            new = (new.join(first, ckey, "left")
+                   .withColumn("createdAt", F.coalesce(F.col("_first"), F.col("createdAt")))
+                   .drop("_first").select(*new.columns))
         contrib = replace_contributions(old_c, new, metric_type, by=replace_by)
         if old_c is not None:
             contrib = cut_lineage(contrib)

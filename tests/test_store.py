@@ -82,3 +82,17 @@ def test_read_sorted_desc_and_retention(spark):
     kept = ST.retention_prune(rows, "2026-04-02T00:00:00Z").collect()  # cutoff 2026-01-02
     assert sorted(r["intervalFrom"].day for r in kept) == [2, 3]
     assert rows.where(F.col("tenantId") == "t1").count() == 3
+
+
+def test_idempotent_audit_times(spark, tmp_path):
+    ensure_checkpoint_dir(spark)
+    run = spark.createDataFrame([prow("tl-1", "web", 50, 46, 42, 4, 92.0, 100.0),
+                                 prow("tl-2", "web", 70, 66, 61, 4, 94.29, 116.0)], COLS)
+    path = str(tmp_path / "idem")
+    ST.upsert_table(spark, path, run, "platform", now="2026-05-13T12:00:00Z")
+    ST.upsert_table(spark, path, run.where("timelineId = 'tl-2'"), "platform", now="2026-05-13T13:00:00Z")
+    r = spark.read.parquet(path).collect()
+    assert len(r) == 1 and r[0]["sent"] == 120.0
+    assert r[0]["createdAt"] == datetime(2026, 5, 13, 12) and r[0]["updatedAt"] == datetime(2026, 5, 13, 13)
+    c = {x["timelineId"]: x for x in spark.read.parquet(path + "_contrib").collect()}
+    assert c["tl-2"]["createdAt"] == datetime(2026, 5, 13, 12) and c["tl-2"]["updatedAt"] == datetime(2026, 5, 13, 13)
