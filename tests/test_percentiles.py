@@ -39,3 +39,17 @@ def test_hot_split_uses_both_paths_and_keeps_values(spark):
     b = M.latency_aggregates(one, group_cols=[]).collect()[0]
     assert a["receive_p95_raw"] == b["receive_p95_raw"] and abs(a["receive_p95_raw"] - 8.55) < 1e-9
     assert a["render_p50_raw"] is None
+
+
+def test_run_all_hot_split_equals_plain(spark, tmp_path):
+    from pulseboard.operators.context import grid_context
+    from pulseboard.plans import etl as ETL
+    from pulseboard.sources.events import fixture_events
+    ensure_checkpoint_dir(spark)
+    base = grid_context(fixture_events(spark, "/root/testdata/sf0.001"), 1440)
+    ETL.run_all(spark, base, str(tmp_path / "hot"), hot_threshold=3)
+    ETL.run_all(spark, base, str(tmp_path / "plain"), hot_threshold=None)
+    for t in ("latency", "transport"):
+        a = sorted(map(str, spark.read.parquet(str(tmp_path / "hot" / t)).collect()))
+        b = sorted(map(str, spark.read.parquet(str(tmp_path / "plain" / t)).collect()))
+        assert a == b and len(a) > 0
