@@ -23,8 +23,9 @@ def test_query_matches_oracle(spark, con, name):
     assert normalise(s) == normalise(d)
 
 
-def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+def test_every_metric_query_has_an_oracle():
+    from pulseboard.queries import QUERIES
+    assert set(QUERIES) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
