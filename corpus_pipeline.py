@@ -3,15 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pulseboard.llm import packing, toxicity
 from pulseboard.llm.common import stored, table
 from pulseboard.llm.decontaminate import contamination
+from pulseboard.llm.near_duplicates import one_per_class
 from pulseboard.llm.quality import quality_cascade
+from pulseboard.llm.queries import held_out, tokenizer_file
 
 #: Columns that pass from stage to stage.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier does not reject.
+
+    Scores are a text's own, so rejected rows leave by id and text; ids may be null or repeated."""
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"))).select("doc_id", "toxic")
+    docs = docs.select(*COLUMNS)
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    toxic = scored.where("predicted = 1").select(F.col("doc_id").alias("toxic_id"), F.col("text_hash").alias("toxic_hash")).distinct()
+    toxic = stored(toxic, "toxic")
+    toxic = F.broadcast(toxic) if toxic.count() <= toxicity.BROADCAST_LABELS else toxic
+    same = F.col("doc_id").eqNullSafe(F.col("toxic_id")) & (F.xxhash64("text") == F.col("toxic_hash"))
+    return docs.join(toxic, same, "left_anti")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
     return quality_cascade(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
@@ -22,7 +40,19 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return contamination(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark")).where("NOT contaminated").select(*COLUMNS)
 
 
-STAGES = [("quality_rules", quality), ("decontamination", decontamination)]
+def deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    return one_per_class(docs.select(*COLUMNS))
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces in packed sequences."""
+    pieces = packing.token_pieces(docs.select(*COLUMNS), tokenizer_file("word_bpe_49k.json"))
+    return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+STAGES = [("toxicity", clean), ("quality_rules", quality), ("jaccard_join", deduplication),
+          ("decontamination", decontamination), ("packing", sequences)]
 #: Toxicity scores, near-duplicate groups and packing are not SQL; the pipeline is tested against brute force.
 ORACLE_SQL = None
 
