@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 from pulseboard.session import ensure_checkpoint_dir
 
-#: Words of the quality counters: runs without ASCII white space.
-SPACE_WORDS = r"[^\x20\x09-\x0D]+"
+#: Words of the quality counters: runs of anything but \x20 and \x09-\x0D, which is what \S is to Java.
+SPACE_WORDS = r"\S+"
 #: Words of matching operators, after lower-casing A-Z: ASCII letters, digits and all non-ASCII.
-MATCH_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Stated as what it holds: Java takes six times as long for the same set as a complement.
+MATCH_WORDS = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 
 
 def lower_ascii(text: Column) -> Column:

@@ -58,7 +58,7 @@ def _steps() -> list[tuple[str, tuple[str, ...], Column]]:
         c("starts"), F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
         lambda a, p: F.struct((a["n"] + p + WINDOW - F.greatest(a["end"], p)).alias("n"), (p + WINDOW).alias("end")),
         lambda a: a["n"])
-    has_word = lambda x: x.rlike(SPACE_WORDS)
+    has_word = lambda x: x.rlike(r"\S")
     every_word = ("n_words", "word_chars", "n_repeat_words")
     line = ("n_lines", "n_dup_lines")
     return [
