@@ -159,8 +159,8 @@ def score(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "tex
         table = np.zeros(1 << BITS)
         table[entries] = weights
         for batch in batches:
-            z = np.clip([table[features(t)].sum() + bias for t in batch["text"]], -500, 500) if len(batch) else np.zeros(0)
-            s = 1 / (1 + np.exp(-z))
+            z = np.array([table[features(t)].sum() + bias for t in batch["text"]], float)
+            s = np.where(np.isneginf(z), 0.0, 1 / (1 + np.exp(-np.clip(z, -500, 500))))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "score": s, "predicted": (s >= 0.5).astype(np.int32)})
 
     return source.mapInPandas(rate, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, text_hash long, score double, predicted int")
