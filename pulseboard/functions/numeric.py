@@ -76,15 +76,28 @@ def stage_is(stage: str) -> Column:
     return F.col("stage") == F.lit(stage)
 
 
+#: Numbers of this size or more, NaN and the infinities are not measurements: they are neither summed nor counted.
+MEASURED_BELOW = 1e30
+
+
+def measured(x) -> Column:
+    """``x`` as a number that an exact sum can hold, else null."""
+    x = _col(x).cast("double")
+    return F.when(F.abs(x) < MEASURED_BELOW, x).cast("decimal(38,6)")
+
+
+def exact_sum(x) -> Column:
+    """Sum that does not depend on the order of additions (see :func:`exact_avg`); null when no value is present."""
+    return F.sum(measured(x)).cast("double")
+
+
 def exact_avg(x) -> Column:
     """Average whose value does not depend on partitioning or summation order.
 
     A double sum changes with the order of additions, and a later 2-decimal
-    rounding can flip on it.  Summing a DECIMAL(18,6) is exact and associative,
+    rounding can flip on it.  Summing a DECIMAL(38,6) is exact and associative,
     so every partitioning (and DuckDB) gives the same bits.  Values carry at most
     6 fractional digits in the inputs (milliseconds).  Null when no value is present.
     """
-    x = _col(x)
-    n = F.count(x)
-    s = F.sum(x.cast("decimal(18,6)")).cast("double")
-    return F.when(n > 0, s / n)
+    n = F.count(measured(x))
+    return F.when(n > 0, exact_sum(x) / n)

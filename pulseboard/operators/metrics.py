@@ -11,13 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulseboard.functions.numeric import exact_avg, key_or_unknown, r2, r2_sql, rate, stage_is
+from pulseboard.functions.numeric import exact_avg, exact_sum, key_or_unknown, r2, r2_sql, rate, stage_is
 from pulseboard.functions.time import parse_interval
 from pulseboard.operators.topk import top_n_per_group
 from pulseboard.schema import (
     CONTEXT, DEVICE_DIMENSIONS, ETL_TIMESERIES_INTERVAL, LATENCY_PERCENTS, STAGE_FAILED,
-    STAGE_RECEIVED, STAGE_RENDERED, STAGE_SENT, TIMESERIES_METRICS, TOP_DEVICE_KEYS,
-    TOP_FAILURE_REASONS, TOP_FAILURE_STEPS, TOP_PLATFORMS, TOP_SDK_VERSIONS, TOP_TRANSPORTS,
+    STAGE_RECEIVED, STAGE_RENDERED, STAGE_SENT, TIMESERIES_METRICS,
 )
 
 _IDS = ["timelineId", "matchId", "tenantId"]
@@ -28,15 +27,11 @@ def _count_stage(stage: str):
     return F.count(F.when(stage_is(stage), F.lit(1)))
 
 
-def _exact_sum(x):
-    return F.sum(x.cast("decimal(18,6)")).cast("double")
-
-
 # ---------------------------------------------------------------- A3 platform
 def platform_aggregations() -> list:
     """Raw per-bucket aggregates of the platform table (shared by batch and streaming)."""
     return [
-        _exact_sum(F.when(stage_is(STAGE_SENT), F.col("room_size"))).alias("sent_raw"),
+        exact_sum(F.when(stage_is(STAGE_SENT), F.col("room_size"))).alias("sent_raw"),
         _count_stage(STAGE_RECEIVED).alias("received_raw"),
         _count_stage(STAGE_RENDERED).alias("rendered_raw"),
         _count_stage(STAGE_FAILED).alias("failed_raw"),
@@ -45,7 +40,7 @@ def platform_aggregations() -> list:
     ]
 
 
-def platform_raw(base: DataFrame, top_n: int | None = TOP_PLATFORMS) -> DataFrame:
+def platform_raw(base: DataFrame, top_n: int | None = None) -> DataFrame:
     """Bucket-level aggregates before derivation (what the store returns)."""
     agg = base.groupBy(*CONTEXT, key_or_unknown("platform").alias("platform")).agg(*platform_aggregations())
     return top_n_per_group(agg, CONTEXT, "doc_count", "platform", top_n)
@@ -70,7 +65,7 @@ def derive_platform(raw: DataFrame) -> DataFrame:
     return raw.select(*_IDS, "platform", *platform_derived_columns(), *_INTERVAL)
 
 
-def platform_metrics(base: DataFrame, top_n: int | None = TOP_PLATFORMS) -> DataFrame:
+def platform_metrics(base: DataFrame, top_n: int | None = None) -> DataFrame:
     """A3: funnel counts and rates per platform (top 100 platforms per job)."""
     return derive_platform(platform_raw(base, top_n))
 
@@ -82,7 +77,7 @@ def device_dimension_column(dimension: str) -> str:
 
 
 def device_breakdown(base: DataFrame, dimensions: list[str] | None = None,
-                     top_n: int | None = TOP_DEVICE_KEYS) -> DataFrame:
+                     top_n: int | None = None) -> DataFrame:
     """A4: received/rendered/failed per (dimension, bucketKey), top 50 keys per dimension.
 
     All dimensions come from ONE scan: each event is unpivoted into one
@@ -112,7 +107,7 @@ def device_breakdown(base: DataFrame, dimensions: list[str] | None = None,
 
 
 # ---------------------------------------------------------------- A5 transport
-def transport_comparison(base: DataFrame, top_n: int | None = TOP_TRANSPORTS,
+def transport_comparison(base: DataFrame, top_n: int | None = None,
                          approx_accuracy: int | None = None, skew_safe: bool = False,
                          hot_threshold: int | None = None) -> DataFrame:
     """A5: count of all rows, render rate, avg and p95 render time per transport mode.
@@ -157,7 +152,7 @@ def transport_comparison(base: DataFrame, top_n: int | None = TOP_TRANSPORTS,
 
 
 # ---------------------------------------------------------------- A6 sdk
-def sdk_versions(base: DataFrame, top_n: int | None = TOP_SDK_VERSIONS) -> DataFrame:
+def sdk_versions(base: DataFrame, top_n: int | None = None) -> DataFrame:
     """Count of all rows, render rate and avg render time per SDK version."""
     agg = base.groupBy(*CONTEXT, key_or_unknown("sdk_version").alias("sdkVersion")).agg(
         F.count(F.lit(1)).alias("count"),
@@ -175,8 +170,8 @@ def sdk_versions(base: DataFrame, top_n: int | None = TOP_SDK_VERSIONS) -> DataF
 
 
 # ---------------------------------------------------------------- A7 failure
-def failure_analysis(base: DataFrame, top_reasons: int | None = TOP_FAILURE_REASONS,
-                     top_steps: int | None = TOP_FAILURE_STEPS) -> DataFrame:
+def failure_analysis(base: DataFrame, top_reasons: int | None = None,
+                     top_steps: int | None = None) -> DataFrame:
     """Nested terms reason -> step, any stage, with the share of the emitted total.
 
     Rows without a reason belong to no bucket.  A row with a reason but no step
@@ -248,7 +243,7 @@ def latency_aggregates(base: DataFrame, group_cols: list[str] | None = None,
                  F.max(x).alias(f"{name}_max_raw")]
         if with_stats:
             aggs += [F.min(x).alias(f"{name}_min_raw"), F.count(x).alias(f"{name}_count"),
-                     _exact_sum(x).alias(f"{name}_sum_raw")]
+                     exact_sum(x).alias(f"{name}_sum_raw")]
     grouped = base.groupBy(*group_cols) if group_cols else base.groupBy()
     agg = grouped.agg(*aggs)
     cols = [F.col(c) for c in agg.columns if not c.endswith("_pct")]
@@ -269,7 +264,7 @@ def _latency_skew_safe(base: DataFrame, group_cols: list[str], with_stats: bool)
         stats += [exact_avg(x).alias(f"{name}_avg_raw"), F.max(x).alias(f"{name}_max_raw")]
         if with_stats:
             stats += [F.min(x).alias(f"{name}_min_raw"), F.count(x).alias(f"{name}_count"),
-                      _exact_sum(x).alias(f"{name}_sum_raw")]
+                      exact_sum(x).alias(f"{name}_sum_raw")]
     out = base.groupBy(*keys).agg(*stats)
     # the three series as one long column: one distributed pass for all of them
     series = F.array(*[F.struct(F.lit(n).alias("_series"), F.col(c).cast("double").alias("_x"))
@@ -337,7 +332,7 @@ def timeseries_wide(base: DataFrame, interval: str = ETL_TIMESERIES_INTERVAL) ->
 
 
 def timeseries_aggregations() -> list:
-    return [_exact_sum(F.col("room_size")).alias("_sent"),
+    return [exact_sum(F.col("room_size")).alias("_sent"),
             _count_stage(STAGE_RECEIVED).alias("_received"),
             _count_stage(STAGE_RENDERED).alias("_rendered"),
             _count_stage(STAGE_FAILED).alias("_failed"),

@@ -72,7 +72,7 @@ def run_all(spark: SparkSession, base: DataFrame, store_root: str, mode: str = "
         try:
             rows = metric_frame(name, registry[name], base, jobs, skew_safe, hot_threshold)
             results[name] = ST.upsert_table(spark, f"{store_root.rstrip('/')}/{name}", rows, name,
-                                            mode=mode, now=now)
+                                            mode=mode, now=now, jobs=jobs)
         except Exception as e:  # noqa: BLE001 - isolate one metric's failure from the others
             failures[name] = f"{type(e).__name__}: {e}"
 
@@ -88,13 +88,14 @@ def run_all(spark: SparkSession, base: DataFrame, store_root: str, mode: str = "
 
 
 def backfill(spark: SparkSession, events: DataFrame, requests: DataFrame, store_root: str,
-             mode: str = "idempotent", caller_tenant_col: str | None = None,
-             correlation_id=None, now: datetime | str | None = None) -> dict[str, DataFrame]:
+             *, environment: str | None, now: datetime | str, mode: str = "idempotent",
+             caller_tenant_col: str | None = None, correlation_id=None) -> dict[str, DataFrame]:
     """K3: backfill requests -> jobs -> range join with the events -> all metrics -> store.
 
-    Requests without an explicit interval are aligned at ``now`` (T1).
+    ``environment`` is the deployment's own (null: events of all).  Requests
+    without an explicit interval are aligned at ``now`` (T1), which is also the audit time.
     """
     jobs = JB.expand_backfill(requests, caller_tenant_col=caller_tenant_col, correlation_id=correlation_id)
     valid = JB.valid_jobs(JB.validate_jobs(JB.encode_jobs(jobs)), now)
-    base = JB.jobs_join_events(valid, events)
-    return run_all(spark, base, store_root, mode=mode, jobs=valid)
+    base = JB.jobs_join_events(valid, events, environment)
+    return run_all(spark, base, store_root, mode=mode, jobs=valid, now=now)

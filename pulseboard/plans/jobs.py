@@ -188,13 +188,9 @@ def expand_backfill(requests: DataFrame, caller_tenant_col: str | None = None,
     )
 
 
-def valid_jobs(validated: DataFrame, now: datetime | str | None = None) -> DataFrame:
+def valid_jobs(validated: DataFrame, now: datetime | str) -> DataFrame:
     """Accepted messages with their processing interval (explicit, else aligned at ``now``)."""
-    ok = validated.where(F.col("is_valid"))
-    if now is None:
-        ok = ok.where(F.col("explicitFrom").isNotNull())
-        return ok.withColumns({"intervalFrom": F.col("explicitFrom"), "intervalTo": F.col("explicitTo")})
-    return resolve_interval(ok, now)
+    return resolve_interval(validated.where(F.col("is_valid")), now)
 
 
 # ------------------------------------------------------------------ J2

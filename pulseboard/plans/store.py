@@ -102,19 +102,22 @@ def contribution_key(metric_type: str) -> list[str]:
 
 
 def replace_contributions(old_contrib: DataFrame | None, new: DataFrame, metric_type: str,
-                          by: str = "job") -> DataFrame:
+                          by: str = "job", jobs: DataFrame | None = None) -> DataFrame:
     """Idempotent mode: new rows replace old ones (rerun-safe).
 
     ``by='job'``: a batch run recomputes whole jobs, so all old rows of those jobs
     go (a bucket that disappeared disappears).  ``by='row'``: a streaming update
     carries only the changed buckets, so only rows with the same contribution
-    key are replaced.
+    key are replaced.  With ``jobs``, the rows of every listed job go, also of one that has no new rows.
     """
     if old_contrib is None:
         return new
     keys = (["tenantId", "matchId", "timelineId", "intervalFrom"] if by == "job"
             else contribution_key(metric_type))
-    gone = new.select(*keys).distinct()
+    gone = new.select(*keys)
+    if jobs is not None and by == "job":
+        gone = gone.unionByName(jobs.select(*keys))
+    gone = gone.distinct()
     kept = old_contrib.join(gone, keys, "left_anti")
     return kept.select(*new.columns).unionByName(new)
 
@@ -133,7 +136,7 @@ def partition_day(metric_type: str):
 def write_table(df: DataFrame, path: str, metric_type: str) -> None:
     """Dynamic partition overwrite: only the (tenant, day) partitions present in ``df``."""
     (df.withColumn("intervalDate", partition_day(metric_type))
-       .repartition("tenantId", "intervalDate")
+       .hint("rebalance", "tenantId", "intervalDate")  # few files a day, and several tasks for a hot one
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy("tenantId", "intervalDate").parquet(path))
 
@@ -141,7 +144,11 @@ def write_table(df: DataFrame, path: str, metric_type: str) -> None:
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     if not _exists(spark, path):
         return None
-    return spark.read.parquet(path).drop("intervalDate")
+    stored = spark.read.parquet(path).schema
+    # folder names are text: tenant "0012" is neither 12 nor the tenant "12"
+    names = {"tenantId": T.StringType(), "intervalDate": T.DateType()}
+    schema = T.StructType([T.StructField(f.name, names.get(f.name, f.dataType)) for f in stored.fields])
+    return spark.read.schema(schema).parquet(path).drop("intervalDate")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -190,7 +197,7 @@ def require_keys(rows: DataFrame, metric_type: str) -> DataFrame:
 
 def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: str,
                  mode: str = "idempotent", now: datetime | str | None = None,
-                 replace_by: str = "job",
+                 replace_by: str = "job", jobs: DataFrame | None = None,
                  truncate: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Merge ``new`` per-job rows into the table at ``path``; rewrite only touched partitions.
 
@@ -198,7 +205,8 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: st
     and key; a rerun replaces its job's rows) and derives the match table from
     it; ``mode='accumulate'`` reproduces the reference's blind ``$inc``.  Every
     key lies inside one (tenant, day) partition, so the partition-local merge is
-    complete.  ``truncate`` (idempotent mode) is applied to the contribution rows
+    complete.  ``jobs`` lists the jobs of the run, so that one without new rows loses its old ones
+    (in the touched partitions; a partition left without any row is not removed).  ``truncate`` (idempotent mode) is applied to the contribution rows
     before the rollup: a stream keeps every bucket in the contributions and
     applies the per-job top-N here, once all buckets of the job are known.
 
@@ -224,7 +232,7 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: st
             new = (new.join(first, ckey, "left")
                    .withColumn("createdAt", F.coalesce(F.col("_first"), F.col("createdAt")))
                    .drop("_first").select(*new.columns))
-        contrib = replace_contributions(old_c, new, metric_type, by=replace_by)
+        contrib = replace_contributions(old_c, new, metric_type, by=replace_by, jobs=jobs)
         if old_c is not None:
             contrib = cut_lineage(contrib)
         write_table(contrib, cpath, metric_type)

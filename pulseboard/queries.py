@@ -389,7 +389,7 @@ def _backfill_jobs(spark, sf_dir):
     ev = fixture_events(spark, sf_dir)
     req = JS.fixture_backfill_requests(JS.fixture_targets(ev))
     jobs = JB.expand_backfill(req, caller_tenant_col="callerTenant", correlation_id="correlationKey")
-    return ev, JB.valid_jobs(JB.validate_jobs(JB.encode_jobs(jobs)))
+    return ev, JB.valid_jobs(JB.validate_jobs(JB.encode_jobs(jobs)), JOB_NOW)
 
 
 _BF_SQL = O.with_(O.FIXTURE_VIEW, O.job_inputs(), f"bmsgs AS ({O.encoded_backfill()})",
@@ -718,7 +718,7 @@ def q_stream_job_consumer(spark, sf_dir):
     jobs = JB.expand_backfill(req, caller_tenant_col="callerTenant", correlation_id="correlationKey")
     JB.encode_jobs(jobs).select("value").write.text(f"{root}/messages")
     msgs = spark.readStream.schema("value string").text(f"{root}/messages")
-    sink = job_consumer_sink(ev, f"{root}/store", f"{root}/dlq", lambda batch_id: JOB_NOW)
+    sink = job_consumer_sink(ev, f"{root}/store", f"{root}/dlq", lambda batch_id: JOB_NOW, environment="development")
     SK.run_available_now(msgs, sink, f"{root}/_checkpoint", output_mode="append")
     return spark.read.parquet(f"{root}/store/platform").select(*_PCOLS)
 

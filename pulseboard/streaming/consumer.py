@@ -22,9 +22,10 @@ from pulseboard.plans import jobs as JB
 
 
 def job_consumer_sink(events: DataFrame, store_root: str, dlq_path: str,
-                      clock: Callable[[int], datetime | str]) -> Callable[[DataFrame, int], None]:
+                      clock: Callable[[int], datetime | str], *, environment: str | None) -> Callable[[DataFrame, int], None]:
     """foreachBatch function.  ``clock(batch_id)`` gives the processing time used
-    for interval alignment and ``failedAt`` (a parameter, never read inside a query)."""
+    for interval alignment, audit times and ``failedAt`` (a parameter, never read inside a
+    query); ``environment`` is the deployment's own (null: events of all)."""
     def run(batch: DataFrame, batch_id: int) -> None:
         now = clock(batch_id)
         checked = JB.validate_jobs(batch).persist(StorageLevel.MEMORY_AND_DISK)
@@ -35,8 +36,8 @@ def job_consumer_sink(events: DataFrame, store_root: str, dlq_path: str,
             jobs = JB.valid_jobs(checked, now)
             if jobs.limit(1).count() == 0:
                 return
-            base = JB.jobs_join_events(jobs, events)
-            ETL.run_all(batch.sparkSession, base, store_root, jobs=jobs)
+            base = JB.jobs_join_events(jobs, events, environment)
+            ETL.run_all(batch.sparkSession, base, store_root, jobs=jobs, now=now)
         finally:
             checked.unpersist()
     return run
