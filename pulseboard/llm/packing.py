@@ -106,8 +106,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pulseboard.llm.tokens import WordEncoder
-        encoder = WordEncoder(tokenizer)
+        from pulseboard.llm.tokens import encoder as encoder_of
+        encoder = encoder_of(tokenizer)
         for batch in batches:
             sizes, sums = [], []
             for t in batch["text"]:

@@ -58,8 +58,8 @@ def write_packed(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pulseboard.llm.files import attempt_name, writer
-        from pulseboard.llm.tokens import WordEncoder
-        encoder, name, block = WordEncoder(tokenizer), attempt_name(), 0
+        from pulseboard.llm.tokens import encoder as encoder_of
+        encoder, name, block = encoder_of(tokenizer), attempt_name(), 0
         keys, held, n = [], [], 0
 
         def flush() -> pd.DataFrame:

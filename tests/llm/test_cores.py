@@ -14,7 +14,7 @@ from pulseboard.llm.token_counts import Counter, load_vocabulary
 from pulseboard.llm.tokens import WordEncoder
 
 PT = pytest.importorskip("public_tokenizers")
-ALPHABET = "ab's\x1c\x1f \t\n\x85　é́İΣσ1２漢ー'reT'LL<|endoftext|>▁ﬁ😀"
+ALPHABET = "ab's\x1c\x1f \t\n\x85　é́İΣσ1２漢ー'reT'LL<|endoftext|>▁ﬁ😀.,.,"
 
 
 def texts(n, seed=3):
