@@ -23,6 +23,8 @@ from pulseboard.llm.packing import WINDOW, best_fit_decreasing
 #: Tokens and documents of a block; memory of a task follows the first, and one document.
 BLOCK_TOKENS = 4_000_000
 BLOCK_DOCS = 16_384
+#: Tasks that read files, at most.
+MOST_TASKS = 20_000
 
 
 def pack_block(docs: list[np.ndarray], window: int, pad: int, dtype: str) -> tuple[dict[str, np.ndarray], list[tuple[int, int, int, int, int]]]:
@@ -111,4 +113,6 @@ def read_packed(index: DataFrame) -> DataFrame:
         return rows.assign(ids_crc32=sums)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in index.schema.fields) + ", ids_crc32 long"
-    return index.groupBy("path").applyInPandas(read, schema)
+    # a number of its own: by their bytes the index's rows would go to a few tasks
+    files = index.agg(F.count_distinct("path")).first()[0]
+    return index.repartition(max(1, min(files, MOST_TASKS)), "path").groupBy("path").applyInPandas(read, schema)

@@ -27,6 +27,8 @@ DATE = "2026-01-01T00:00:00Z"
 ARCHIVE_BYTES = 64_000_000
 #: Bounds of the dictionary and of the sample of payloads it is trained on: rows, and bytes of each.
 DICTIONARY_BYTES, SAMPLE_ROWS, SAMPLE_BYTES = 32_768, 400, 16_384
+#: Tasks that read archives, at most.
+MOST_TASKS = 20_000
 #: Payloads from this size on are stored once.
 REVISIT_BYTES = 1000
 
@@ -116,8 +118,10 @@ def read_archive(f: BinaryIO, chunk: int = 1 << 16) -> Iterator[tuple[dict[str,
 
 
 def train_dictionary(pages: DataFrame, payload: str) -> bytes:
-    """A dictionary from a bounded sample (SAMPLE_ROWS rows drawn by hash, SAMPLE_BYTES of each); empty if there is too little."""
-    rows = pages.select(F.substring(F.col(f"`{payload}`"), 1, SAMPLE_BYTES).alias("p"), F.xxhash64(f"`{payload}`").alias("h")).orderBy("h").limit(SAMPLE_ROWS).collect()
+    """A dictionary from a bounded sample (about SAMPLE_ROWS rows drawn by hash, at most twice as many, SAMPLE_BYTES of each); empty if there is too little."""
+    n = pages.count()
+    share = F.pmod(F.xxhash64(f"`{payload}`"), F.lit(1 << 30)) < int(min(1.0, SAMPLE_ROWS / max(n, 1)) * (1 << 30))
+    rows = pages.where(share).select(F.substring(F.col(f"`{payload}`"), 1, SAMPLE_BYTES).alias("p")).limit(2 * SAMPLE_ROWS).collect()
     samples = [r["p"].encode() for r in rows if r["p"]]
     if len(samples) < 16:
         return b""
@@ -206,4 +210,5 @@ def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
 
     schema = "path string, record_id string, record_type string, uri string, payload_digest string, payload_bytes long, refers_to string" + ", payload binary" * payloads
     names = [x.split()[0] for x in schema.split(", ")]
-    return manifest.repartition(F.col("path")).mapInPandas(read, schema)
+    # a number of its own: by their bytes the manifest's rows would all go to one task
+    return manifest.repartition(max(1, min(manifest.count(), MOST_TASKS)), "path").mapInPandas(read, schema)
