@@ -65,3 +65,9 @@ def literal_context(events: DataFrame, *, tenant_col: str = "tenant_id", match_i
 
 
 __all__ = ["CONTEXT", "grid_context", "literal_context", "EVENT_PAYLOAD"]
+
+
+def match_level(base: DataFrame) -> DataFrame:
+    """The same events as one job per match and interval (timelineId empty): metrics of it are recomputed over
+    all events of a match, not combined from its timelines' rows."""
+    return base.withColumn("timelineId", F.lit(""))

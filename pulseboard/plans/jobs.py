@@ -229,7 +229,7 @@ def jobs_join_events(jobs: DataFrame, events: DataFrame, environment: str | None
         eb = ev.withColumn("_bucket", eu - F.pmod(eu, F.lit(step)))
         on = [eb[e] == jb[k] for e, k in ids] + [eb["_bucket"] == jb["_bucket"],
                                                    eb["ts"] >= jb["intervalFrom"], eb["ts"] < jb["intervalTo"]]
-        joined = eb.join(jb, on, "inner").drop(jb["_bucket"]).drop(eb["_bucket"])
+        joined = eb.join(jb.hint("merge"), on, "inner").drop(jb["_bucket"]).drop(eb["_bucket"])
     return joined.select(*CONTEXT, *[c for c in EVENT_PAYLOAD if c in events.columns])
 
 

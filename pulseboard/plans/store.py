@@ -9,7 +9,7 @@ partitions it touches (dynamic partition overwrite).
 Upsert semantics of the reference: for a unique key, accumulated fields are
 *added* (``$inc``) and every other field takes the value of the last write
 (``$set``).  The write order of concurrent per-timeline jobs is undefined
-there; here it is fixed: ascending ``(intervalFrom, timelineId)``, greatest wins.
+there; here it is fixed: ascending ``(intervalFrom, timelineId, intervalTo)``, greatest wins.
 """
 
 from __future__ import annotations
@@ -25,8 +25,9 @@ from pulseboard.operators.predicates import MetricQuery, metric_predicate, to_ut
 from pulseboard.schema import METRIC_META
 from pulseboard.session import cut_lineage
 
-ORDER = ("intervalFrom", "timelineId")
+ORDER = ("intervalFrom", "timelineId", "intervalTo")
 TIMESERIES_RETENTION_DAYS = 90  # Fixed value: TTL of timeseries rows.
+JOB_KEY = ("tenantId", "matchId", "timelineId", "intervalFrom", "intervalTo")
 TOUCHED_BROADCAST_MAX = 200_000  # (tenant, day) pairs of one upsert that may be broadcast
 
 
@@ -96,9 +97,11 @@ def upsert(old: DataFrame | None, new: DataFrame, metric_type: str,
 
 
 def contribution_key(metric_type: str) -> list[str]:
-    """Key of one job's contribution: the unique key plus the job identity."""
+    """Key of one job's contribution: the unique key plus the job identity.
+
+    Two jobs of one start and different ends are two jobs: neither replaces the other, and both count."""
     key = list(METRIC_META[metric_type].unique)
-    return key + [c for c in ("timelineId", "intervalFrom") if c not in key]
+    return key + [c for c in JOB_KEY if c not in key]
 
 
 def replace_contributions(old_contrib: DataFrame | None, new: DataFrame, metric_type: str,
@@ -112,8 +115,7 @@ def replace_contributions(old_contrib: DataFrame | None, new: DataFrame, metric_
     """
     if old_contrib is None:
         return new
-    keys = (["tenantId", "matchId", "timelineId", "intervalFrom"] if by == "job"
-            else contribution_key(metric_type))
+    keys = list(JOB_KEY) if by == "job" else contribution_key(metric_type)
     gone = new.select(*keys)
     if jobs is not None and by == "job":
         gone = gone.unionByName(jobs.select(*keys))
@@ -133,6 +135,30 @@ def partition_day(metric_type: str):
     return F.to_date(F.col(col)).alias("intervalDate")
 
 
+def job_days(jobs: DataFrame, metric_type: str) -> DataFrame:
+    """(tenantId, intervalDate) partitions that rows of the jobs may lie in."""
+    first = F.to_date("intervalFrom")
+    if metric_type != "timeseries":
+        return jobs.select("tenantId", first.alias("intervalDate")).distinct()
+    # partitioned by the day of the bucket, which starts at or before its first event
+    last = F.greatest(first, F.to_date(F.col("intervalTo") - F.expr("INTERVAL 1 MICROSECOND")))
+    return jobs.select("tenantId", F.explode(F.sequence(F.date_sub(first, 1), last)).alias("intervalDate")).distinct()
+
+
+def drop_emptied(spark: SparkSession, path: str, touched: DataFrame, rows: DataFrame, metric_type: str) -> None:
+    """Remove the files of ``touched`` partitions that hold none of ``rows``: a dynamic overwrite leaves them as they were."""
+    if not _exists(spark, path):
+        return
+    left = rows.select("tenantId", partition_day(metric_type)).distinct()
+    emptied = touched.join(left, ["tenantId", "intervalDate"], "left_anti")
+    stored = spark.read.schema("tenantId string, intervalDate date").parquet(path)
+    files = stored.withColumn("_file", F.col("_metadata.file_path")).join(emptied, ["tenantId", "intervalDate"], "left_semi")
+    jvm = spark._jvm
+    for r in files.select("_file").distinct().toLocalIterator():  # file names of emptied partitions
+        hpath = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r["_file"]))
+        hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, False)
+
+
 def write_table(df: DataFrame, path: str, metric_type: str) -> None:
     """Dynamic partition overwrite: only the (tenant, day) partitions present in ``df``."""
     (df.withColumn("intervalDate", partition_day(metric_type))
@@ -141,14 +167,15 @@ def write_table(df: DataFrame, path: str, metric_type: str) -> None:
        .partitionBy("tenantId", "intervalDate").parquet(path))
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+def read_table(spark: SparkSession, path: str, with_day: bool = False) -> DataFrame | None:
     if not _exists(spark, path):
         return None
     stored = spark.read.parquet(path).schema
     # folder names are text: tenant "0012" is neither 12 nor the tenant "12"
     names = {"tenantId": T.StringType(), "intervalDate": T.DateType()}
     schema = T.StructType([T.StructField(f.name, names.get(f.name, f.dataType)) for f in stored.fields])
-    return spark.read.schema(schema).parquet(path).drop("intervalDate")
+    table = spark.read.schema(schema).parquet(path)
+    return table if with_day else table.drop("intervalDate")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -205,8 +232,8 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: st
     and key; a rerun replaces its job's rows) and derives the match table from
     it; ``mode='accumulate'`` reproduces the reference's blind ``$inc``.  Every
     key lies inside one (tenant, day) partition, so the partition-local merge is
-    complete.  ``jobs`` lists the jobs of the run, so that one without new rows loses its old ones
-    (in the touched partitions; a partition left without any row is not removed).  ``truncate`` (idempotent mode) is applied to the contribution rows
+    complete.  ``jobs`` lists the jobs of the run: one without new rows, or with fewer than before, loses its
+    old ones on every day it spans, and a partition left without rows is removed.  ``truncate`` (idempotent mode) is applied to the contribution rows
     before the rollup: a stream keeps every bucket in the contributions and
     applies the per-job top-N here, once all buckets of the job are known.
 
@@ -224,6 +251,8 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: st
     touched = new.select("tenantId", partition_day(metric_type)).distinct()
     if mode == "idempotent":
         cpath = path.rstrip("/") + "_contrib"
+        if jobs is not None and replace_by == "job":
+            touched = cut_lineage(touched.unionByName(job_days(jobs, metric_type)).distinct())
         old_c = read_partitions(spark, cpath, touched, new)
         if old_c is not None and now is not None:
             # a contribution written again keeps the time it was first created
@@ -236,6 +265,8 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: st
         if old_c is not None:
             contrib = cut_lineage(contrib)
         write_table(contrib, cpath, metric_type)
+        if old_c is not None and jobs is not None:
+            drop_emptied(spark, cpath, touched, contrib, metric_type)
         contrib_rows = read_partitions(spark, cpath, touched, new)
         if truncate is not None:
             contrib_rows = truncate(contrib_rows)
@@ -248,6 +279,8 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: st
     else:
         raise ValueError(f"unknown upsert mode {mode!r}")
     write_table(merged, path, metric_type)
+    if mode == "idempotent" and old_c is not None and jobs is not None:
+        drop_emptied(spark, path, touched, contrib, metric_type)
     return merged
 
 
@@ -271,9 +304,43 @@ def read_metric(table: DataFrame, metric_type: str, q: MetricQuery, metric: str
     return out.orderBy(F.desc(meta.sort), *[F.asc(c) for c in tiebreak])
 
 
+def scan_metric(spark: SparkSession, path: str, metric_type: str, q: MetricQuery, metric: str | None = None) -> DataFrame:
+    """``read_metric`` on the stored table at ``path``: tenant and day filters reach the partitions.
+
+    A row lies in the day of its ``intervalFrom``; a timeseries row in that of its bucket, which is no earlier than the
+    day before ``intervalFrom`` and has no upper bound here, since a job may be of any length.
+    """
+    table = read_table(spark, path, with_day=True)
+    if table is None:
+        raise ValueError(f"no stored table at {path}")
+    by_bucket = metric_type == "timeseries"
+    if q.start not in (None, ""):
+        table = table.where(F.col("intervalDate") >= F.lit((to_utc(q.start) - timedelta(days=int(by_bucket))).date()))
+    if q.end not in (None, "") and not by_bucket:
+        table = table.where(F.col("intervalDate") <= F.lit(to_utc(q.end).date()))
+    return read_metric(table, metric_type, q, metric).drop("intervalDate")
+
+
 # ------------------------------------------------------------------ T6
 def retention_prune(timeseries: DataFrame, now: datetime | str,
                     days: int = TIMESERIES_RETENTION_DAYS) -> DataFrame:
     """Timeseries rows whose ``intervalFrom`` is older than ``now - days`` expire."""
     cutoff = to_utc(now) - timedelta(days=days)
     return timeseries.where(F.col("intervalFrom") >= ts_lit(cutoff))
+
+
+def expire_table(spark: SparkSession, path: str, now: datetime | str, metric_type: str = "timeseries",
+                 days: int = TIMESERIES_RETENTION_DAYS) -> None:
+    """Remove expired rows from the stored table and from its contributions (else the next upsert of that
+    day would bring them back); only partitions with an expired row are rewritten."""
+    cutoff = to_utc(now) - timedelta(days=days)
+    for at in (path.rstrip("/"), path.rstrip("/") + "_contrib"):
+        table = read_table(spark, at, with_day=True)
+        if table is None:
+            continue
+        old = table.where(F.col("intervalFrom") < ts_lit(cutoff))
+        touched = cut_lineage(old.select("tenantId", "intervalDate").distinct())
+        rows = table.join(touched, ["tenantId", "intervalDate"], "left_semi").drop("intervalDate")
+        kept = cut_lineage(retention_prune(rows, now, days))
+        write_table(kept, at, metric_type)
+        drop_emptied(spark, at, touched, kept, metric_type)

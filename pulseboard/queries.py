@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pulseboard import oracle as O
 from pulseboard.operators import metrics as M
-from pulseboard.operators.context import grid_context
+from pulseboard.operators.context import grid_context, match_level
 from pulseboard.operators.predicates import EventQuery, event_predicate
 from pulseboard.sources.events import FLAT_COLUMNS
 from pulseboard.sources.events import fixture_events as _fixture_events
@@ -506,6 +506,18 @@ def q_match_rollup_recomputed(spark, sf_dir):
                     rate("failed", "received").alias("failureRate"), rate("rendered", "sent").alias("netSuccessRate"))
 
 
+# Match-level metrics over all events of a match (an average or percentile of timelines is not the match's)
+for _t in ("device", "transport", "sdk", "latency", "timeseries"):
+    _fn, _, _rel, _cols, _ = _PER_JOB[_t]
+    _cte = {"device": O.device_cte, "transport": O.transport_cte, "sdk": O.sdk_cte, "latency": O.latency_cte,
+            "timeseries": O.timeseries_cte}[_t](src="mbase")
+    register(f"match_rollup_{_t}_recomputed",
+             O.with_(O.FIXTURE_VIEW, O.grid_base(DAILY), "mbase AS (SELECT * REPLACE ('' AS timelineId) FROM base)", _cte,
+                     *([f"tsl AS ({O.timeseries_long()})"] if _t == "timeseries" else []))
+             + f"SELECT {', '.join(_cols)} FROM {_rel}")(
+        lambda spark, sf_dir, _f=_fn, _c=_cols: _f(match_level(etl_base(spark, sf_dir))).select(*_c))
+
+
 # Store "as of" 2024-01-20 (events before the cutoff), then a full re-run of every daily job.
 STORE_CUTOFF = "2024-01-20T00:00:00Z"
 _CUT_SQL = "ts < TIMESTAMP '2024-01-20 00:00:00'"
@@ -561,23 +573,58 @@ _READ_SQL = ("tenantId = 'tenant-0' AND intervalFrom >= TIMESTAMP '2024-01-05 00
              "AND intervalFrom <= TIMESTAMP '2024-01-25 00:00:00'")
 _READ_SQL_M = "tenantId = 'tenant-1' AND matchId = 'match-1' AND timelineId IN ('tl-7', 'tl-13')"
 
+
+def _stored(spark, sf_dir, t):
+    """A store table written from the per-job rows, below the scratch folder."""
+    path = f"{_scratch(spark, 'store-read')}/{t}"
+    ST.upsert_table(spark, path, _per_job(spark, sf_dir, t), t)
+    return path
+
+
 for _t in METRIC_META:
     _ctes, _sql = _rollup_oracle(_t)
     register(f"read_{_t}", O.with_(*_ctes, f"mt AS ({_sql})") + f"SELECT * FROM mt WHERE {_READ_SQL}")(
-        lambda spark, sf_dir, _tt=_t: ST.read_metric(_match_table(spark, sf_dir, _tt), _tt, READ_Q))
+        lambda spark, sf_dir, _tt=_t: ST.scan_metric(spark, _stored(spark, sf_dir, _tt), _tt, READ_Q))
 
 _ctes, _sql = _rollup_oracle("platform")
 register("read_platform_match", O.with_(*_ctes, f"mt AS ({_sql})") + f"SELECT * FROM mt WHERE {_READ_SQL_M}")(
-    lambda spark, sf_dir: ST.read_metric(_match_table(spark, sf_dir, "platform"), "platform", READ_Q_MATCH))
+    lambda spark, sf_dir: ST.scan_metric(spark, _stored(spark, sf_dir, "platform"), "platform", READ_Q_MATCH))
+
+
+@register("store_upsert_twice", O.with_(*_ctes) + _sql)
+def q_store_upsert_twice(spark, sf_dir):
+    """The stored platform table after the same run twice."""
+    path, rows = _stored(spark, sf_dir, "platform"), _per_job(spark, sf_dir, "platform")
+    ST.upsert_table(spark, path, rows, "platform")
+    return ST.read_table(spark, path).select(*_PCOLS)
+
+
+@register("store_rerun_shrunk_job", O.with_(*_ctes, f"mt AS ({_sql})") + f"SELECT * FROM mt WHERE intervalFrom < TIMESTAMP '2024-01-20 00:00:00'")
+def q_store_rerun_shrunk_job(spark, sf_dir):
+    """The stored table after a rerun of all jobs over events that end earlier: the later jobs' rows and days are gone."""
+    path = _stored(spark, sf_dir, "platform")
+    base = etl_base(spark, sf_dir)
+    jobs = base.select("tenantId", "matchId", "timelineId", "intervalFrom", "intervalTo").distinct()
+    rows = M.platform_metrics(base.where(F.col("ts") < F.lit("2024-01-20 00:00:00").cast("timestamp")))
+    ST.upsert_table(spark, path, rows, "platform", jobs=jobs)
+    return ST.read_table(spark, path).select(*_PCOLS)
+
+
 _ctes, _sql = _rollup_oracle("timeseries")
 register("read_timeseries_metric", O.with_(*_ctes, f"mt AS ({_sql})")
          + f"SELECT * FROM mt WHERE {_READ_SQL} AND metric = 'failed'")(
-    lambda spark, sf_dir: ST.read_metric(_match_table(spark, sf_dir, "timeseries"), "timeseries", READ_Q, "failed"))
+    lambda spark, sf_dir: ST.scan_metric(spark, _stored(spark, sf_dir, "timeseries"), "timeseries", READ_Q, "failed"))
 
 RETENTION_NOW = "2024-04-15T00:00:00Z"
-register("retention_prune", O.with_(*_ctes, f"mt AS ({_sql})")
-         + "SELECT * FROM mt WHERE intervalFrom >= TIMESTAMP '2024-01-16 00:00:00'")(
-    lambda spark, sf_dir: ST.retention_prune(_match_table(spark, sf_dir, "timeseries"), RETENTION_NOW))
+
+
+@register("retention_prune", O.with_(*_ctes, f"mt AS ({_sql})")
+          + "SELECT * FROM mt WHERE intervalFrom >= TIMESTAMP '2024-01-16 00:00:00'")
+def q_retention_prune(spark, sf_dir):
+    """The stored timeseries after a retention run."""
+    path = _stored(spark, sf_dir, "timeseries")
+    ST.expire_table(spark, path, RETENTION_NOW)
+    return ST.read_table(spark, path).select(*_TS_COLS)
 
 
 # ------------------------------------------------------------------ A16 match funnel

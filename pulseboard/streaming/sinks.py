@@ -34,7 +34,11 @@ def metric_upsert_sink(path: str, metric_type: str, mode: str = "idempotent", tr
 
     ``truncate`` applies the per-job top-N to the full contribution rows before
     the match table is derived (see ``streaming.windowed.platform_top_n``).
+    Windowed streams emit running totals, and a replayed batch comes twice: adding them up is refused.
     """
+    if mode != "idempotent":
+        raise ValueError(f"a stream's rows replace earlier ones; mode {mode!r} would add them up")
+
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         ledger = path.rstrip("/") + "_batches"
@@ -58,7 +62,7 @@ def buckets_sink(path: str):
         if old is not None:
             merged = old.join(merged.select(*keys), keys, "left_anti").unionByName(merged)
         merged = cut_lineage(merged.withColumn("intervalDate", F.to_date("intervalFrom")))
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (merged.hint("rebalance", "tenantId", "intervalDate").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("tenantId", "intervalDate").parquet(path))
     return run
 

@@ -96,3 +96,73 @@ def test_idempotent_audit_times(spark, tmp_path):
     assert r[0]["createdAt"] == datetime(2026, 5, 13, 12) and r[0]["updatedAt"] == datetime(2026, 5, 13, 13)
     c = {x["timelineId"]: x for x in spark.read.parquet(path + "_contrib").collect()}
     assert c["tl-2"]["createdAt"] == datetime(2026, 5, 13, 12) and c["tl-2"]["updatedAt"] == datetime(2026, 5, 13, 13)
+
+
+def _jobs(rows):
+    return rows.select("tenantId", "matchId", "timelineId", "intervalFrom", "intervalTo").distinct()
+
+
+def test_rerun_clears_vanished_jobs_and_empties_partitions(spark, tmp_path):
+    ensure_checkpoint_dir(spark)
+    cols = [c.split()[0] for c in COLS.split(", ")]
+    day2 = datetime(2026, 5, 14, 10)
+    rows = spark.createDataFrame([prow("tl-1", "web", 5, 1, 1, 0, 0.0, 0.0), prow("tl-2", "web", 7, 1, 1, 0, 0.0, 0.0),
+                                  prow("tl-3", "web", 9, 1, 1, 0, 0.0, 0.0, frm=day2)], COLS)
+    rows = rows.withColumn("tenantId", F.lit("00 1/2"))
+    path = str(tmp_path / "platform")
+    ST.upsert_table(spark, path, rows, "platform", jobs=_jobs(rows))
+    ST.upsert_table(spark, path, rows.where("timelineId = 'tl-1'"), "platform", jobs=_jobs(rows))
+    for at in (path, path + "_contrib"):
+        got = ST.read_table(spark, at).select(cols).collect()
+        assert [(r["tenantId"], r["sent"], r["intervalFrom"]) for r in got] == [("00 1/2", 5.0, T0)]
+
+
+def test_jobs_of_one_start_and_different_ends_both_count(spark, tmp_path):
+    ensure_checkpoint_dir(spark)
+    hour = spark.createDataFrame([prow("tl-1", "web", 12, 1, 1, 0, 0.0, 0.0)], COLS)
+    short = hour.withColumns({"sent": F.lit(5.0), "intervalTo": F.lit(datetime(2026, 5, 13, 10, 5))})
+    path = str(tmp_path / "platform")
+    for rows in (hour, short, short):
+        ST.upsert_table(spark, path, rows, "platform", jobs=_jobs(rows))
+    assert ST.read_table(spark, path).collect()[0]["sent"] == 17.0
+
+
+def test_stored_read_prunes_tenant_and_day(spark, tmp_path):
+    from pulseboard.operators.predicates import MetricQuery
+    rows = spark.createDataFrame([prow("tl-1", "web", d, 1, 1, 0, 0.0, 0.0, frm=datetime(2026, 5, d, 10)) for d in (1, 2, 3)], COLS)
+    path = str(tmp_path / "platform")
+    ST.upsert_table(spark, path, rows, "platform")
+    q = MetricQuery(tenant_id="t1", start="2026-05-02T00:00:00Z", end="2026-05-02T23:00:00Z")
+    got = ST.scan_metric(spark, path, "platform", q)
+    assert [r["sent"] for r in got.collect()] == [2.0]
+    plan = got._jdf.queryExecution().toString()
+    filters = next(x for x in plan.splitlines() if "PartitionFilters" in x)
+    pruned = filters.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "tenantId" in pruned and "intervalDate" in pruned
+
+
+def test_retention_removes_stored_rows_and_contributions(spark, tmp_path):
+    from pulseboard.operators.predicates import MetricQuery
+    rows = spark.createDataFrame([("tl-1", "m1", "t1", "sent", "5m", datetime(2026, 1, d, 10), 1.0, datetime(2026, 1, d, 10), datetime(2026, 1, d, 11))
+                                  for d in (1, 2, 3)], "timelineId string, matchId string, tenantId string, metric string, "
+                                 "interval string, time timestamp, value double, intervalFrom timestamp, intervalTo timestamp")
+    path = str(tmp_path / "timeseries")
+    ST.upsert_table(spark, path, rows, "timeseries")
+    ST.expire_table(spark, path, "2026-04-03T00:00:00Z")  # cutoff 2026-01-03
+    for at in (path, path + "_contrib"):
+        assert [r["time"].day for r in ST.read_table(spark, at).collect()] == [3]
+    assert ST.scan_metric(spark, path, "timeseries", MetricQuery(tenant_id="t1")).count() == 1
+
+
+def test_stream_sink_refuses_accumulate():
+    import pytest
+
+    from pulseboard.streaming.sinks import metric_upsert_sink
+    with pytest.raises(ValueError):
+        metric_upsert_sink("unused", "platform", mode="accumulate")
+
+
+def test_long_job_lists_join_by_a_shuffle(spark):
+    from pulseboard.queries import QUERIES
+    plan = QUERIES["jobs_join_events_bucketed"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin [tenant_id" not in plan
