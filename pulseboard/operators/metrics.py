@@ -265,7 +265,8 @@ def _latency_skew_safe(base: DataFrame, group_cols: list[str], with_stats: bool)
         if with_stats:
             stats += [F.min(x).alias(f"{name}_min_raw"), F.count(x).alias(f"{name}_count"),
                       exact_sum(x).alias(f"{name}_sum_raw")]
-    out = base.groupBy(*keys).agg(*stats)
+    # without group columns there is one row even when nothing matched
+    out = base.groupBy(*keys).agg(*stats) if group_cols else base.groupBy().agg(*stats).withColumn("_all", F.lit(0))
     # the three series as one long column: one distributed pass for all of them
     series = F.array(*[F.struct(F.lit(n).alias("_series"), F.col(c).cast("double").alias("_x"))
                        for n, c in LATENCY_SERIES.items()])

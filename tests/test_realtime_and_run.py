@@ -82,3 +82,32 @@ def test_all_metrics_rerun_is_idempotent(spark, tmp_path):
         ETL.run_all(spark, base, str(tmp_path))
     p = spark.read.parquet(str(tmp_path / "platform")).collect()
     assert len(p) == 2 and sum(r["received"] for r in p) == 3
+
+
+def test_forced_percentiles_keep_the_zero_row_of_an_empty_request(spark):
+    ev = make_events(spark, expand("received", 2, receive_latency_ms=5.0))
+    rt = Realtime(ev, RealtimeQuery(timeline_ids=("nothing",)), "t1", NOW)
+    assert rt.latency(skew_safe=True).collect() == rt.latency().collect()
+
+
+def test_failed_metrics_send_the_jobs_to_the_dead_letters(spark, tmp_path, monkeypatch):
+    import json
+
+    from pulseboard.streaming.consumer import job_consumer_sink
+    ensure_checkpoint_dir(spark)
+
+    def broken(*_a, **_k):
+        raise ETL.MetricRunError({"device": "RuntimeError: broken metric"})
+
+    monkeypatch.setattr(ETL, "run_all", broken)
+    good = json.dumps({"version": 1, "jobType": "process-timeline", "tenantId": "t1", "matchId": "m1", "timelineId": "tl-1",
+                       "timeRangeMinutes": 60, "retryCount": 0, "origin": "scheduled"})
+    batch = spark.createDataFrame([(good,), ("not json",)], "value string")
+    from pulseboard.plans import jobs as JB
+    ok = JB.validate_jobs(batch).where("is_valid").count()
+    sink = job_consumer_sink(make_events(spark, expand("received", 1)), str(tmp_path / "store"), str(tmp_path / "dlq"),
+                             lambda _: NOW, environment=None)
+    for _ in range(2):  # a replay rewrites its own letters
+        sink(batch, 0)
+    letters = {r["value"]: r["errorMessage"] for r in spark.read.parquet(str(tmp_path / "dlq")).collect()}
+    assert ok == 1 and set(letters) == {good, "not json"} and "broken metric" in letters[good]
