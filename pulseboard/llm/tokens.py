@@ -20,7 +20,8 @@ CACHE_CHARS = 48
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 #: One point or comma at a word's end is a pre-token of its own, so a blank may part it from the word.
-_STOP = re.compile(r"(?<=[0-9A-Za-z])([.,])(?!\S)")
+#: The point is looked for first and its neighbours after: a leading look-behind is tried at every character.
+_STOP = re.compile(r"[.,](?!\S)(?<=[0-9A-Za-z].)")
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -41,7 +42,7 @@ class WordEncoder:
 
     def ids(self, text: str | None, end: int) -> np.ndarray:
         """Ids of a whole text (null: none), then ``end``; unsigned 32-bit, little-endian."""
-        text = _STOP.sub(r" \1", text or "")
+        text = _STOP.sub(r" \g<0>", text or "")
         if text.isascii():  # the vocabulary lower-cases after composing characters, which ASCII has none of
             text = text.lower()
         chunks = [c for c in _SPACE.split(text) if c] if _SEPARATORS.search(text) else text.split()
