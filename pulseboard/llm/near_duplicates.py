@@ -122,6 +122,9 @@ def compare(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray | None,
         first = least
 
 
+JOINED = ("doc_id", "text_hash", "class_id", "n_links", "n_text_links")
+
+
 def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: doc_id, text_hash (xxhash64 of the text), class_id, n_links, n_text_links.
 
@@ -134,6 +137,12 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     Only a verified link joins classes, and copies are carried as counts.  What a candidate cluster costs beyond its
     own size is comparing its texts, spread over units of at most about two blocks.
     """
+    return classes(docs, doc_id, text, threshold).select(*JOINED)
+
+
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``jaccard_join`` with ``class_hash``: class_id and class_hash are the id and text_hash of the class's least
+    document (null ids last).  Both name the class: an id alone does not, as classes may share it.  A text without words has no class_hash."""
     fraction = Fraction(threshold).limit_denominator(1000)
     prefix = prefix_length(threshold)
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(f"`{text}`").alias("text_hash"), F.col(f"`{text}`").alias("text"))
@@ -151,8 +160,8 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
 
     signed = stored(source.mapInPandas(sign, f"doc_id {id_type}, text_hash long, set_key binary, trees array<long>"), "signatures")
     nodes = signed.where("set_key IS NOT NULL").groupBy("set_key").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("trees").alias("trees"), F.min("doc_id").alias("least_id"))
-    nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "set_key", "rep.doc_id", "rep.text_hash", "copies", "least_id", "trees"), "nodes")
+        F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")).alias("least"), F.count(F.lit(1)).alias("copies"), F.any_value("trees").alias("trees"))
+    nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "set_key", "least.doc_id", "least.text_hash", "copies", "least", "trees"), "nodes")
 
     # chains: each node of a prefix to the prefix's least node
     under = nodes.select("node", F.explode_outer("trees").alias("prefix"))
@@ -196,30 +205,31 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     found = stored(units.mapInPandas(verify, "node long, root long, texts long, documents long"), "links")
     joined = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     totals = found.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("documents").alias("documents"))
-    least = joined.join(nodes.select("node", "least_id"), "node").groupBy("label").agg(F.min("least_id").alias("class_id"))
-    labels = joined.join(least, "label").join(totals, "node").select("node", "class_id", "texts", "documents")
-    judged = nodes.select("node", "set_key", "copies", "least_id").join(labels, "node", "left").select(
-        "set_key", F.when(F.col("texts").isNull(), F.col("least_id")).otherwise(F.col("class_id")).alias("class_id"),
+    least = joined.join(nodes.select("node", "least"), "node").groupBy("label").agg(F.min("least").alias("first"))
+    labels = joined.join(least, "label").join(totals, "node").select("node", "first", "texts", "documents")
+    judged = nodes.select("node", "set_key", "copies", "least").join(labels, "node", "left").withColumn("first", F.coalesce("first", "least")).select(
+        "set_key", F.col("first.doc_id").alias("class_id"), F.col("first.text_hash").alias("class_hash"),
         (F.col("copies") - 1 + F.coalesce("documents", F.lit(0))).alias("n_links"), F.coalesce("texts", F.lit(0)).cast("long").alias("n_text_links"))
     return signed.select("doc_id", "text_hash", "set_key").join(judged, "set_key", "left").select(
-        "doc_id", "text_hash", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "doc_id", "text_hash", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "class_hash",
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("n_text_links", F.lit(0).cast("long")).alias("n_text_links"))
 
 
 def one_per_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that are the least document of their class; texts without words all stay; of repeated rows one stays."""
-    c = stored(jaccard_join(docs, doc_id, text, threshold), "classes")
-    gone = c.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__op_id2"), F.col("text_hash").alias("__op_th2")).distinct()
+    """The rows of ``docs`` that are the least document of their class (by id, null ids last, then text_hash); texts without words
+    all stay; of repeated rows one stays.  Ids may be null or repeated: classes that share their least id keep a document each."""
+    c = stored(classes(docs, doc_id, text, threshold), "classes")
+    ids = (F.col("doc_id").alias("__op_id2"), F.col("text_hash").alias("__op_th2"))
+    least = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("class_hash"))
+    gone = c.where(F.col("class_hash").isNotNull() & ~least).select(*ids).distinct()
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
     mark = docs.withColumns({"__op_id": F.col(f"`{doc_id}`"), "__op_th": F.xxhash64(f"`{text}`")})
     same = lambda: F.col("__op_id").eqNullSafe(F.col("__op_id2")) & (F.col("__op_th") == F.col("__op_th2"))
     left = mark.join(gone, same(), "left_anti")
-    # rows of one id (a null one too) in a class of their least id: only these need comparing as rows
-    twice = c.where((F.col("n_links") > 0) & F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(F.col("doc_id").alias("__op_id2")).agg(F.count(F.lit(1)).alias("__op_n"), F.min("text_hash").alias("__op_th2")).where("__op_n > 1")
+    # a class's least document may be there as several rows
+    twice = c.where((F.col("n_links") > 0) & least).groupBy(*ids).agg(F.count(F.lit(1)).alias("__op_n")).where("__op_n > 1")
     if twice.limit(1).count():
         repeated = F.broadcast(twice) if twice.count() <= BROADCAST_ROWS else twice
-        hit = left.join(repeated, F.col("__op_id").eqNullSafe(F.col("__op_id2")), "left")
-        rest = hit.where("__op_n IS NULL")
-        one = hit.where("__op_n IS NOT NULL AND __op_th = __op_th2").dropDuplicates(["__op_id", "__op_th"])
-        left = rest.unionByName(one)
+        hit = left.join(repeated, same(), "left")
+        left = hit.where("__op_n IS NULL").unionByName(hit.where("__op_n IS NOT NULL").dropDuplicates(["__op_id", "__op_th"]))
     return left.select(*[F.col(f"`{c}`") for c in docs.columns])

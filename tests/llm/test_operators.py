@@ -97,6 +97,18 @@ def test_jaccard_join(spark, docs):
     assert near_duplicates.one_per_class(table.limit(0)).count() == 0
 
 
+def test_one_per_class_with_shared_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    def kept(rows):
+        return Counter(map(tuple, near_duplicates.one_per_class(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert kept([(None, a), (None, a), (None, b)]) == Counter([(None, a), (None, b)])  # an unlinked text beside a class of null ids
+    assert kept([(None, a), (None, a), (None, b), (None, b.upper()), (None, ""), (None, None), (None, c)]).total() == 5  # two such classes, wordless rows
+    got = kept([(1, a), (1, a), (2, a + " x"), (1, b), (1, b), (3, b), (1, c), (1, " "), (1, None), (None, a)])
+    assert got == Counter([(1, a), (1, b), (1, c), (1, " "), (1, None)])
+    near = kept([(1, a + " x"), (1, a + " y"), (1, b)])  # of near copies with one id, one stays
+    assert near.total() == 2 and near[1, b] == 1
+
+
 def test_toxicity(spark, docs):
     good, bad = "a pleasant day by the river", "you worthless idiot go away"
     rows = [(1000 + i, f"{bad if i % 4 == 0 else good} n{i}", "z") for i in range(200)]
