@@ -2,7 +2,8 @@
 
 Every text becomes the set of its hashed five-word shingles.  Texts with equal sets are one node from there on.  Each of ``TREES`` tries
 orders the nodes by its own sequence of minhash values; the matched prefix is shortened from ``DEPTH`` until a pair at the threshold
-shares one in some trie with at least the target probability.  Nodes under one prefix are chained to the least of them (linear in the
+shares one in some trie with at least the target probability.  The threshold and the target are fixed, so this level is the same for
+every node, and whatever meets on a deeper level meets on this one too: only its keys are made.  Nodes under one prefix are chained to the least of them (linear in the
 prefix's size, never all pairs), and the components of these chains are candidate clusters.
 
 Within a cluster every pair is compared, in units of two blocks of bounded size: a unit counts shingles that its texts share by a
@@ -15,6 +16,7 @@ import re
 from collections.abc import Iterator
 from fractions import Fraction
 from hashlib import blake2b
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -37,9 +39,15 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 _CACHE = 300_000
 
 
-def prefix_length(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
-    """The longest prefix, at most ``depth``, that a pair at the threshold shares in some trie with probability ``recall``."""
-    return next((k for k in range(depth, 1, -1) if 1 - (1 - threshold**k) ** trees >= recall), 1)
+def forest_recall(similarity: float, prefix: int, trees: int = TREES, hashes: int = HASHES) -> float:
+    """The probability that a pair shares a prefix in some trie.  All tries draw from the same minhashes, so they are not
+    independent: of ``hashes`` values m agree (binomial), and a trie's prefix is a draw of ``prefix`` of them without replacement."""
+    return 1 - sum(comb(hashes, m) * similarity**m * (1 - similarity) ** (hashes - m) * (1 - comb(m, prefix) / comb(hashes, prefix)) ** trees for m in range(hashes + 1))
+
+
+def prefix_length(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL, hashes: int = HASHES) -> int:
+    """The longest prefix, at most ``depth``, that a pair at the threshold shares in some trie with probability ``recall`` (1 if none does)."""
+    return next((k for k in range(depth, 1, -1) if forest_recall(threshold, k, trees, hashes) >= recall), 1)
 
 
 class Shingler:
@@ -163,10 +171,12 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
         F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")).alias("least"), F.count(F.lit(1)).alias("copies"), F.any_value("trees").alias("trees"))
     nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "set_key", "least.doc_id", "least.text_hash", "copies", "least", "trees"), "nodes")
 
-    # chains: each node of a prefix to the prefix's least node
+    # chains: each node of a prefix to the prefix's least node; of a node's several least nodes, all to the least of them, so that
+    # near copies, which share many prefixes, give about an edge each and not one per trie
     under = nodes.select("node", F.explode_outer("trees").alias("prefix"))
     crowded = under.groupBy("prefix").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("prefix", "first")
-    chains = under.join(crowded, "prefix").where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
+    firsts = under.join(crowded, "prefix").groupBy("node").agg(F.collect_set("first").alias("firsts"))
+    chains = firsts.select(F.explode(F.array_union("firsts", F.array("node"))).alias("a"), F.array_min("firsts").alias("b")).where("a != b").distinct()
     clusters = connected_components(chains).withColumnRenamed("label", "cluster")
     sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     asked = clusters.join(sizes, "cluster").join(nodes.select("node", "doc_id", "text_hash", "copies"), "node")

@@ -126,3 +126,14 @@ def test_forest_recall_at_the_threshold():
         a, b = both[:360], np.concatenate([both[40:360], both[360:]])  # 320 of 400 shared
         hits += bool((forest.keys(np.unique(a)) == forest.keys(np.unique(b))).any())
     assert hits >= 295
+
+
+def test_forest_recall_with_shared_minhashes():
+    k = N.prefix_length()
+    assert N.forest_recall(N.THRESHOLD, k) >= N.RECALL > N.forest_recall(N.THRESHOLD, k + 1)
+    r, order = np.random.RandomState(1), N.Forest(k).order
+    agree = r.random_sample((100_000, N.HASHES)) < N.THRESHOLD  # minhashes of pairs at the threshold, under the forest's own draws
+    missed = np.ones(len(agree), bool)
+    for trie in order:
+        missed &= ~agree[:, trie].all(axis=1)
+    assert 1 - missed.mean() >= N.RECALL
