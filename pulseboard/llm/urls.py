@@ -2,8 +2,8 @@
 
 Two variable-order Markov models (Witten-Bell interpolation of orders 0 to ``order``) are counted on the URLs
 that the rules accept and reject.  A URL's score is the difference of its log-likelihoods under the
-two, divided by its length.  A fifth of the decided URLs stays out of the counts and calibrates the threshold: the
-score below which a share ``false_block`` of held-out accepted URLs falls.
+two, divided by its length.  All rejected URLs are counted; a fifth of the accepted ones stays out of the counts and calibrates the
+threshold: the score below which a share ``false_block`` of them falls.
 
 Everything is a join or a grouping of distinct n-grams; counts grow with the URLs, and nothing is sent to the driver.
 """
@@ -21,7 +21,7 @@ from pulseboard.llm.common import barrier, stored
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
 ORDER = 4
 FALSE_BLOCK = 0.01
-#: Every CALIBRATION-th decided URL, by hash, calibrates instead of training.
+#: Every CALIBRATION-th accepted URL, by hash, calibrates instead of training.
 CALIBRATION = 5
 #: Symbols of the order -1 model: the probability of a character never seen is 1 / ALPHABET.
 ALPHABET = 256
@@ -113,9 +113,9 @@ def filter_urls(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, s
     rule, verdict = match_rule(F.col("__op_host"), F.col("__op_path"), rules)
     base = base.withColumns({"__op_rule": rule, "__op_verdict": verdict, "__op_u": F.concat("__op_host", "__op_path")})
     urls = base.groupBy(F.col("__op_u").alias("u"), F.col("__op_verdict").alias("known")).agg(F.count(F.lit(1)).alias("n"))
-    urls = stored(urls.withColumn("held", F.pmod(F.xxhash64("u"), F.lit(CALIBRATION)) == 0), "urls")
+    urls = stored(urls.withColumn("held", (F.col("known") == "allow") & (F.pmod(F.xxhash64("u"), F.lit(CALIBRATION)) == 0)), "urls")
     counts = stored(gram_counts(urls.where("known IS NOT NULL AND NOT held").select("u", (F.col("known") == "allow").alias("accepted"), "n"), order), "url-grams")
-    asked = urls.where("known IS NULL OR (held AND known = 'allow')")
+    asked = urls.where("known IS NULL OR held")
     scores = stored(asked.join(score_urls(asked.select("u").distinct(), counts, order), "u"), "url-scores")
     learnt = counts.where("k = 0").agg((F.sum("acc") > 0).alias("a"), (F.sum("rej") > 0).alias("r")).first()
     row = scores.where("known = 'allow'").agg(F.percentile("score", false_block, F.col("n")).alias("t")).first()

@@ -137,6 +137,17 @@ def test_urls(spark):
     assert urls.filter_urls(pages.limit(0)).count() == 0
 
 
+def test_urls_learn_from_every_rejected_url(spark):
+    """Blocked URLs whose hash is that of the calibration fold count in the model too."""
+    made = [(f"http://cheap-pills.net/es/{i}",) for i in range(100)]
+    fold = F.pmod(F.xxhash64(F.concat(*urls.host_and_path(F.col("url")))), F.lit(urls.CALIBRATION)) == 0
+    blocked = [r["url"] for r in spark.createDataFrame(made, "url string").where(fold).collect()]
+    good = [f"http://good{i % 7}.com/news/{i}" for i in range(60)]
+    assert blocked
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate([*good, *blocked, "http://cheap-pills.org/es/x"])], "page_id long, url string")
+    assert urls.filter_urls(pages).where("url LIKE '%org%'").first()["verdict"] == "block"
+
+
 def test_url_model_equals_plain_witten_bell(spark):
     import math
     a, b, order = ["ab.x/1", "ab.y/2", "abab"], ["zz.x/1", "zzz"], 4
