@@ -11,7 +11,9 @@ Conventions of every operator here:
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,5 +56,12 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def values(batch: pa.RecordBatch | pa.Table, *names: str, rows: int = 256) -> Iterator:
+    """Rows of the named columns as Python values (integers stay integers next to nulls), made a slice at a time."""
+    for i in range(0, batch.num_rows, rows):
+        part = [batch.column(n).slice(i, rows).to_pylist() for n in names]
+        yield from zip(*part, strict=True) if len(names) > 1 else part[0]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -20,10 +20,11 @@ from math import comb
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.llm.common import stored
+from pulseboard.llm.common import stored, values
 from pulseboard.llm.components import connected_components
 
 SHINGLE = 5
@@ -156,17 +157,18 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(f"`{text}`").alias("text_hash"), F.col(f"`{text}`").alias("text"))
     id_type = source.schema["doc_id"].dataType.simpleString()
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, forest = Shingler(), Forest(prefix)
         for batch in batches:
             keys, trees = [], []
-            for t in batch["text"]:
+            for t in values(batch, "text"):
                 s = shingles(t)
                 keys.append(blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 trees.append(forest.keys(s) if len(s) else None)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "set_key": keys, "trees": trees})
+            yield pa.record_batch([batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.binary()), pa.array(trees, pa.list_(pa.int64()))],
+                                  names=["doc_id", "text_hash", "set_key", "trees"])
 
-    signed = stored(source.mapInPandas(sign, f"doc_id {id_type}, text_hash long, set_key binary, trees array<long>"), "signatures")
+    signed = stored(source.mapInArrow(sign, f"doc_id {id_type}, text_hash long, set_key binary, trees array<long>"), "signatures")
     nodes = signed.where("set_key IS NOT NULL").groupBy("set_key").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")).alias("least"), F.count(F.lit(1)).alias("copies"), F.any_value("trees").alias("trees"))
     nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "set_key", "least.doc_id", "least.text_hash", "copies", "least", "trees"), "nodes")

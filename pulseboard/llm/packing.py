@@ -13,11 +13,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.llm.common import stored
+from pulseboard.llm.common import stored, values
 
 WINDOW = 2048
 #: Pieces of a block, on average.
@@ -81,19 +81,19 @@ def pack(pieces: DataFrame, length: str = "length", window: int = WINDOW, block_
     table = table.withColumns({"__op_row": F.monotonically_increasing_id()})
     table = table.withColumn("__op_block", F.pmod(F.xxhash64("__op_row"), F.lit(blocks)).cast("long"))
 
-    def place(rows: pd.DataFrame) -> pd.DataFrame:
-        n = rows[length].to_numpy(np.int64)
-        if len(n) and (n.min() < 1 or n.max() > window):
+    def place(rows: pa.Table) -> pa.Table:
+        n = rows.column(length).to_numpy()
+        if len(n) and not (n.min() >= 1 and n.max() <= window):  # a null is a NaN here
             raise ValueError(f"piece lengths must be from 1 to {window}")
-        order = np.lexsort((rows["__op_row"].to_numpy(), -n))
-        rows = rows.iloc[order]
-        number, offset = best_fit_decreasing(n[order], window)
-        return rows.assign(sequence_id=(rows["__op_block"].to_numpy(np.int64) << 32) + number, offset=offset)
+        order = np.lexsort((rows.column("__op_row").to_numpy(), -n))
+        number, offset = best_fit_decreasing(n[order].astype(np.int64), window)
+        first = rows.column("__op_block")[0].as_py() << 32
+        return rows.take(order).append_column("sequence_id", pa.array(first + number)).append_column("offset", pa.array(offset))
 
     fields = [f for f in table.schema.fields if f.name not in ("sequence_id", "offset")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", sequence_id long, offset long"
     keep = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    packed = table.select(*[F.col(f"`{f.name}`") for f in fields]).groupBy("__op_block").applyInPandas(place, schema)
+    packed = table.select(*[F.col(f"`{f.name}`") for f in fields]).groupBy("__op_block").applyInArrow(place, schema)
     return packed.select(*[F.col(f"`{c}`") for c in keep], "sequence_id", "offset")
 
 
@@ -105,18 +105,18 @@ def token_pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
     from binascii import crc32
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pulseboard.llm.tokens import encoder as encoder_of
         encoder = encoder_of(tokenizer)
         for batch in batches:
             sizes, sums = [], []
-            for t in batch["text"]:
+            for t in values(batch, "text"):
                 ids = encoder.ids(t, end)
                 sizes.append(len(ids))
                 sums.append([crc32(ids[i:i + window].tobytes()) for i in range(0, len(ids), window)])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "doc_tokens": sizes, "sums": sums})
+            yield pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sums, pa.list_(pa.int64()))], names=["doc_id", "doc_tokens", "sums"])
 
     id_type = source.schema["doc_id"].dataType.simpleString()
-    counted = source.mapInPandas(encode, f"doc_id {id_type}, doc_tokens long, sums array<long>")
+    counted = source.mapInArrow(encode, f"doc_id {id_type}, doc_tokens long, sums array<long>")
     pieces = cut(counted, "doc_tokens", window)
     return pieces.select("doc_id", "doc_tokens", "start", "length", F.get("sums", (F.col("start") / window).cast("int")).alias("ids_crc32"))

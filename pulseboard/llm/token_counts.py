@@ -12,10 +12,12 @@ import math
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulseboard.llm.common import values
+
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Words a task remembers, and the length up to which a word is worth it.
@@ -97,9 +99,9 @@ def count_tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text:
     """
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(load_vocabulary(vocabulary))
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": [counter.text(t) for t in batch["text"]]})
+            yield pa.record_batch([batch.column("doc_id"), pa.array([counter.text(t) for t in values(batch, "text")], pa.int64())], names=["doc_id", "n_tokens"])
 
-    return source.mapInPandas(count, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, n_tokens long")
+    return source.mapInArrow(count, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, n_tokens long")

@@ -13,11 +13,11 @@ from binascii import crc32
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.llm.common import shared_folder, stored
+from pulseboard.llm.common import shared_folder, stored, values
 from pulseboard.llm.packing import WINDOW, best_fit_decreasing
 
 #: Tokens and documents of a block; memory of a task follows the first, and one document.
@@ -58,25 +58,26 @@ def write_packed(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     most = np.iinfo(dtype).max
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pulseboard.llm.files import attempt_name, writer
         from pulseboard.llm.tokens import encoder as encoder_of
         encoder, name, block = encoder_of(tokenizer), attempt_name(), 0
         keys, held, n = [], [], 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             path = f"{folder}/{name}-{block:05d}.npz"
             arrays, pieces = pack_block(held, window, pad, dtype)
             data = io.BytesIO()
             np.savez(data, **arrays)
             with writer(path) as out:
                 out.write(data.getbuffer())
-            out = pd.DataFrame(pieces, columns=["k", "start", "length", "row", "offset"])
-            return pd.DataFrame({"doc_id": pd.Series(keys, dtype=object).iloc[out["k"]].to_numpy(), "doc_tokens": [len(held[k]) for k in out["k"]],
-                                 "start": out["start"], "length": out["length"], "path": path, "row": out["row"], "offset": out["offset"]})
+            k, start, length, row, offset = zip(*pieces, strict=True)
+            columns = [pa.array([keys[i] for i in k], kind), [len(held[i]) for i in k], start, length, [path] * len(k), row, offset]
+            return pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=["doc_id", "doc_tokens", "start", "length", "path", "row", "offset"])
 
         for batch in batches:
-            for key, t in zip(batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None), batch["text"], strict=True):
+            kind = batch.schema.field("doc_id").type
+            for key, t in values(batch, "doc_id", "text"):
                 ids = encoder.ids(t, end)
                 if ids.max() > most or pad > most:
                     raise ValueError(f"an id is above {most}")
@@ -90,7 +91,7 @@ def write_packed(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
             yield flush()
 
     id_type = source.schema["doc_id"].dataType.simpleString()
-    return stored(source.mapInPandas(write, f"doc_id {id_type}, doc_tokens long, start long, length long, path string, row long, offset long"), "packed-index")
+    return stored(source.mapInArrow(write, f"doc_id {id_type}, doc_tokens long, start long, length long, path string, row long, offset long"), "packed-index")
 
 
 def read_packed(index: DataFrame) -> DataFrame:
@@ -99,20 +100,22 @@ def read_packed(index: DataFrame) -> DataFrame:
     A segment that is missing, longer, shorter or without its position reset fails the job.
     """
 
-    def read(rows: pd.DataFrame) -> pd.DataFrame:
+    def read(rows: pa.Table) -> pa.Table:
         from pulseboard.llm.files import reader
-        with reader(rows["path"].iloc[0]) as f:
+        path = rows.column("path")[0].as_py()
+        places = list(values(rows, "row", "offset", "length"))
+        with reader(path) as f:
             data = np.load(io.BytesIO(f.read()))
         ids, cu, at = data["ids"], data["cu_lengths"], data["cu_rows"]
         resets = np.unpackbits(data["resets"], axis=1)
         found = {(r, int(a)): int(b - a) for r in range(len(ids)) for a, b in zip(cu[at[r]:at[r + 1] - 1], cu[at[r] + 1:at[r + 1]], strict=True)}
-        want = dict(zip(zip(rows["row"], rows["offset"], strict=True), rows["length"], strict=True))
+        want = {(r, o): m for r, o, m in places}
         if found != want or int(resets.sum()) != len(want):
-            raise ValueError(f"{rows['path'].iloc[0]} does not hold the segments of its index")
-        sums = [crc32(ids[r, o:o + m].astype("<u4").tobytes()) for r, o, m in zip(rows["row"], rows["offset"], rows["length"], strict=True)]
-        return rows.assign(ids_crc32=sums)
+            raise ValueError(f"{path} does not hold the segments of its index")
+        sums = [crc32(ids[r, o:o + m].astype("<u4").tobytes()) for r, o, m in places]
+        return rows.append_column("ids_crc32", pa.array(sums, pa.int64()))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in index.schema.fields) + ", ids_crc32 long"
     # a number of its own: by their bytes the index's rows would go to a few tasks
     files = index.agg(F.count_distinct("path")).first()[0]
-    return index.repartition(max(1, min(files, MOST_TASKS)), "path").groupBy("path").applyInPandas(read, schema)
+    return index.repartition(max(1, min(files, MOST_TASKS)), "path").groupBy("path").applyInArrow(read, schema)

@@ -3,6 +3,9 @@
 The vocabulary's pre-tokenizer never joins text across white space, so a text's ids are those of its
 white-space separated chunks in a row.  Chunks repeat, so a worker encodes a chunk once and looks it up afterwards, in a
 table of bounded size that its later tasks find again.
+
+Strings such as ``<|endoftext|>`` inside a text are ordinary text (``encode_special_tokens = True``, as the tokenizers' own
+description has it): a document cannot put a control id into the ids.
 """
 
 from __future__ import annotations
@@ -13,8 +16,8 @@ import struct
 
 import numpy as np
 
-#: Chunks a worker remembers (about 200 bytes each), and the length up to which a chunk is worth it.
-CACHE_CHUNKS = 800_000
+#: Chunks a worker remembers (about 200 bytes each, so some 40 MB a worker), and the length up to which a chunk is worth it.
+CACHE_CHUNKS = 200_000
 CACHE_CHARS = 48
 #: str.split() also cuts at these four, which the tokenizer keeps as text.
 _SEPARATORS = re.compile("[\x1c-\x1f]")

@@ -11,10 +11,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.llm.common import stored
+from pulseboard.llm.common import stored, values
 
 BITS = 18
 SIZES = (4, 5, 6)
@@ -127,13 +128,15 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     if known.count() <= BROADCAST_LABELS:
         known = F.broadcast(known)
     source = docs.select(F.col(f"`{doc_id}`").alias("__op_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    labelled = source.join(known, "__op_id").select("text", "label", "__op_id")
+    labelled = source.join(known, "__op_id").select("text", "label", "__op_id").withColumn("__op_th", F.xxhash64("text"))
     ratios, n_one, n_zero = log_count_ratios(labelled.select("text", "label"))
     if not n_one or not n_zero:
         share = (n_one + ALPHA) / (n_one + n_zero + 2 * ALPHA) if n_one + n_zero else 0.0
         return {"entries": np.zeros(0, np.int64), "weights": np.zeros(0), "bias": float(np.log(share / (1 - share))) if share else -np.inf, "rows": n_one + n_zero}
     part = F.when(F.col("label") == 1, FIT_ROWS / n_one).otherwise(FIT_ROWS / n_zero)
-    sample = labelled.where(F.pmod(F.xxhash64("__op_id", F.lit("fit")), F.lit(1 << 30)) < part * (1 << 30)).select("text", "label")
+    # drawn by id and text, so the rows of one id are drawn apart; equal rows of an id are one row of the sample
+    sample = labelled.where(F.pmod(F.xxhash64("__op_id", "__op_th", F.lit("fit")), F.lit(1 << 30)) < part * (1 << 30))
+    sample = sample.dropDuplicates(["__op_id", "__op_th"]).select("text", "label")
     wanted = np.flatnonzero(ratios)
 
     def held(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -155,12 +158,13 @@ def score(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "tex
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(f"`{text}`").alias("text_hash"), F.col(f"`{text}`").alias("text"))
     entries, weights, bias = model["entries"], model["weights"], model["bias"]
 
-    def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << BITS)
         table[entries] = weights
         for batch in batches:
-            z = np.array([table[features(t)].sum() + bias for t in batch["text"]], float)
+            z = np.array([table[features(t)].sum() + bias for t in values(batch, "text")], float)
             s = np.where(np.isneginf(z), 0.0, 1 / (1 + np.exp(-np.clip(z, -500, 500))))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "score": s, "predicted": (s >= 0.5).astype(np.int32)})
+            yield pa.record_batch([batch.column("doc_id"), batch.column("text_hash"), pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
+                                  names=["doc_id", "text_hash", "score", "predicted"])
 
-    return source.mapInPandas(rate, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, text_hash long, score double, predicted int")
+    return source.mapInArrow(rate, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, text_hash long, score double, predicted int")

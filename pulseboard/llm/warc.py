@@ -13,11 +13,12 @@ from collections.abc import Iterator
 from typing import BinaryIO
 
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.llm.common import shared_folder, stored
+from pulseboard.llm.common import shared_folder, stored, values
 
 DICTIONARY_MAGIC = 0x184D2A5D
 ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
@@ -152,14 +153,14 @@ def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     rows = rows.select("id", "url", "digest", "size", F.when(F.col("id") < F.col("top"), F.col("top")).alias("refers"), "html")
     rows = rows.withColumn("html", F.when(F.col("refers").isNull(), F.col("html")))
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pulseboard.llm.files import attempt_name, writer
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         compressor = zstandard.ZstdCompressor(level=3, dict_data=shared, write_content_size=True) if shared else zstandard.ZstdCompressor(level=3)
         name, paths, counts, out, filled = attempt_name(), [], [], None, 0
         try:
             for batch in batches:
-                for key, url_, digest, size, refers, body in zip(*(batch[c].astype(object).where(batch[c].notna(), None) for c in ("id", "url", "digest", "size", "refers", "html")), strict=True):
+                for key, url_, digest, size, refers, body in values(batch, "id", "url", "digest", "size", "refers", "html"):
                     if out is None or filled >= archive_bytes:
                         if out is not None:
                             out.close()
@@ -168,18 +169,17 @@ def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url",
                         out, filled = writer(paths[-1]), 0
                         packed = zstandard.ZstdCompressor().compress(dictionary) if dictionary else b""
                         out.write(struct.pack("<II", DICTIONARY_MAGIC, len(packed)) + packed)
-                    ref = None if refers is None else f"urn:page:{int(refers) if isinstance(refers, float) else refers}"
-                    key = "" if key is None else int(key) if isinstance(key, float) else key
-                    data = record("response" if ref is None else "revisit", f"urn:page:{key}", url_, (body or "").encode("utf-8", "surrogatepass"), digest, int(size), ref)
+                    ref = None if refers is None else f"urn:page:{refers}"
+                    data = record("response" if ref is None else "revisit", f"urn:page:{'' if key is None else key}", url_, (body or "").encode("utf-8", "surrogatepass"), digest, size, ref)
                     out.write(compressor.compress(data))
                     filled += len(data)
                     counts[-1] += 1
         finally:
             if out is not None:
                 out.close()
-        yield pd.DataFrame({"path": paths, "records": counts})
+        yield pa.record_batch([pa.array(paths, pa.string()), pa.array(counts, pa.int64())], names=["path", "records"])
 
-    return stored(rows.mapInPandas(write, "path string, records long"), "warc-manifest")
+    return stored(rows.mapInArrow(write, "path string, records long"), "warc-manifest")
 
 
 def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
