@@ -118,6 +118,8 @@ def replace_contributions(old_contrib: DataFrame | None, new: DataFrame, metric_
     keys = list(JOB_KEY) if by == "job" else contribution_key(metric_type)
     gone = new.select(*keys)
     if jobs is not None and by == "job":
+        if lacking := [k for k in keys if k not in jobs.columns]:
+            raise ValueError(f"the job list has no column {', '.join(lacking)}; a job is named by {', '.join(keys)}")
         gone = gone.unionByName(jobs.select(*keys))
     gone = gone.distinct()
     kept = old_contrib.join(gone, keys, "left_anti")

@@ -1,5 +1,6 @@
 """Results stay whole: no default bucket limit, extreme numbers, tenant ids as text, reruns with a vanished job."""
 
+import pytest
 from conftest import expand
 
 from pulseboard.operators import metrics as M
@@ -44,7 +45,9 @@ def test_tenant_ids_stay_text(spark, events_factory, tmp_path):
 def test_rerun_clears_a_job_without_events(spark, events_factory, tmp_path):
     a, b = expand("sent", 5, timeline_id="a", platform="x", room_size=1.0), expand("sent", 7, timeline_id="b", platform="x", room_size=1.0)
     path, rows = str(tmp_path / "p"), lambda r: M.platform_metrics(grid_context(events_factory(r), 60))
-    jobs = rows(a + b).select("tenantId", "matchId", "timelineId", "intervalFrom")
+    jobs = rows(a + b).select("tenantId", "matchId", "timelineId", "intervalFrom", "intervalTo")
     ST.upsert_table(spark, path, rows(a + b), "platform", now=NOW, jobs=jobs)
     ST.upsert_table(spark, path, rows(a), "platform", now=NOW, jobs=jobs)
     assert [r["sent"] for r in ST.read_table(spark, path).collect()] == [5.0]
+    with pytest.raises(ValueError, match="intervalTo"):
+        ST.upsert_table(spark, path, rows(a), "platform", now=NOW, jobs=jobs.drop("intervalTo"))
