@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseboard.llm import (chat, decontaminate, near_duplicates, oracle, packing, quality, token_counts, token_output, toxicity,
-                            urls, warc)
+from pulseboard.llm import (chat, decontaminate, near_duplicates, oracle, packing, quality, sharding, spelling, token_counts,
+                            token_output, toxicity, urls, warc, whitening)
 from pulseboard.llm.common import table
 
 
@@ -81,6 +81,22 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spelling.run_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), spell=spelling.planted_typo)
+    return spelling.spelling_groups(counts.where("length(word) >= 5 AND n >= 3"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", whitening.fixed_point(F.col("embedding")).alias("x"))
+    return whitening.whiten(vectors)
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+                         "virtual_slot", "map_version")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
@@ -92,5 +108,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
     "op10_chat_format": op10_chat_format,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_whitening": op12_whitening,
+    "op13_sharding": op13_sharding,
 }
 ORACLES: dict[str, str] = dict(oracle.SQL)
