@@ -52,4 +52,56 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-SQL = {"op1_quality_rules": OP1, "op2_decontamination": OP2, "op10_chat_format": OP10}
+#: CRC-32 of lists of byte values, without a built-in for it: the table of the reflected polynomial, then one step per byte.
+_CRC_TABLE = """(SELECT list(v ORDER BY b) FROM (SELECT b, list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+       CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v FROM (SELECT unnest(generate_series(0, 255))::BIGINT AS b)))"""
+
+
+def _crc(byte_list: str) -> str:
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {byte_list}), lambda c, x: xor(c // 256, crc_table[xor(c % 256, x) + 1])), 4294967295)"
+
+
+#: The characters of a run and of an id have at most two bytes.
+_RUN_BYTES = "flatten(list_transform(string_split(s, ''), lambda ch: CASE WHEN ord(ch) < 128 THEN [ord(ch)::BIGINT] ELSE [195::BIGINT, ord(ch) - 64] END))"
+
+#: Near words share a string with one code point deleted: of both at the same place (replaced), or of the longer one (inserted).
+OP11 = rf"""
+WITH RECURSIVE t AS MATERIALIZED (SELECT {_CRC_TABLE} AS crc_table),
+runs AS (SELECT doc_id, run, count(*) AS k FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents) GROUP BY ALL),
+hashed AS (SELECT run, k, {_crc(_RUN_BYTES)} AS h FROM (SELECT run, k, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS s FROM runs), t),
+spelt AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, k FROM hashed),
+w AS MATERIALIZED (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM spelt GROUP BY word HAVING length(word) >= 5 AND sum(k) >= 3),
+cut AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS short FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM w)),
+near AS (SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b USING (i, short) WHERE a.word <> b.word
+         UNION SELECT a.word, b.word, b.n FROM cut a JOIN w b ON a.short = b.word
+         UNION SELECT b.word, a.word, a.n FROM cut a JOIN w b ON a.short = b.word),
+best AS (SELECT word, count(*) AS n_near, max(n) AS top FROM near GROUP BY word),
+pick AS (SELECT word, n_near, top, min(other) AS other FROM best JOIN near USING (word) WHERE near.n = top GROUP BY ALL),
+f AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * w.n THEN other END AS form, CASE WHEN top >= 2 * w.n THEN top END AS form_n
+      FROM w LEFT JOIN pick USING (word)),
+up AS (SELECT word, word AS root FROM f UNION ALL SELECT up.word, f.form FROM up JOIN f ON up.root = f.word WHERE f.form IS NOT NULL),
+last AS (SELECT up.word, up.root FROM up JOIN f ON up.root = f.word WHERE f.form IS NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN last USING (word)
+"""
+
+#: Slots in turn by falling bytes, as one fold over the list of the slots that hold bytes (the others have none to place).
+OP13 = rf"""
+WITH t AS MATERIALIZED (SELECT {_CRC_TABLE} AS crc_table),
+d AS MATERIALIZED (SELECT doc_id, octet_length(encode(s)) + 8 AS size, {_crc("list_transform(generate_series(1, octet_length(encode(s))), lambda i: CAST('0x' || substr(hex, 2 * i - 1, 2) AS BIGINT))")} AS crc
+      FROM (SELECT doc_id, coalesce(text, '') AS s, hex(encode(coalesce(text, ''))) AS hex FROM documents), t),
+r AS MATERIALIZED (SELECT *, CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || size || ':' || crc || ':' || copy // 256), 1, 8)) AS BIGINT) % 8192 AS v FROM
+      (SELECT *, row_number() OVER (PARTITION BY doc_id, size, crc) - 1 AS copy FROM d)),
+slots AS (SELECT v, v % 24 AS shard, sum(size)::BIGINT AS bytes FROM r GROUP BY v),
+one AS (SELECT list({{'v': v, 'shard': shard, 'bytes': bytes}} ORDER BY bytes DESC, v) AS l, ceil(sum(bytes) / 24) AS share FROM slots),
+steps AS (SELECT l, share, list_reduce(list_transform(l, lambda x: {{'used': list_value({', '.join(['0::BIGINT'] * 24)}), 'to': CAST([] AS BIGINT[]), 'shard': x.shard, 'bytes': x.bytes}}),
+       lambda a, x: {{'used': list_transform(a.used, lambda u, i: u + CASE WHEN i = (CASE WHEN a.used[x.shard + 1] + x.bytes <= share THEN x.shard + 1 ELSE list_position(a.used, list_min(a.used)) END) THEN x.bytes ELSE 0 END),
+       'to': list_append(a.to, CASE WHEN a.used[x.shard + 1] + x.bytes <= share THEN x.shard ELSE list_position(a.used, list_min(a.used)) - 1 END), 'shard': 0::BIGINT, 'bytes': 0::BIGINT}},
+       {{'used': list_value({', '.join(['0::BIGINT'] * 24)}), 'to': CAST([] AS BIGINT[]), 'shard': 0::BIGINT, 'bytes': 0::BIGINT}}) AS s FROM one),
+m AS (SELECT unnest(list_transform(l, lambda x: x.v)) AS v, unnest(s.to) AS shard FROM steps)
+SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard, row_number() OVER (PARTITION BY shard ORDER BY v, doc_id NULLS FIRST, crc, size, copy) - 1 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard, CAST(v AS INTEGER) AS virtual_slot, CAST(2 AS INTEGER) AS map_version
+FROM r JOIN m USING (v)
+"""
+
+SQL = {"op1_quality_rules": OP1, "op2_decontamination": OP2, "op10_chat_format": OP10, "op11_spelling_variants": OP11, "op13_sharding": OP13}

@@ -68,32 +68,33 @@ class Acceptor:
         """Whether two states may accept strings of one length (a group's lengths differ by one at most, so this is exact)."""
         return self.low[a] <= self.high[b] and self.low[b] <= self.high[a]
 
-    def one_edit(self, below: int) -> Iterator[tuple[int, int]]:
-        """Numbers of all accepted pairs at one edit whose first difference is at a place before ``below``.
+    def one_edit(self, below: int, after: str = "") -> Iterator[tuple[int, int]]:
+        """Numbers of all accepted pairs at one edit whose first difference is at a place before ``below``; ``after`` is the label that
+        follows every string (empty: none does).  Of two strings of the greater length only those that share their way with lesser ones appear.
 
         The transducer copies labels, then replaces one (the lesser label on the left) or inserts one on the right, then copies again.
         After an insertion the next label must differ from the inserted one, so that of several readings only the last is taken."""
-        walk = [(0, 0, 0)]
+        walk, least = [(0, 0, 0)], self.low[0]
         while walk:
             q, i, depth = walk.pop()
             arcs = [(x, to, i + at) for x, (to, at) in self.arcs[q].items()]
             for k, (x, to, at) in enumerate(arcs):
                 if depth + 1 < below and self.count[to] > 1:
                     walk.append((to, at, depth + 1))
-                for _, to2, at2 in arcs[k + 1:]:
+                for _, to2, at2 in arcs[k + 1:] if self.low[to] + depth < least else ():
                     if self.meet(to, to2):
-                        yield from self._copy(to, at, to2, at2, None)
+                        yield from self._copy(to, at, to2, at2, None, after)
                 if self.meet(q, to):
-                    yield from self._copy(q, i, to, at, x)
+                    yield from self._copy(q, i, to, at, x, after)
 
-    def _copy(self, a: int, i: int, b: int, j: int, not_next: str | None) -> Iterator[tuple[int, int]]:
+    def _copy(self, a: int, i: int, b: int, j: int, not_next: str | None, after: str) -> Iterator[tuple[int, int]]:
         walk = [(a, i, b, j)]
         while walk:
             a, i, b, j = walk.pop()
             if a == b:
                 yield from zip(range(i, i + self.count[a]), range(j, j + self.count[a]), strict=True)
                 continue
-            if self.final[a] and self.final[b]:
+            if self.final[a] and self.final[b] and (not_next is None or not_next != after):
                 yield i, j
             other = self.arcs[b]
             for x, (to, at) in self.arcs[a].items():
@@ -104,13 +105,17 @@ class Acceptor:
             not_next = None
 
 
-def group_forms(words: list[str], n: list[int], p: int, s: int, bound: int) -> list[tuple[str, int, int, str]]:
-    """(word, near words, n of the best of them, the best) of a group's words that share their first p and last s code points."""
+def group_forms(words: list[str], n: list[int], c: int, p: int, s: int, bound: int) -> list[tuple[str, int, int, str]]:
+    """(word, near words, n of the best of them, the best) of a group's words, of c and c + 1 code points, that share their first p and
+    last s.  Pairs of two longer words belong to the group in which they are the shorter ones."""
     middles = sorted((w[p:len(w) - s], k) for k, w in enumerate(words))
     place = [k for _, k in middles]
     near, best = [0] * len(words), [None] * len(words)
-    for i, j in Acceptor([m for m, _ in middles]).one_edit(bound - p):
+    after = words[0][len(words[0]) - s] if s else ""
+    for i, j in Acceptor([m for m, _ in middles]).one_edit(bound - p, after):
         i, j = place[i], place[j]
+        if len(words[i]) + len(words[j]) > 2 * c + 1:
+            continue
         for a, b in ((i, j), (j, i)):
             near[a] += 1
             form = (-n[b], words[b])
@@ -126,11 +131,11 @@ def run_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", spel
 
 
 def _halves(df: DataFrame) -> DataFrame:
-    """The rows of each group in the groups of its leading and of its trailing half."""
+    """The rows of each group in the groups of its leading and of its trailing half; a group's pairs first differ at a place from p to before ``bound``."""
     h, word = F.floor((F.col("c") - F.col("p") - F.col("s")) / 2).cast("int"), F.col("word")
     one = F.struct("c", (F.col("p") + h).alias("p"), "s", "bound")
     two = F.struct("c", "p", (F.col("s") + h).alias("s"), (F.col("p") + h).alias("bound"))
-    both = df.select("word", "n", F.explode(F.array(one, two)).alias("g")).select("word", "n", "g.*")
+    both = df.select("word", "n", F.explode(F.array(one, two)).alias("g")).select("word", "n", "g.*").where("p < bound")
     return both.select("word", "n", "c", "p", "s", "bound", F.substring(word, F.lit(1), F.col("p")).alias("head"),
                        F.substring(word, F.length(word) - F.col("s") + 1, F.col("s")).alias("tail"))
 
@@ -139,7 +144,7 @@ def near_words(words: DataFrame, most: int = MOST, task_words: int = TASK_WORDS)
     """word, n_near, best_n, best for the words of ``words`` (word, n; stored) that have a near word."""
     length = F.length("word")
     start = words.where("length(word) > 0").select("word", "n", F.explode(F.filter(F.array(length, length - 1), lambda c: c > 0)).alias("c"))
-    level = _halves(start.withColumns({"p": F.lit(0), "s": F.lit(0), "bound": F.col("c") + 1})).where("c > 1 OR bound > 1")
+    level = _halves(start.withColumns({"p": F.lit(0), "s": F.lit(0), "bound": F.col("c") + 1}))
     ready = None
     while True:
         crowded = stored(level.groupBy(*KEY).agg(F.count(F.lit(1)).alias("rows")).where(f"rows > {most} AND c - p - s > 1").select(*KEY), "crowded")
@@ -158,7 +163,7 @@ def near_words(words: DataFrame, most: int = MOST, task_words: int = TASK_WORDS)
         group, rows = None, []
 
         def found() -> list[tuple[str, int, int, str]]:
-            return group_forms([w for w, _ in rows], [n for _, n in rows], *group[1:4]) if len(rows) > 1 else []
+            return group_forms([w for w, _ in rows], [n for _, n in rows], *group[:4]) if len(rows) > 1 else []
 
         def table(out: list) -> pa.RecordBatch:
             return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 4, kinds, strict=True)], names=names)
