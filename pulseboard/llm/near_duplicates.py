@@ -37,7 +37,7 @@ BLOCK = 256
 BROADCAST_ROWS = 500_000
 _WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_CACHE = 300_000
+_CACHE = 100_000
 
 
 def forest_recall(similarity: float, prefix: int, trees: int = TREES, hashes: int = HASHES) -> float:
