@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _INF = float("inf")
+#: From here on a double has no third decimal to round, and its hundredfold leaves the range in which doubles are exact.
+WHOLE_FROM = 2.0**53 / 100
 
 
 def _col(c) -> Column:
@@ -25,7 +27,7 @@ def _col(c) -> Column:
 def r2_sql(x: str) -> str:
     d = f"CAST(({x}) AS DOUBLE)"
     return (f"(CASE WHEN {d} IS NULL OR isnan({d}) OR abs({d}) = CAST('Infinity' AS DOUBLE) THEN 0D "
-            f"ELSE floor({d} * 100 + 0.5) / 100 END)")
+            f"WHEN abs({d}) >= {WHOLE_FROM!r}D THEN {d} ELSE floor({d} * 100 + 0.5) / 100 END)")
 
 
 def rate_sql(n: str, d: str) -> str:
@@ -44,7 +46,7 @@ def r2(x) -> Column:
         return F.expr(r2_sql(x))
     x = x.cast("double")
     bad = x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(_INF))
-    return F.when(bad, F.lit(0.0)).otherwise(F.floor(x * 100 + 0.5) / 100)
+    return F.when(bad, F.lit(0.0)).when(F.abs(x) >= WHOLE_FROM, x).otherwise(F.floor(x * 100 + 0.5) / 100)
 
 
 def rate(n, d) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pulseboard.functions.numeric import exact_avg, exact_sum, key_or_unknown, r2, r2_sql, rate, stage_is
 from pulseboard.functions.time import parse_interval
+from pulseboard.operators.percentiles import distribution, finite, value_counts
 from pulseboard.operators.topk import top_n_per_group
 from pulseboard.schema import (
     CONTEXT, DEVICE_DIMENSIONS, ETL_TIMESERIES_INTERVAL, LATENCY_PERCENTS, STAGE_FAILED,
@@ -97,6 +98,10 @@ def device_breakdown(base: DataFrame, dimensions: list[str] | None = None,
         exact_avg(F.when(stage_is(STAGE_RENDERED), F.col("render_duration_ms"))).alias("avg_render_raw"),
         F.count(F.lit(1)).alias("doc_count"),
     )
+    return derive_device(agg, top_n)
+
+
+def derive_device(agg: DataFrame, top_n: int | None = None) -> DataFrame:
     top = top_n_per_group(agg, [*CONTEXT, "dimension"], "doc_count", "bucketKey", top_n)
     return top.select(
         *_IDS, "dimension", "bucketKey", "received", "rendered", "failed",
@@ -108,39 +113,32 @@ def device_breakdown(base: DataFrame, dimensions: list[str] | None = None,
 
 # ---------------------------------------------------------------- A5 transport
 def transport_comparison(base: DataFrame, top_n: int | None = None,
-                         approx_accuracy: int | None = None, skew_safe: bool = False,
-                         hot_threshold: int | None = None) -> DataFrame:
-    """A5: count of all rows, render rate, avg and p95 render time per transport mode.
+                         approx_accuracy: int | None = None) -> DataFrame:
+    """A5: count of all rows, render rate, avg and exact p95 render time per transport mode.
 
-    ``approx_accuracy`` switches the p95 to the mergeable ``percentile_approx``
-    sketch (bounded memory per group); default is the exact percentile, whose
-    state is a value->count map per group (bounded by distinct values).
+    The p95 is selected from counts of (job, mode, render time) (operators.percentiles): the same plan
+    for every size of a group.  ``approx_accuracy`` takes the mergeable ``percentile_approx`` sketch instead.
     """
     rendered_ms = F.when(stage_is(STAGE_RENDERED), F.col("render_duration_ms"))
-    aggs = [F.count(F.lit(1)).alias("count"),
-            _count_stage(STAGE_RECEIVED).alias("_received"),
-            _count_stage(STAGE_RENDERED).alias("_rendered"),
-            exact_avg(rendered_ms).alias("_avg")]
-    keys = [*CONTEXT, "transportMode"]
     keyed = base.withColumn("transportMode", key_or_unknown("transport_mode"))
-    hot = None
-    if hot_threshold is not None and not skew_safe and approx_accuracy is None:
-        from pulseboard.operators.percentiles import split_hot
-        keyed, hot = split_hot(keyed, keys, hot_threshold)
-    if skew_safe:
-        from pulseboard.operators.percentiles import distributed_percentiles
-        pct = distributed_percentiles(keyed.withColumn("_r", rendered_ms), keys, "_r", [0.95])
-        agg = keyed.groupBy(*keys).agg(*aggs).join(pct.withColumnRenamed("p0", "_p95"), keys, "left")
-    elif hot is not None:
-        from pulseboard.operators.percentiles import distributed_percentiles
-        pct = distributed_percentiles(hot.withColumn("_r", rendered_ms), keys, "_r", [0.95])
-        agg = (keyed.groupBy(*keys).agg(*aggs, F.percentile(rendered_ms, F.lit(0.95)).alias("_p95"))
-               .unionByName(hot.groupBy(*keys).agg(*aggs).join(pct.withColumnRenamed("p0", "_p95"), keys,
-                                                                "left")))
-    else:
-        p95 = (F.percentile(rendered_ms, F.lit(0.95)) if approx_accuracy is None
-               else F.percentile_approx(rendered_ms, F.lit(0.95), F.lit(approx_accuracy)))
-        agg = keyed.groupBy(*keys).agg(*aggs, p95.alias("_p95"))
+    if approx_accuracy is not None:
+        agg = keyed.groupBy(*CONTEXT, "transportMode").agg(
+            F.count(F.lit(1)).alias("count"), _count_stage(STAGE_RECEIVED).alias("_received"), _count_stage(STAGE_RENDERED).alias("_rendered"),
+            exact_avg(rendered_ms).alias("_avg"), F.percentile_approx(rendered_ms, F.lit(0.95), F.lit(approx_accuracy)).alias("_p95"))
+        return derive_transport(agg, top_n)
+    counts = value_counts(keyed, [*CONTEXT, "transportMode"], rendered_ms, {
+        "_received": F.when(stage_is(STAGE_RECEIVED), 1).otherwise(0), "_rendered": F.when(stage_is(STAGE_RENDERED), 1).otherwise(0)})
+    return transport_from_counts(counts, top_n)
+
+
+def transport_from_counts(counts: DataFrame, top_n: int | None = None) -> DataFrame:
+    """The table from value counts (CONTEXT, transportMode, _v, _c, _received, _rendered)."""
+    found = distribution(counts, [*CONTEXT, "transportMode"], [0.95], ["_received", "_rendered"])
+    return derive_transport(found.select(*CONTEXT, "transportMode", F.col("rows").alias("count"), "_received", "_rendered",
+                                         F.col("avg").alias("_avg"), F.col("p0").alias("_p95")), top_n)
+
+
+def derive_transport(agg: DataFrame, top_n: int | None = None) -> DataFrame:
     top = top_n_per_group(agg, CONTEXT, "count", "transportMode", top_n)
     return top.select(
         *_IDS, "transportMode", "count",
@@ -160,6 +158,10 @@ def sdk_versions(base: DataFrame, top_n: int | None = None) -> DataFrame:
         _count_stage(STAGE_RENDERED).alias("_rendered"),
         exact_avg(F.when(stage_is(STAGE_RENDERED), F.col("render_duration_ms"))).alias("_avg"),
     )
+    return derive_sdk(agg, top_n)
+
+
+def derive_sdk(agg: DataFrame, top_n: int | None = None) -> DataFrame:
     top = top_n_per_group(agg, CONTEXT, "count", "sdkVersion", top_n)
     return top.select(
         *_IDS, "sdkVersion", "count",
@@ -179,16 +181,22 @@ def failure_analysis(base: DataFrame, top_reasons: int | None = None,
     ranked by their total (top ``top_reasons``), steps within a reason by count
     (top ``top_steps``); ``percentOfFailed`` divides by the sum of emitted rows.
     """
-    def norm(c):  # '' is a real term, printed as 'unknown'
-        return F.when(F.col(c) == "", F.lit("unknown")).otherwise(F.col(c))
+    steps = (base.where(F.col("failure_reason").isNotNull())
+             .groupBy(*CONTEXT, failure_key("failure_reason").alias("failureReason"), failure_key("failure_step").alias("failureStep"))
+             .agg(F.count(F.lit(1)).alias("count")))
+    return failure_from_steps(steps, top_reasons, top_steps)
+
+
+def failure_key(c: str):
+    """'' is a real term, printed as 'unknown'; null is none."""
+    return F.when(F.col(c) == "", F.lit("unknown")).otherwise(F.col(c))
 
+
+def failure_from_steps(steps: DataFrame, top_reasons: int | None = None, top_steps: int | None = None) -> DataFrame:
+    """The table from counts (CONTEXT, failureReason, failureStep, count)."""
     # the (small) aggregated rows are hashed once by job: every window below
     # partitions by the job or by (job, reason), so they share that exchange
-    steps = (base.where(F.col("failure_reason").isNotNull())
-             .groupBy(*CONTEXT, norm("failure_reason").alias("failureReason"),
-                      norm("failure_step").alias("failureStep"))
-             .agg(F.count(F.lit(1)).alias("count"))
-             .repartition(*CONTEXT))
+    steps = steps.repartition(*CONTEXT)
     by_job = Window.partitionBy(*CONTEXT)
     by_reason = Window.partitionBy(*CONTEXT, "failureReason")
     steps = steps.withColumn("_reason_n", F.sum("count").over(by_reason))
@@ -210,75 +218,40 @@ LATENCY_SERIES = {"receive": "receive_latency_ms", "render": "render_duration_ms
 
 
 def latency_aggregates(base: DataFrame, group_cols: list[str] | None = None,
-                       approx_accuracy: int | None = None, with_stats: bool = False,
-                       skew_safe: bool = False, hot_threshold: int | None = None) -> DataFrame:
-    """Raw percentile and stats aggregates per group (no stage filter).
-
-    Exact ``percentile`` equals linear-interpolated quantiles; ``skew_safe``
-    computes the same values without gathering a group in one task
-    (operators.percentiles); ``hot_threshold`` does that only for groups above
-    that many rows and keeps the one-pass built-in for the rest (same values);
-    ``approx_accuracy`` gives the bounded-memory sketch.
+                       approx_accuracy: int | None = None, with_stats: bool = False) -> DataFrame:
+    """Raw percentile and stats aggregates per group (no stage filter); without group columns always one row.
+
+    All three series come from one scan: each event is one value (or none) of each series, and percentiles, average and extremes are
+    taken from counts of (group, series, value) - one plan for every size of a group.  ``approx_accuracy`` gives the bounded-memory sketch.
     """
-    group_cols = CONTEXT if group_cols is None else group_cols
-    if skew_safe:
-        return _latency_skew_safe(base, group_cols, with_stats)
-    if hot_threshold is not None and not group_cols and approx_accuracy is None:
-        # one global group (a single-tenant request): bounded count decides the path
-        if base.limit(hot_threshold + 1).count() > hot_threshold:
-            return _latency_skew_safe(base, group_cols, with_stats)
-    if hot_threshold is not None and group_cols and approx_accuracy is None:
-        from pulseboard.operators.percentiles import split_hot
-        normal, hot = split_hot(base, list(group_cols), hot_threshold)
-        if hot is not None:
-            return (latency_aggregates(normal, group_cols, with_stats=with_stats)
-                    .unionByName(_latency_skew_safe(hot, group_cols, with_stats)))
-    ps = F.array(*[F.lit(p / 100.0) for p in LATENCY_PERCENTS])
+    group_cols = list(CONTEXT if group_cols is None else group_cols)
+    if approx_accuracy is not None:
+        ps, aggs = F.array(*[F.lit(p / 100.0) for p in LATENCY_PERCENTS]), []
+        for name, col in LATENCY_SERIES.items():
+            x = finite(F.col(col))
+            pct = F.percentile_approx(x, ps, F.lit(approx_accuracy))
+            aggs += [F.get(pct, i).alias(f"{name}_p{p}_raw") for i, p in enumerate(LATENCY_PERCENTS)]
+            aggs += [exact_avg(x).alias(f"{name}_avg_raw"), F.max(x).alias(f"{name}_max_raw")]
+            if with_stats:
+                aggs += [F.min(x).alias(f"{name}_min_raw"), F.count(x).alias(f"{name}_count"), exact_sum(x).alias(f"{name}_sum_raw")]
+        return (base.groupBy(*group_cols) if group_cols else base.groupBy()).agg(*aggs)
+    series = F.array(*[F.struct(F.lit(n).alias("_series"), F.col(c).alias("_x")) for n, c in LATENCY_SERIES.items()])
+    long = base.select(*group_cols, F.inline(series))
+    return latency_from_counts(value_counts(long, [*group_cols, "_series"], F.col("_x")), group_cols, with_stats)
+
+
+def latency_from_counts(counts: DataFrame, group_cols: list[str], with_stats: bool = False) -> DataFrame:
+    """The raw aggregates from value counts (group columns, _series, _v, _c); every group has a row per series, of nulls if it has no value."""
+    found = distribution(counts, [*group_cols, "_series"], [p / 100.0 for p in LATENCY_PERCENTS])
+    of = lambda name, c: F.max(F.when(F.col("_series") == name, F.col(c)))
     aggs = []
-    for name, col in LATENCY_SERIES.items():
-        x = F.col(col)
-        pct = (F.percentile(x, ps) if approx_accuracy is None
-               else F.percentile_approx(x, ps, F.lit(approx_accuracy)))
-        aggs += [pct.alias(f"_{name}_pct"), exact_avg(x).alias(f"{name}_avg_raw"),
-                 F.max(x).alias(f"{name}_max_raw")]
-        if with_stats:
-            aggs += [F.min(x).alias(f"{name}_min_raw"), F.count(x).alias(f"{name}_count"),
-                     exact_sum(x).alias(f"{name}_sum_raw")]
-    grouped = base.groupBy(*group_cols) if group_cols else base.groupBy()
-    agg = grouped.agg(*aggs)
-    cols = [F.col(c) for c in agg.columns if not c.endswith("_pct")]
     for name in LATENCY_SERIES:
-        for i, p in enumerate(LATENCY_PERCENTS):
-            cols.append(F.col(f"_{name}_pct")[i].alias(f"{name}_p{p}_raw"))
-    return agg.select(*cols)
-
-
-def _latency_skew_safe(base: DataFrame, group_cols: list[str], with_stats: bool) -> DataFrame:
-    from pulseboard.operators.percentiles import distributed_percentiles
-    keys = list(group_cols) or ["_all"]
-    if not group_cols:
-        base = base.withColumn("_all", F.lit(0))
-    stats = []
-    for name, col in LATENCY_SERIES.items():
-        x = F.col(col)
-        stats += [exact_avg(x).alias(f"{name}_avg_raw"), F.max(x).alias(f"{name}_max_raw")]
+        aggs += [of(name, "avg").alias(f"{name}_avg_raw"), of(name, "most").alias(f"{name}_max_raw")]
         if with_stats:
-            stats += [F.min(x).alias(f"{name}_min_raw"), F.count(x).alias(f"{name}_count"),
-                      exact_sum(x).alias(f"{name}_sum_raw")]
-    # without group columns there is one row even when nothing matched
-    out = base.groupBy(*keys).agg(*stats) if group_cols else base.groupBy().agg(*stats).withColumn("_all", F.lit(0))
-    # the three series as one long column: one distributed pass for all of them
-    series = F.array(*[F.struct(F.lit(n).alias("_series"), F.col(c).cast("double").alias("_x"))
-                       for n, c in LATENCY_SERIES.items()])
-    pct = distributed_percentiles(base.select(*keys, F.inline(series)), [*keys, "_series"], "_x",
-                                  [p / 100.0 for p in LATENCY_PERCENTS])
-    wide = pct.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("_series") == name, F.col(f"p{i}"))).alias(f"{name}_p{p}_raw")
-        for name in LATENCY_SERIES for i, p in enumerate(LATENCY_PERCENTS)])
-    out = out.join(wide, keys, "left")
-    if not group_cols:
-        out = out.drop("_all")
-    return out
+            aggs += [of(name, "least").alias(f"{name}_min_raw"), F.coalesce(of(name, "n"), F.lit(0)).alias(f"{name}_count"),
+                     of(name, "total").cast("double").alias(f"{name}_sum_raw")]
+        aggs += [of(name, f"p{i}").alias(f"{name}_p{p}_raw") for i, p in enumerate(LATENCY_PERCENTS)]
+    return (found.groupBy(*group_cols) if group_cols else found.groupBy()).agg(*aggs)
 
 
 def derive_latency_flat(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -300,11 +273,9 @@ def latency_derived_columns() -> list:
     return cols
 
 
-def latency_percentiles(base: DataFrame, approx_accuracy: int | None = None, skew_safe: bool = False,
-                        hot_threshold: int | None = None) -> DataFrame:
+def latency_percentiles(base: DataFrame, approx_accuracy: int | None = None) -> DataFrame:
     """One flat latency row per job (jobs with events; see latency_zero_fill)."""
-    return derive_latency_flat(latency_aggregates(base, approx_accuracy=approx_accuracy, skew_safe=skew_safe,
-                                                  hot_threshold=hot_threshold))
+    return derive_latency_flat(latency_aggregates(base, approx_accuracy=approx_accuracy))
 
 
 def latency_nested(flat: DataFrame) -> DataFrame:
@@ -373,7 +344,7 @@ def _check_metrics(metrics: list[str] | None) -> list[str]:
     metrics = list(TIMESERIES_METRICS) if metrics is None else list(metrics)
     for m in metrics:
         if m not in TIMESERIES_METRICS:
-            raise ValueError(f"Unsupported timeseries metric: {m}")
+            raise ValueError(f"{m} is no timeseries metric; there are {', '.join(TIMESERIES_METRICS)}")
     return metrics
 
 
@@ -393,17 +364,6 @@ def timeseries_long(wide: DataFrame, metrics: list[str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- A18 registry
-def metric_registry(skew_safe: bool = False, hot_threshold: int | None = None) -> dict:
-    """The seven metric functions.  ``skew_safe`` switches percentiles to the distributed exact
-    form everywhere; ``hot_threshold`` only for groups above that many rows."""
-    if not skew_safe and hot_threshold is None:
-        return dict(METRIC_FUNCTIONS)
-    return {**METRIC_FUNCTIONS,
-            "transport": lambda base: transport_comparison(base, skew_safe=skew_safe, hot_threshold=hot_threshold),
-            "latency": lambda base: latency_nested(latency_percentiles(base, skew_safe=skew_safe,
-                                                                       hot_threshold=hot_threshold))}
-
-
 METRIC_FUNCTIONS = {
     "platform": platform_metrics,
     "device": device_breakdown,

@@ -22,7 +22,6 @@ from pulseboard.operators.context import literal_context
 from pulseboard.operators.predicates import RealtimeQuery, realtime_predicate, ts_lit
 
 EPOCH = datetime(1970, 1, 1)
-HOT_GROUP_ROWS = 5_000_000  # a tenant above this many rows: distributed exact percentiles
 
 
 def _dec_sum(c: str):
@@ -83,9 +82,8 @@ class Realtime:
             *self.keys, F.col("bucketKey").alias("dimension"), "received", "rendered", "failed",
             "renderRate", "avgRenderMs")
 
-    def transport(self, hot_threshold: int | None = HOT_GROUP_ROWS) -> DataFrame:
-        return M.transport_comparison(self.base, hot_threshold=hot_threshold).select(*self.keys, "transportMode", "count",
-                                                        "renderRate", "avgRenderMs", "p95RenderMs")
+    def transport(self) -> DataFrame:
+        return M.transport_comparison(self.base).select(*self.keys, "transportMode", "count", "renderRate", "avgRenderMs", "p95RenderMs")
 
     def sdk(self) -> DataFrame:
         return M.sdk_versions(self.base).select(*self.keys, "sdkVersion", "count", "renderRate",
@@ -98,12 +96,9 @@ class Realtime:
         return ts.select(*self.keys, "time", "value").orderBy(*self.keys, "time")  # L4: ascending buckets
 
     # latency view: one row (per tenant), zeros when empty
-    def latency(self, approx_accuracy: int | None = None, skew_safe: bool = False,
-                hot_threshold: int | None = HOT_GROUP_ROWS) -> DataFrame:
-        """A tenant above ``hot_threshold`` rows gets the distributed exact percentiles
-        (``skew_safe`` forces them for all, ``approx_accuracy`` uses the sketch)."""
-        raw = M.latency_aggregates(self.base, group_cols=self.keys, approx_accuracy=approx_accuracy,
-                                   skew_safe=skew_safe, hot_threshold=hot_threshold)
+    def latency(self, approx_accuracy: int | None = None) -> DataFrame:
+        """Exact percentiles (``approx_accuracy`` uses the sketch)."""
+        raw = M.latency_aggregates(self.base, group_cols=self.keys, approx_accuracy=approx_accuracy)
         tenant = F.col("tenantId") if self.keys else F.lit(self.tenant_id).alias("tenantId")
         return raw.select(F.lit(self.q.context_timeline()).alias("timelineId"),
                           F.lit(self.q.match_id or "").alias("matchId"), tenant,

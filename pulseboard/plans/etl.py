@@ -1,10 +1,10 @@
 """All metrics in one run (A18) and the ETL write path.
 
 The reference runs seven metric "pipelines" per job concurrently; a failure
-in one does not stop the others and a combined error follows.  Here each
-metric is one Spark job over *all* jobs; the seven run concurrently from a
-thread pool (Spark schedules them side by side), and the same isolation and
-combined error apply.
+in one does not stop the others and a combined error follows.  Here one scan
+of the events gives a pre-aggregate over *all* jobs; the seven tables derive from it and
+are merged concurrently from a thread pool (Spark schedules them side by side), and the
+same isolation and combined error apply.
 """
 
 from __future__ import annotations
@@ -13,33 +13,31 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from pulseboard.operators import metrics as M
+from pulseboard.operators import one_scan as OS
 from pulseboard.plans import jobs as JB
 from pulseboard.plans import store as ST
+from pulseboard.session import cut_lineage
 
 MetricFn = Callable[[DataFrame], DataFrame]
 
-# Rows above which a job's percentiles leave the single-task built-in: about four
-# 128 MB input splits of ~100-byte events, i.e. more than one task should merge.
-HOT_JOB_ROWS = 5_000_000
-
-
 class MetricRunError(RuntimeError):
     def __init__(self, failures: dict[str, str]):
         self.failures = failures
         super().__init__("failed metrics: " + ", ".join(sorted(failures)))
 
 
-def metric_frame(name: str, fn: MetricFn, base: DataFrame, jobs: DataFrame | None = None,
-                 skew_safe: bool = False, hot_threshold: int | None = None) -> DataFrame:
-    """Per-job rows of one metric (with ``jobs``, latency gets zero rows for empty jobs)."""
+def metric_frame(name: str, fn: MetricFn, base: DataFrame, jobs: DataFrame | None = None, pre: DataFrame | None = None) -> DataFrame:
+    """Per-job rows of one metric (with ``jobs``, latency gets zero rows for empty jobs).
+
+    A metric of the library is taken from the pre-aggregate ``pre`` where there is one, another function gets the events."""
+    shared = pre is not None and fn is M.METRIC_FUNCTIONS.get(name)
     if name == "latency" and jobs is not None:
-        lat = M.latency_percentiles(base, skew_safe=skew_safe, hot_threshold=hot_threshold)
-        return M.latency_nested(JB.zero_fill_latency(jobs, lat))
-    return fn(base)
+        flat = OS.latency_flat(pre) if shared else M.latency_percentiles(base)
+        return M.latency_nested(JB.zero_fill_latency(jobs, flat))
+    return OS.TABLES[name](pre) if shared else fn(base)
 
 
 def metric_frames(base: DataFrame, registry: dict[str, MetricFn] | None = None,
@@ -50,38 +48,28 @@ def metric_frames(base: DataFrame, registry: dict[str, MetricFn] | None = None,
 
 def run_all(spark: SparkSession, base: DataFrame, store_root: str, mode: str = "idempotent",
             registry: dict[str, MetricFn] | None = None, jobs: DataFrame | None = None,
-            now: datetime | str | None = None, parallelism: int = 7,
-            persist_base: bool = False, skew_safe: bool = False,
-            hot_threshold: int | None = HOT_JOB_ROWS) -> dict[str, DataFrame]:
+            now: datetime | str | None = None, parallelism: int = 7) -> dict[str, DataFrame]:
     """Compute every metric and merge it into ``{store_root}/{metric}``.
 
-    ``persist_base`` keeps the job-tagged events (MEMORY_AND_DISK) for the seven
-    scans; off by default because each metric already reads only its own
-    columns with pushed-down filters, and a 100 TB base should not be cached.
-    Percentiles of jobs above ``hot_threshold`` rows are computed without
-    gathering the job in one task (exact, same values); ``skew_safe`` does that
-    for every job, ``hot_threshold=None`` for none.
+    The events are scanned once: the long pre-aggregate of all metrics is checkpointed, and the tables of
+    the library's own metrics derive from it (operators.one_scan).  Further functions in ``registry`` scan the events themselves.
     """
-    if persist_base:
-        base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    registry = M.metric_registry(skew_safe, hot_threshold) if registry is None else registry
+    registry = dict(M.METRIC_FUNCTIONS) if registry is None else registry
+    own = [n for n, fn in registry.items() if fn is M.METRIC_FUNCTIONS.get(n)]
+    pre = cut_lineage(OS.pre_aggregate(base)) if own else None
     failures: dict[str, str] = {}
     results: dict[str, DataFrame] = {}
 
     def one(name: str):
         try:
-            rows = metric_frame(name, registry[name], base, jobs, skew_safe, hot_threshold)
+            rows = metric_frame(name, registry[name], base, jobs, pre)
             results[name] = ST.upsert_table(spark, f"{store_root.rstrip('/')}/{name}", rows, name,
                                             mode=mode, now=now, jobs=jobs)
         except Exception as e:  # noqa: BLE001 - isolate one metric's failure from the others
             failures[name] = f"{type(e).__name__}: {e}"
 
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            list(pool.map(one, registry))
-    finally:
-        if persist_base:
-            base.unpersist()
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        list(pool.map(one, registry))
     if failures:
         raise MetricRunError(failures)
     return results

@@ -269,7 +269,8 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, metric_type: st
         write_table(contrib, cpath, metric_type)
         if old_c is not None and jobs is not None:
             drop_emptied(spark, cpath, touched, contrib, metric_type)
-        contrib_rows = read_partitions(spark, cpath, touched, new)
+        # a first write is the whole table: its rows are at hand
+        contrib_rows = contrib if old_c is None else read_partitions(spark, cpath, touched, new)
         if truncate is not None:
             contrib_rows = truncate(contrib_rows)
         merged = match_rollup(contrib_rows, metric_type)

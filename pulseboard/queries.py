@@ -727,13 +727,50 @@ def q_all_metrics_store(spark, sf_dir):
     return out.groupBy("metric").agg(F.count(F.lit(1)).alias("rows"))
 
 
-# ------------------------------------------------------------------ skew-safe exact percentiles
+_STORED_KEYS = {t: [c for c in m.unique if c not in ("tenantId", "matchId", "intervalFrom", "time")] for t, m in METRIC_META.items()}
+_STORED_VALUES = {
+    "platform": "sent received rendered failed receiveRate renderRate failureRate netSuccessRate avgRenderMs",
+    "device": "received rendered failed renderRate avgRenderMs", "transport": "count renderRate avgRenderMs p95RenderMs",
+    "sdk": "count renderRate avgRenderMs", "failure": "count percentOfFailed", "timeseries": "value",
+    "latency": " ".join([f"{s}.{f}" for s in ("receive", "render", "ack") for f in ("p50", "p75", "p95", "p99", "avg", "max")]
+                        + [f"renderDuration.{f}" for f in ("p50", "p95", "p99", "avg")]),
+}
+_SORT_TIME = {t: "time" if t == "timeseries" else "intervalFrom" for t in METRIC_META}
+
+
+def _stored_values_sql(t: str) -> str:
+    ctes, sql = _rollup_oracle(t)
+    key = " || '|' || ".join(["''", *_STORED_KEYS[t]])
+    fields = _STORED_VALUES[t].split()
+    cells = ", ".join(f"CAST({f.replace('.', '_')} AS DOUBLE)" for f in fields)
+    return (f"SELECT '{t}' AS metric, tenantId, matchId, timelineId, {_SORT_TIME[t]} AS at, {key} AS key, unnest([{', '.join(repr(f) for f in fields)}]) AS field, "
+            f"unnest([{cells}]) AS value FROM ({O.with_(*ctes)}{sql})")
+
+
+@register("all_metrics_values", " UNION ALL ".join(_stored_values_sql(_t) for _t in METRIC_META))
+def q_all_metrics_values(spark, sf_dir):
+    """Every number of the seven tables that one run writes into a fresh store, in long form."""
+    root = _scratch(spark, "store-values")
+    ETL.run_all(spark, etl_base(spark, sf_dir), root)
+    parts = []
+    for t in METRIC_META:
+        key = F.concat(F.lit(""), *[F.concat(F.lit("|"), F.col(k)) for k in _STORED_KEYS[t]])
+        cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("double").alias("value")) for f in _STORED_VALUES[t].split()])
+        parts.append(ST.read_table(spark, f"{root}/{t}").select(
+            F.lit(t).alias("metric"), "tenantId", "matchId", "timelineId", F.col(_SORT_TIME[t]).alias("at"), key.alias("key"), F.inline(cells)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ------------------------------------------------------------------ exact percentiles under their earlier names (A8/A10): there is one path
 register("latency_percentiles_skew_safe", ORACLES["latency_percentiles"])(
-    lambda spark, sf_dir: M.latency_percentiles(etl_base(spark, sf_dir), skew_safe=True))
+    lambda spark, sf_dir: M.latency_percentiles(etl_base(spark, sf_dir)))
 register("realtime_latency_skew_safe", ORACLES["realtime_latency"])(
-    lambda spark, sf_dir: _rt(spark, sf_dir, RT_MATCH).latency(skew_safe=True))
+    lambda spark, sf_dir: _rt(spark, sf_dir, RT_MATCH).latency())
 register("transport_comparison_skew_safe", ORACLES["transport_comparison"])(
-    lambda spark, sf_dir: M.transport_comparison(etl_base(spark, sf_dir), skew_safe=True))
+    lambda spark, sf_dir: M.transport_comparison(etl_base(spark, sf_dir)))
 
 RT_ALL = RealtimeQuery()
 _RT_ALL_SQL = O.rt_base("true")
@@ -769,12 +806,11 @@ def q_stream_job_consumer(spark, sf_dir):
     SK.run_available_now(msgs, sink, f"{root}/_checkpoint", output_mode="append")
     return spark.read.parquet(f"{root}/store/platform").select(*_PCOLS)
 
-# hot-job split with a threshold low enough that the fixture has hot and ordinary jobs
-HOT_ROWS_FIXTURE = 12
+# the same percentiles over events dealt out anew: hot and ordinary groups take one plan, and no row order matters
 register("latency_percentiles_hot_split", ORACLES["latency_percentiles"])(
-    lambda spark, sf_dir: M.latency_percentiles(etl_base(spark, sf_dir), hot_threshold=HOT_ROWS_FIXTURE))
+    lambda spark, sf_dir: M.latency_percentiles(etl_base(spark, sf_dir).repartition(40)))
 register("transport_comparison_hot_split", ORACLES["transport_comparison"])(
-    lambda spark, sf_dir: M.transport_comparison(etl_base(spark, sf_dir), hot_threshold=HOT_ROWS_FIXTURE))
+    lambda spark, sf_dir: M.transport_comparison(etl_base(spark, sf_dir).repartition(40)))
 
 
 def _stream_top_sql(n: int) -> str:

@@ -39,10 +39,10 @@ def test_split_batches_and_replay_equal_one_run(spark):
        st.integers(min_value=1, max_value=5))
 def test_distributed_percentile_equals_builtin(spark, rows, parts):
     ensure_checkpoint_dir(spark)
-    df = spark.createDataFrame(rows, "g string, v double")
+    df = spark.createDataFrame(rows, "g string, v double").repartition(parts)
     ps = [0.5, 0.95, 0.99]
     got = {r["g"]: [r["p0"], r["p1"], r["p2"]]
-           for r in distributed_percentiles(df, ["g"], "v", ps, num_partitions=parts).collect()}
+           for r in distributed_percentiles(df, ["g"], "v", ps).collect()}
     exp = {r["g"]: list(r["p"]) for r in
            df.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(p) for p in ps])).alias("p")).collect()}
     assert got == exp
