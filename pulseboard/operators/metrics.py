@@ -193,22 +193,20 @@ def failure_key(c: str):
 
 
 def failure_from_steps(steps: DataFrame, top_reasons: int | None = None, top_steps: int | None = None) -> DataFrame:
-    """The table from counts (CONTEXT, failureReason, failureStep, count)."""
-    # the (small) aggregated rows are hashed once by job: every window below
-    # partitions by the job or by (job, reason), so they share that exchange
-    steps = steps.repartition(*CONTEXT)
-    by_job = Window.partitionBy(*CONTEXT)
-    by_reason = Window.partitionBy(*CONTEXT, "failureReason")
-    steps = steps.withColumn("_reason_n", F.sum("count").over(by_reason))
+    """The table from counts (CONTEXT, failureReason, failureStep, count).
+
+    A job's free-text reasons are never gathered: reason totals are an aggregation by (job, reason), a top-N keeps N rows
+    per task before its rows meet, and the job's total is an aggregate joined back (a hot job's side is split by AQE).
+    """
     if top_reasons is not None:
-        reason_rank = F.dense_rank().over(by_job.orderBy(F.desc("_reason_n"), F.asc("failureReason")))
-        steps = steps.withColumn("_reason_rank", reason_rank).where(F.col("_reason_rank") <= top_reasons)
-    steps = steps.where(F.col("failureStep").isNotNull())
-    steps = top_n_per_group(steps, [*CONTEXT, "failureReason"], "count", "failureStep", top_steps)
-    total = F.sum("count").over(by_job)
-    return steps.select(
+        totals = steps.groupBy(*CONTEXT, "failureReason").agg(F.sum("count").alias("_reason_n"))
+        best = top_n_per_group(totals, CONTEXT, "_reason_n", "failureReason", top_reasons)
+        steps = steps.join(best.select(*CONTEXT, "failureReason"), [*CONTEXT, "failureReason"], "left_semi")
+    steps = top_n_per_group(steps.where(F.col("failureStep").isNotNull()), [*CONTEXT, "failureReason"], "count", "failureStep", top_steps)
+    total = steps.groupBy(*CONTEXT).agg(F.sum("count").alias("_total"))
+    return steps.join(total, CONTEXT).select(
         *_IDS, "failureReason", "failureStep", "count",
-        F.when(total > 0, r2(F.col("count") / total * 100)).otherwise(F.lit(0.0)).alias("percentOfFailed"),
+        F.when(F.col("_total") > 0, r2(F.col("count") / F.col("_total") * 100)).otherwise(F.lit(0.0)).alias("percentOfFailed"),
         *_INTERVAL,
     )
 
@@ -311,13 +309,20 @@ def timeseries_aggregations() -> list:
             exact_avg(F.col("render_duration_ms")).alias("_avg")]
 
 
+#: Buckets that one step of the gap fill makes of a row at most (gaps up to SPAN ** 3 buckets).
+SPAN = 4096
+
+
 def fill_gaps(agg: DataFrame, step: int, interval: str) -> DataFrame:
     """Non-empty bucket rows (CONTEXT, ``_b`` epoch micros, raw measures) -> gap-filled wide rows."""
     nxt = F.lead("_b").over(Window.partitionBy(*CONTEXT).orderBy("_b"))
-    with_next = agg.withColumn("_last", F.coalesce(nxt - F.lit(step), F.col("_b")))
-    filled = with_next.select("*", F.posexplode(F.sequence(F.col("_b"), F.col("_last"), F.lit(step)))
-                              .alias("_pos", "_t"))
-    real = F.col("_pos") == 0
+    filled = agg.withColumns({"_from": F.col("_b"), "_last": F.coalesce(nxt - F.lit(step), F.col("_b"))})
+    # a gap is a run (first, last bucket); it is cut into spans of SPAN ** 2, then SPAN buckets, and only these into buckets
+    for buckets in (SPAN * SPAN, SPAN, 1):
+        width = min(step * buckets, 1 << 61)
+        filled = filled.withColumn("_t", F.explode(F.sequence(F.col("_from"), F.col("_last"), F.lit(width))))
+        filled = filled.withColumns({"_from": F.col("_t"), "_last": F.least(F.col("_last"), F.col("_t") + F.lit(width - step))})
+    real = F.col("_t") == F.col("_b")
 
     def keep(c, zero=0.0):
         return F.when(real, F.col(c)).otherwise(F.lit(zero))

@@ -148,6 +148,22 @@ class RealtimeQuery:
         return (self.timeline_ids[0] if self.timeline_ids else None) or self.question_id or ""
 
 
+def describe_request(q: RealtimeQuery, tenant_id: str | None = None) -> str:
+    """The filter of a request in words, as its debug views show it (the time range is half-open)."""
+    def quoted(v) -> str:
+        return "'" + str(v).replace("'", "\\'") + "'"
+    eq = q.to_event_query(tenant_id or "*")
+    parts = [f"tenant_id = {quoted(tenant_id)}" if tenant_id else "tenant_id IS NOT NULL"]
+    if eq.timeline_ids:
+        parts.append(f"timeline_id IN ({', '.join(map(quoted, eq.timeline_ids))})")
+    if eq.media_content_id:
+        parts.append(f"media_content_id = {quoted(eq.media_content_id)}")
+    parts += [f"ts {op} {quoted(to_utc(v).strftime('%Y-%m-%dT%H:%M:%S.%fZ'))}" for op, v in ((">=", eq.start), ("<", eq.end)) if v not in (None, "")]
+    if eq.platform:
+        parts.append(f"platform = {quoted(eq.platform)}")
+    return " AND ".join(parts)
+
+
 def realtime_predicate(q: RealtimeQuery, tenant_id: str | None = None) -> Column:
     """P5 predicate.  ``tenant_id=None`` evaluates the request for every tenant at
     once (tenant becomes a group key instead of a filter)."""

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pulseboard.functions.numeric import calc_rate
 from pulseboard.operators import metrics as M
 from pulseboard.operators.context import literal_context
-from pulseboard.operators.predicates import RealtimeQuery, realtime_predicate, ts_lit
+from pulseboard.operators.predicates import RealtimeQuery, describe_request, realtime_predicate, ts_lit
 
 EPOCH = datetime(1970, 1, 1)
 
@@ -42,6 +42,8 @@ class Realtime:
                                     match_id=q.match_id or "", timeline_id=q.context_timeline(),
                                     interval_from=self.interval_from, interval_to=self.interval_to)
         self.keys = [] if tenant_id else ["tenantId"]
+        #: The filter in words, which the debug views return.
+        self.predicate = describe_request(q, tenant_id)
 
     # A13
     def funnel(self) -> DataFrame:
@@ -113,9 +115,9 @@ class Realtime:
         return raw.select(*self.keys, "platform", "doc_count",
                           F.col("sent_raw"), F.col("received_raw"), F.col("rendered_raw"),
                           F.col("failed_raw"), F.col("avg_render_raw"),
-                          *[c for c in M.platform_derived_columns()])
+                          *[c for c in M.platform_derived_columns()], F.lit(self.predicate).alias("predicate"))
 
     def latency_debug(self) -> DataFrame:
         raw = M.latency_aggregates(self.base, group_cols=self.keys)
         raw_cols = [c for c in raw.columns if c.endswith("_raw")]
-        return raw.select(*self.keys, *raw_cols, *M.latency_derived_columns())
+        return raw.select(*self.keys, *raw_cols, *M.latency_derived_columns(), F.lit(self.predicate).alias("predicate"))

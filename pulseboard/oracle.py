@@ -4,7 +4,7 @@ Every statement starts from the same fixture view ``te`` (the tracking-event
 mapping of the driver's ``events`` table) written independently in SQL, so a
 mistake in the Spark adapter shows up as a mismatch.  Rounding, exact averages
 and percentiles follow the same documented semantics as the Spark side:
-``floor(x*100+0.5)/100``, DECIMAL(18,6) sums, ``quantile_cont``.
+``floor(x*100+0.5)/100``, DECIMAL(38,6) sums, ``quantile_cont``.
 """
 
 from __future__ import annotations
@@ -65,12 +65,12 @@ def calc_rate(n: str, d: str) -> str:
 
 
 def xavg(x: str) -> str:
-    return (f"(CASE WHEN COUNT({x}) > 0 THEN CAST(SUM(CAST({x} AS DECIMAL(18,6))) AS DOUBLE) "
+    return (f"(CASE WHEN COUNT({x}) > 0 THEN CAST(SUM(CAST({x} AS DECIMAL(38,6))) AS DOUBLE) "
             f"/ COUNT({x}) END)")
 
 
 def xsum(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,6))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({x} AS DECIMAL(38,6))) AS DOUBLE)"
 
 
 def sorted_list(x: str) -> str:
@@ -118,7 +118,7 @@ def with_(*ctes: str) -> str:
 
 
 # ----------------------------------------------------------------- metric CTEs
-def platform_cte(name: str = "plat", src: str = "base", top_n: int | None = 100,
+def platform_cte(name: str = "plat", src: str = "base", top_n: int | None = None,
                  ctx: str = CTX) -> str:
     lim = f"WHERE rk <= {top_n}" if top_n else ""
     return f"""
@@ -157,7 +157,7 @@ PLATFORM_COLS = ("timelineId, matchId, tenantId, platform, sent, received, rende
 DEVICE_DIMS = [("browser", "browser"), ("os", "client_os"), ("deviceClass", "device_class")]
 
 
-def device_cte(name: str = "dev", src: str = "base", dims=None, top_n: int | None = 50) -> str:
+def device_cte(name: str = "dev", src: str = "base", dims=None, top_n: int | None = None) -> str:
     dims = DEVICE_DIMS if dims is None else dims
     unions = "\n    UNION ALL\n    ".join(
         f"SELECT {CTX}, stage, render_duration_ms, '{d}' AS dimension, {unknown(c)} AS bucketKey FROM {src}"
@@ -185,7 +185,7 @@ def device_cte(name: str = "dev", src: str = "base", dims=None, top_n: int | Non
 )"""
 
 
-def transport_cte(name: str = "tr", src: str = "base", top_n: int | None = 10) -> str:
+def transport_cte(name: str = "tr", src: str = "base", top_n: int | None = None) -> str:
     lim = f"WHERE rk <= {top_n}" if top_n else ""
     return f"""
 {name}_agg AS (
@@ -204,7 +204,7 @@ def transport_cte(name: str = "tr", src: str = "base", top_n: int | None = 10) -
 )"""
 
 
-def sdk_cte(name: str = "sdk", src: str = "base", top_n: int | None = 50) -> str:
+def sdk_cte(name: str = "sdk", src: str = "base", top_n: int | None = None) -> str:
     lim = f"WHERE rk <= {top_n}" if top_n else ""
     return f"""
 {name}_agg AS (
@@ -222,8 +222,8 @@ def sdk_cte(name: str = "sdk", src: str = "base", top_n: int | None = 50) -> str
 )"""
 
 
-def failure_cte(name: str = "fail", src: str = "base", top_reasons: int | None = 50,
-                top_steps: int | None = 20) -> str:
+def failure_cte(name: str = "fail", src: str = "base", top_reasons: int | None = None,
+                top_steps: int | None = None) -> str:
     rlim = f"AND reason_rk <= {top_reasons}" if top_reasons else ""
     slim = f"WHERE step_rk <= {top_steps}" if top_steps else ""
     norm_r = "CASE WHEN failure_reason = '' THEN 'unknown' ELSE failure_reason END"

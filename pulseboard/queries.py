@@ -307,13 +307,16 @@ def q_rt_latency(spark, sf_dir):
 
 @register("funnel_debug", O.with_(O.FIXTURE_VIEW, _RT_RANGE_SQL, O.platform_cte(src="rtb"))
           + "SELECT tenantId, platform, doc_count, sent_raw, received_raw, rendered_raw, failed_raw, avg_render_raw, "
-            "sent, received, rendered, failed, receiveRate, renderRate, failureRate, netSuccessRate, avgRenderMs FROM plat")
+            "sent, received, rendered, failed, receiveRate, renderRate, failureRate, netSuccessRate, avgRenderMs, "
+            "$$tenant_id IS NOT NULL AND ts >= '2024-01-08T00:00:00.000000Z' AND ts < '2024-01-22T00:00:00.000000Z'$$ AS predicate FROM plat")
 def q_funnel_debug(spark, sf_dir):
     return _rt(spark, sf_dir, RT_RANGE).funnel_debug()
 
 
 @register("latency_debug", O.with_(O.FIXTURE_VIEW, _RT_TL_SQL, O.latency_cte(src="rtb"))
-          + "SELECT * EXCLUDE (timelineId, matchId, intervalFrom, intervalTo, receive_lst, render_lst, ack_lst) FROM lat_raw JOIN "
+          + "SELECT * EXCLUDE (timelineId, matchId, intervalFrom, intervalTo, receive_lst, render_lst, ack_lst), "
+            "$$tenant_id IS NOT NULL AND timeline_id IN ('tl-1', 'tl-4', 'tl-7', 'tl-22') AND ts >= '2024-01-02T00:00:00.000000Z' "
+            "AND ts < '2024-01-29T00:00:00.000000Z'$$ AS predicate FROM lat_raw JOIN "
             "(SELECT * EXCLUDE (timelineId, matchId, intervalFrom, intervalTo) FROM lat) USING (tenantId)")
 def q_latency_debug(spark, sf_dir):
     return _rt(spark, sf_dir, RT_TIMELINES).latency_debug()
@@ -638,7 +641,7 @@ def _etl_events(spark, sf_dir):
 _MF_CTE = """
 mq AS (
   SELECT tenant_id AS tenantId, media_content_id AS matchId, timeline_id AS timelineId,
-         CAST(SUM(CAST(CASE WHEN stage = 'sent' THEN room_size END AS DECIMAL(18,6))) AS DOUBLE) AS _sent,
+         CAST(SUM(CAST(CASE WHEN stage = 'sent' THEN room_size END AS DECIMAL(38,6))) AS DOUBLE) AS _sent,
          COUNT(*) FILTER (WHERE stage = 'received') AS received,
          COUNT(*) FILTER (WHERE stage = 'rendered') AS rendered,
          COUNT(*) FILTER (WHERE stage = 'render-failed') AS failed,
@@ -654,7 +657,7 @@ mq AS (
   {O.rate('rendered', O.r2('_sent'))} AS netSuccessRate, questionCount
 FROM (SELECT tenantId, matchId, CAST(SUM(CAST(_sent AS DECIMAL(38,6))) AS DOUBLE) AS _sent,
              CAST(SUM(received) AS BIGINT) AS received, CAST(SUM(rendered) AS BIGINT) AS rendered,
-             CAST(SUM(failed) AS BIGINT) AS failed, CAST(LEAST(COUNT(*), 500) AS BIGINT) AS questionCount
+             CAST(SUM(failed) AS BIGINT) AS failed, CAST(COUNT(*) AS BIGINT) AS questionCount
       FROM mq GROUP BY tenantId, matchId)""")
 def q_match_funnel(spark, sf_dir):
     return MF.match_funnel(_etl_events(spark, sf_dir))
@@ -663,8 +666,7 @@ def q_match_funnel(spark, sf_dir):
 @register("match_funnel_questions", O.with_(O.FIXTURE_VIEW, _MF_CTE) + f"""SELECT tenantId, matchId, timelineId,
   {O.r2('_sent')} AS sent, received, rendered, failed, {O.rate('received', O.r2('_sent'))} AS receiveRate,
   {O.rate('rendered', 'received')} AS renderRate
-FROM (SELECT *, row_number() OVER (PARTITION BY tenantId, matchId ORDER BY doc_count DESC, timelineId) AS rk FROM mq)
-WHERE rk <= 500""")
+FROM mq""")
 def q_match_funnel_questions(spark, sf_dir):
     return MF.match_funnel_questions(_etl_events(spark, sf_dir))
 
@@ -764,6 +766,26 @@ def q_all_metrics_values(spark, sf_dir):
     return out
 
 
+from pulseboard.operators import latency_merge as LM  # noqa: E402
+
+_MERGED_SQL = O.with_(O.FIXTURE_VIEW, O.grid_base(DAILY), "mbase AS (SELECT * REPLACE ('' AS timelineId) FROM base)", O.latency_cte(src="mbase"))
+
+
+@register("match_latency_merged", _MERGED_SQL + "SELECT tenantId, matchId, intervalFrom, intervalTo, receive_avg, receive_max, render_avg, render_max, ack_avg, ack_max, "
+          + ", ".join(f"true AS {s}_p{p}_close" for s in ("receive", "render", "ack") for p in (50, 75, 95, 99)) + " FROM lat")
+def q_match_latency_merged(spark, sf_dir):
+    """Latency of matches merged from the stored histograms of their jobs.  Averages and maxima are exact; of each percentile the
+    row tells whether it lies within the stated error of the one recomputed over all events of the match."""
+    base, keys = etl_base(spark, sf_dir), ["tenantId", "matchId", "intervalFrom", "intervalTo"]
+    path = _scratch(spark, "latency-histograms")
+    LM.latency_histograms(base).write.parquet(path)
+    merged = LM.merge_latency(spark.read.parquet(path))
+    points = [f"{s}_p{p}" for s in M.LATENCY_SERIES for p in (50, 75, 95, 99)]
+    exact = M.latency_percentiles(match_level(base)).select(*keys, *[F.col(c).alias(f"exact_{c}") for c in points])
+    close = [(F.abs(F.col(c) - F.col(f"exact_{c}")) <= LM.ERROR * (F.abs(f"exact_{c}") + 1) + 0.01).alias(f"{c}_close") for c in points]
+    return merged.join(exact, keys).select(*keys, *[f"{s}_{x}" for s in M.LATENCY_SERIES for x in ("avg", "max")], *close)
+
+
 # ------------------------------------------------------------------ exact percentiles under their earlier names (A8/A10): there is one path
 register("latency_percentiles_skew_safe", ORACLES["latency_percentiles"])(
     lambda spark, sf_dir: M.latency_percentiles(etl_base(spark, sf_dir)))
