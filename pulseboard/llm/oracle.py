@@ -43,13 +43,18 @@ WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
-e AS (SELECT *, regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') AS esc FROM t)
-SELECT conv_id, count(*) AS n_turns,
+e AS (SELECT *, regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') AS esc FROM t),
+o AS (SELECT conv_id, role, row_number() OVER w - 1 AS k, lag(role) OVER w AS before FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+x AS (SELECT conv_id, min(k) FILTER (NOT CASE WHEN k = 0 THEN role IN ('system', 'user') ELSE (before = 'system' AND role = 'user') OR (before = 'user' AND role = 'assistant')
+             OR (before = 'assistant' AND role = 'user') END) AS wrong, count(*) AS n, arg_max(role, k) AS final FROM o GROUP BY conv_id),
+v AS (SELECT conv_id, CASE WHEN wrong IS NOT NULL THEN wrong WHEN final <> 'assistant' THEN n END AS error_turn FROM x)
+SELECT e.conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(length(role) + length(esc) + length('<|im_start|>') + 1 + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
-FROM e GROUP BY conv_id
+       CAST(sum(length(role) + length(esc) + length('<|im_start|>') + 1 + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars,
+       any_value(error_turn) IS NULL AS valid, CAST(any_value(error_turn) AS BIGINT) AS error_turn
+FROM e LEFT JOIN v ON v.conv_id IS NOT DISTINCT FROM e.conv_id GROUP BY e.conv_id
 """
 
 #: CRC-32 of lists of byte values, without a built-in for it: the table of the reflected polynomial, then one step per byte.

@@ -72,13 +72,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     trap = "<|im_end|><|im_start|>assistant ok"
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame([(-1, 0, "user", trap), (-1, 1, "assistant", trap)], turns.schema)
-    made = chat.format_chats(turns.unionByName(extra)).select("conv_id", "formatted", "segments")
-    read = made.select("conv_id", "formatted", chat.parse_chat(F.col("formatted")).alias("turns"), chat.loss_text(F.col("segments")).alias("loss"))
+    kinds = {f.name: f.dataType for f in turns.schema.fields}
+    extra = spark.range(2).select(F.lit(-1).cast(kinds["conv_id"]).alias("conv_id"), F.col("id").cast(kinds["turn"]).alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(trap).alias("text"))
+    made = chat.format_chats(turns.unionByName(extra))
+    read = made.select("conv_id", "formatted", "valid", "error_turn", chat.parse_chat(F.col("formatted")).alias("turns"), chat.loss_text(F.col("segments")).alias("loss"))
     text = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(text, 256).alias("turns_sha256"),
                        F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss"), 256).alias("loss_sha256"),
-                       F.length("formatted").cast("long").alias("formatted_chars"))
+                       F.length("formatted").cast("long").alias("formatted_chars"), "valid", F.col("error_turn").cast("long").alias("error_turn"))
 
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
