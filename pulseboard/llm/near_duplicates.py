@@ -19,7 +19,6 @@ from hashlib import blake2b
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -190,9 +189,13 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     units = texts.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "copies", "text")
     units = units.repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi", "node")
 
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, unit, rows = Shingler(), None, {}
 
+        def table(found: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+            columns = zip(*found, strict=True) if found else [[]] * 4
+            return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["node", "root", "texts", "documents"])
+
         def done() -> list[tuple[int, int, int, int]]:
             if len(rows) < 2:
                 return []
@@ -205,16 +208,16 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
 
         for batch in batches:
             out = []
-            for cluster, lo, hi, block, node, copies, t in batch.itertuples(index=False):
+            for cluster, lo, hi, block, node, copies, t in values(batch, "cluster", "lo", "hi", "block", "node", "copies", "text"):
                 if (cluster, lo, hi) != unit:
                     out += done()
                     unit, rows = (cluster, lo, hi), {}
                 if node not in rows:  # a repeated row brings its text twice
                     rows[node] = (shingles(t), block, copies)
-            yield pd.DataFrame(out, columns=["node", "root", "texts", "documents"])
-        yield pd.DataFrame(done(), columns=["node", "root", "texts", "documents"])
+            yield table(out)
+        yield table(done())
 
-    found = stored(units.mapInPandas(verify, "node long, root long, texts long, documents long"), "links")
+    found = stored(units.mapInArrow(verify, "node long, root long, texts long, documents long"), "links")
     joined = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     totals = found.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("documents").alias("documents"))
     least = joined.join(nodes.select("node", "least"), "node").groupBy("label").agg(F.min("least").alias("first"))

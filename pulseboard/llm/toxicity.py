@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,25 +61,23 @@ def log_count_ratios(labelled: DataFrame) -> tuple[np.ndarray, int, int]:
 
     Each task sends two tables of fixed size; they are added by entry range in Spark."""
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, rows = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
         for batch in batches:
-            for text, label in zip(batch["text"], batch["label"], strict=True):
-                counts[int(label), features(text)] += 1
-                rows[int(label)] += 1
+            for text, label in values(batch, "text", "label"):
+                counts[label, features(text)] += 1
+                rows[label] += 1
         if rows.any():
             at = np.flatnonzero(counts.any(axis=0))
-            yield pd.DataFrame({"entry": np.append(at, -1), "one": np.append(counts[1, at], rows[1]), "zero": np.append(counts[0, at], rows[0])})
+            yield pa.record_batch([pa.array(np.append(at, -1)), pa.array(np.append(counts[1, at], rows[1])), pa.array(np.append(counts[0, at], rows[0]))], names=["entry", "one", "zero"])
 
-    summed = labelled.mapInPandas(partial, "entry long, one long, zero long").groupBy("entry").agg(F.sum("one").alias("one"), F.sum("zero").alias("zero"))
+    summed = labelled.mapInArrow(partial, "entry long, one long, zero long").groupBy("entry").agg(F.sum("one").alias("one"), F.sum("zero").alias("zero"))
     one, zero, n = np.zeros(1 << BITS), np.zeros(1 << BITS), [0, 0]
-    table = summed.toPandas()  # at most 2 ** BITS + 1 rows
-    for entry, a, b in table.itertuples(index=False):
-        if entry < 0:
-            n = [int(a), int(b)]
-        else:
-            one[entry] += a
-            zero[entry] += b
+    table = summed.toArrow()  # at most 2 ** BITS + 1 rows
+    entry, a, b = (table.column(c).to_numpy() for c in ("entry", "one", "zero"))
+    one[entry[entry >= 0]], zero[entry[entry >= 0]] = a[entry >= 0], b[entry >= 0]
+    if len(total := np.flatnonzero(entry < 0)):
+        n = [int(a[total[0]]), int(b[total[0]])]
     return ratios_of(one, zero, n[0], n[1]), n[0], n[1]
 
 
@@ -139,14 +136,15 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     sample = sample.dropDuplicates(["__op_id", "__op_th"]).select("text", "label")
     wanted = np.flatnonzero(ratios)
 
-    def held(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame({"label": batch["label"], "entries": [np.intersect1d(features(t), wanted, True) for t in batch["text"]]})
+            entries = [np.intersect1d(features(t), wanted, True) for t in values(batch, "text")]
+            yield pa.record_batch([batch.column("label"), pa.array(entries, pa.list_(pa.int64()))], names=["label", "entries"])
 
-    fit = sample.mapInPandas(held, "label int, entries array<long>").toPandas()  # about 2 FIT_ROWS rows of at most ENTRIES numbers
-    fit = fit.assign(key=[tuple(e) for e in fit["entries"]]).sort_values(["label", "key"])  # the same sums in any order of tasks
-    y = fit["label"].to_numpy(float)
-    weights, bias = fit_weights([np.asarray(e, np.int64) for e in fit["entries"]], y, ratios, n_one / (n_one + n_zero)) if 0 < y.sum() < len(y) else (np.zeros(len(ratios)), -np.inf)
+    fit = sample.mapInArrow(held, "label int, entries array<long>").toArrow()  # about 2 FIT_ROWS rows of at most ENTRIES numbers
+    order = sorted(zip(fit.column("label").to_pylist(), map(tuple, fit.column("entries").to_pylist()), strict=True))  # the same sums in any order of tasks
+    y = np.array([label for label, _ in order], float)
+    weights, bias = fit_weights([np.array(e, np.int64) for _, e in order], y, ratios, n_one / (n_one + n_zero)) if 0 < y.sum() < len(y) else (np.zeros(len(ratios)), -np.inf)
     used = np.flatnonzero(weights)
     return {"entries": used, "weights": weights[used], "bias": bias, "rows": n_one + n_zero}
 
