@@ -16,9 +16,11 @@ import struct
 
 import numpy as np
 
-#: Chunks a worker remembers (about 200 bytes each, so some 40 MB a worker), and the length up to which a chunk is worth it.
-CACHE_CHUNKS = 200_000
+#: Chunks a worker remembers (about 200 bytes each, so some 80 MB a worker), and the length up to which a chunk is worth it.
+CACHE_CHUNKS = 400_000
 CACHE_CHARS = 48
+#: Chunks that a full table may lack, in multiples of its size, until it is emptied.
+RENEW = 16
 #: str.split() also cuts at these four, which the tokenizer keeps as text.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
@@ -42,6 +44,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[str, bytes] = {}
+        self.missed = 0
 
     def ids(self, text: str | None, end: int) -> np.ndarray:
         """Ids of a whole text (null: none), then ``end``; unsigned 32-bit, little-endian."""
@@ -50,12 +53,18 @@ class WordEncoder:
             text = text.lower()
         chunks = [c for c in _SPACE.split(text) if c] if _SEPARATORS.search(text) else text.split()
         known = self.known
-        if len(known) > CACHE_CHUNKS:
-            known.clear()
         if new := list(set(chunks).difference(known)):
             found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            own = {c: struct.pack(f"<{len(e)}I", *e.ids) for c, e in zip(new, found, strict=True)}
-            known.update((c, i) for c, i in own.items() if len(c) <= CACHE_CHARS)
-            if any(len(c) > CACHE_CHARS for c in new):
-                return np.frombuffer(b"".join([*(own[c] if c in own else known[c] for c in chunks), struct.pack("<I", end)]), "<u4")
-        return np.frombuffer(b"".join([*map(known.__getitem__, chunks), struct.pack("<I", end)]), "<u4")
+            known.update((c, struct.pack(f"<{len(e)}I", *e.ids)) for c, e in zip(new, found, strict=True))
+        ids = b"".join([*map(known.__getitem__, chunks), struct.pack("<I", end)])
+        # the table keeps what it met first, so mostly frequent chunks; where too much is missing from it, it begins anew
+        full = len(known) > CACHE_CHUNKS
+        for c in new:
+            if full or len(c) > CACHE_CHARS:
+                del known[c]
+        if full:
+            self.missed += len(new)
+            if self.missed > RENEW * CACHE_CHUNKS:
+                known.clear()
+                self.missed = 0
+        return np.frombuffer(ids, "<u4")

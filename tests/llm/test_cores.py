@@ -32,6 +32,16 @@ def test_word_encoder_equals_tokenizer():
     assert own.ids(None, 1).tolist() == [1]
 
 
+def test_word_encoder_with_a_full_table(monkeypatch):
+    from pulseboard.llm import tokens
+    path = PT.path("word_bpe_49k.json")
+    plain = [WordEncoder(path).ids(t, 1).tolist() for t in texts(60)]
+    monkeypatch.setattr(tokens, "CACHE_CHUNKS", 20)
+    monkeypatch.setattr(tokens, "RENEW", 4)
+    own = WordEncoder(path)
+    assert [own.ids(t, 1).tolist() for t in texts(60)] == plain and len(own.known) <= 20
+
+
 def test_counts_equal_unigram_tokenizer():
     from tokenizers import Tokenizer, models, pre_tokenizers
     vocabulary = load_vocabulary(PT.path("piece_bpe_32k.model"))
