@@ -19,7 +19,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject.
 
-    Scores are a text's own, so rejected rows leave by id and text; ids may be null or repeated."""
+    Scores are a text's own, so rejected rows leave by id and text; ids may be null or repeated; null texts score as empty ones; no rows give no rows."""
     labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"))).select("doc_id", "toxic")
     docs = docs.select(*COLUMNS)
     scored = toxicity.score(docs, toxicity.train(docs, labels))
@@ -31,29 +31,38 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Documents that no quality rule rejects.
+
+    Null and empty texts have too few words and go; equal rows are judged alike; ids are not read; no rows give no rows."""
     return quality_cascade(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark."""
+    """Documents that are not contaminated by the benchmark.
+
+    A text without words is never contaminated; equal rows are judged alike; ids may be null; no rows give no rows."""
     return contamination(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark")).where("NOT contaminated").select(*COLUMNS)
 
 
 def deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class."""
+    """One document of each near-duplicate class.
+
+    Texts without words all stay; of equal rows one stays; ids may be null or repeated; no rows give no rows."""
     return one_per_class(docs.select(*COLUMNS))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces in packed sequences."""
+    """Token pieces in packed sequences.
+
+    A null or empty text is the end id alone; equal rows are documents of their own; ids may be null; no rows give no rows."""
     pieces = packing.token_pieces(docs.select(*COLUMNS), tokenizer_file("word_bpe_49k.json"))
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 STAGES = [("toxicity", clean), ("quality_rules", quality), ("jaccard_join", deduplication),
           ("decontamination", decontamination), ("packing", sequences)]
-#: Toxicity scores, near-duplicate groups and packing are not SQL; the pipeline is tested against brute force.
+#: Toxicity scores, near-duplicate groups and packing are not SQL. Tests hold each stage against its operator on its own input, and the operators
+#: against plain versions.
 ORACLE_SQL = None
 
 
