@@ -208,7 +208,7 @@ def test_timeseries_gap_fill_any_stage_span(spark):
 
 
 def test_timeseries_rejects_unknown_metric(spark):
-    with pytest.raises(ValueError, match="Unsupported timeseries metric: invalidMetric"):
+    with pytest.raises(ValueError, match="invalidMetric is no timeseries metric"):
         M.timeseries(base_of(spark, [{"stage": "sent"}]), ["invalidMetric"])
 
 
