@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseboard.functions.time import bucket_start, interval_micros
-from pulseboard.schema import CONTEXT, DEFAULT_ENVIRONMENT, EVENT_LABELS, EVENT_NUMERICS
+from pulseboard.schema import CONTEXT, EVENT_LABELS, EVENT_NUMERICS
 
 EVENT_PAYLOAD = ["event_id", "ts", *[c for c in EVENT_LABELS if c not in ("tenant_id", "timeline_id", "media_content_id")],
                  *EVENT_NUMERICS]
@@ -26,13 +26,12 @@ def _non_empty(c: str):
     return F.col(c).isNotNull() & (F.col(c) != "")
 
 
-def grid_context(events: DataFrame, minutes: float = 60,
-                 environment: str | None = DEFAULT_ENVIRONMENT) -> DataFrame:
+def grid_context(events: DataFrame, minutes: float = 60, *, environment: str | None) -> DataFrame:
     """Tag events with their processing interval on a fixed UTC grid (T5).
 
     A job needs non-empty tenant, match and timeline ids (job validation), so
-    events without them belong to no job.  ETL jobs filter on the configured
-    environment (``None`` disables it).
+    events without them belong to no job.  ``environment`` is the deployment's
+    own, which ETL jobs filter on (null: events of all).
     """
     step = interval_micros(minutes)
     cond = _non_empty("tenant_id") & _non_empty("media_content_id") & _non_empty("timeline_id") \

@@ -85,5 +85,5 @@ def backfill(spark: SparkSession, events: DataFrame, requests: DataFrame, store_
     """
     jobs = JB.expand_backfill(requests, caller_tenant_col=caller_tenant_col, correlation_id=correlation_id)
     valid = JB.valid_jobs(JB.validate_jobs(JB.encode_jobs(jobs)), now)
-    base = JB.jobs_join_events(valid, events, environment)
+    base = JB.jobs_join_events(valid, events, environment=environment)
     return run_all(spark, base, store_root, mode=mode, jobs=valid, now=now)

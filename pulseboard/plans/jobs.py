@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pulseboard.operators.context import EVENT_PAYLOAD
 from pulseboard.operators.predicates import to_utc, ts_lit
-from pulseboard.schema import CONTEXT, DEFAULT_ENVIRONMENT, JOB_SCHEMA
+from pulseboard.schema import CONTEXT, JOB_SCHEMA
 
 # Job message defaults and error texts.
 JOB_VERSION = 1
@@ -194,43 +194,54 @@ def valid_jobs(validated: DataFrame, now: datetime | str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ J2
-def jobs_join_events(jobs: DataFrame, events: DataFrame, environment: str | None = DEFAULT_ENVIRONMENT,
-                     broadcast_max_jobs: int = 200_000, bucket_minutes: int = 1440) -> DataFrame:
+MIN_LEVEL = 20  # smallest cell: 2^20 microseconds, about a second
+LEVEL_STEP = 2  # cells grow by 2^2, so an event has at most some twenty cells, one per level in use
+
+
+def job_cells(jobs: DataFrame, slices: int) -> DataFrame:
+    """Each job once per aligned power-of-two time cell that it touches and per slice.
+
+    The cell size (level) is the least allowed one that is no shorter than the job, so a job of any length
+    touches one or two cells.  Jobs without a positive length hold no event and give no row."""
+    first, last = F.unix_micros("intervalFrom"), F.unix_micros("intervalTo") - F.lit(1)
+    bits = F.ceil(F.log2(last - first + F.lit(1)) / F.lit(LEVEL_STEP)) * F.lit(LEVEL_STEP)
+    leveled = jobs.where(F.col("intervalFrom") < F.col("intervalTo")).withColumn(
+        "_level", F.greatest(F.lit(MIN_LEVEL), bits).cast("int"))
+    cells = leveled.withColumn("_cell", F.explode(F.sequence(_cell(first), _cell(last))))
+    return cells.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+
+
+def _cell(micros: Column) -> Column:
+    return F.call_function("shiftright", micros, F.col("_level"))
+
+
+def jobs_join_events(jobs: DataFrame, events: DataFrame, *, environment: str | None, slices: int = 16) -> DataFrame:
     """Attach every event to each job it belongs to (tenant, match, timeline equal and
-    ``intervalFrom <= ts < intervalTo``); overlapping jobs each get the event.
-
-    Jobs is the small side.  Its size is checked (a bounded count, not an
-    estimate); under ``broadcast_max_jobs`` it is broadcast and the join is a
-    broadcast hash join on the three ids with the range as residual - no
-    shuffle of the events.  Above it, each job is exploded into the UTC
-    ``bucket_minutes`` buckets it overlaps and the equi-key gains the bucket,
-    so a hot timeline is spread over its buckets in the shuffle (AQE splits
-    what is left).
+    ``intervalFrom <= ts < intervalTo``); overlapping jobs each get the event, repeated jobs count once.
+
+    An interval join by aligned cells: a job lies in one or two cells of its own level, an event in one cell of
+    each level that the job list uses, so an event meets a job in at most one cell and only near its interval.
+    The events of a cell are dealt into ``slices`` by hash and the jobs repeated for each, so a live match
+    whose events share one cell is joined by that many tasks.  Nothing is counted beforehand; whether the job list is
+    broadcast is left to the optimizer's size estimate.
+
+    ``environment`` is the deployment's own (null: events of all).  Events without time or ids belong to no job.
     """
-    ev = events
     cond = F.col("ts").isNotNull()
     if environment is not None:
         cond = cond & (F.col("environment") == F.lit(environment))
-    ev = ev.where(cond & F.col("tenant_id").isNotNull() & F.col("timeline_id").isNotNull()
-                  & F.col("media_content_id").isNotNull())
-    j = jobs.select(*CONTEXT).distinct()
-    ids = [("tenant_id", "tenantId"), ("timeline_id", "timelineId"), ("media_content_id", "matchId")]
-    n_jobs = j.limit(broadcast_max_jobs + 1).count()
-    if n_jobs <= broadcast_max_jobs:
-        on = [F.col(e) == F.col(k) for e, k in ids]
-        on += [F.col("ts") >= F.col("intervalFrom"), F.col("ts") < F.col("intervalTo")]
-        joined = ev.join(F.broadcast(j), on, "inner")
-    else:
-        step = bucket_minutes * 60_000_000
-        fu, tu = F.unix_micros("intervalFrom"), F.unix_micros("intervalTo") - F.lit(1)
-        jb = j.withColumn("_bucket", F.explode(F.sequence(fu - F.pmod(fu, F.lit(step)),
-                                                          tu - F.pmod(tu, F.lit(step)), F.lit(step))))
-        eu = F.unix_micros("ts")
-        eb = ev.withColumn("_bucket", eu - F.pmod(eu, F.lit(step)))
-        on = [eb[e] == jb[k] for e, k in ids] + [eb["_bucket"] == jb["_bucket"],
-                                                   eb["ts"] >= jb["intervalFrom"], eb["ts"] < jb["intervalTo"]]
-        joined = eb.join(jb.hint("merge"), on, "inner").drop(jb["_bucket"]).drop(eb["_bucket"])
-    return joined.select(*CONTEXT, *[c for c in EVENT_PAYLOAD if c in events.columns])
+    ev = events.where(cond & F.col("tenant_id").isNotNull() & F.col("timeline_id").isNotNull()
+                      & F.col("media_content_id").isNotNull())
+    j = job_cells(jobs.select(*CONTEXT).distinct(), slices)
+    levels = j.agg(F.collect_set("_level")).scalar()  # a handful of numbers, whatever the length of the list
+    ev = (ev.withColumn("_level", F.explode(levels))
+          .withColumns({"_cell": _cell(F.unix_micros("ts")),
+                        "_slice": F.pmod(F.xxhash64("ts", "event_id"), F.lit(slices)).cast("int")}))
+    on = [ev[e] == j[k] for e, k in (("tenant_id", "tenantId"), ("timeline_id", "timelineId"),
+                                     ("media_content_id", "matchId"))]
+    on += [ev[c] == j[c] for c in ("_level", "_cell", "_slice")]
+    on += [ev["ts"] >= j["intervalFrom"], ev["ts"] < j["intervalTo"]]
+    return ev.join(j, on, "inner").select(*CONTEXT, *[ev[c] for c in EVENT_PAYLOAD if c in events.columns])
 
 
 # ------------------------------------------------------------------ J4

@@ -24,6 +24,7 @@ from pulseboard.sources.events import fixture_events as _fixture_events
 # 60-minute cadence).
 DAILY = 1440
 HOURLY = 60
+ENVIRONMENT = "development"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,7 +58,7 @@ def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def etl_base(spark: SparkSession, sf_dir: str, minutes: float = DAILY) -> DataFrame:
-    return grid_context(fixture_events(spark, sf_dir), minutes)
+    return grid_context(fixture_events(spark, sf_dir), minutes, environment=ENVIRONMENT)
 
 
 # ------------------------------------------------------------------ S1/S2
@@ -409,16 +410,16 @@ _BF_SQL = O.with_(O.FIXTURE_VIEW, O.job_inputs(), f"bmsgs AS ({O.encoded_backfil
   stage FROM jbase""")
 def q_jobs_join_events(spark, sf_dir):
     ev, jobs = _backfill_jobs(spark, sf_dir)
-    return JB.jobs_join_events(jobs, ev).select(
+    return JB.jobs_join_events(jobs, ev, environment=ENVIRONMENT).select(
         "tenantId", "matchId", "timelineId", "intervalFrom", "intervalTo", "event_id", "ts", "stage")
 
 
 @register("jobs_join_events_bucketed", _BF_SQL + """SELECT tenantId, matchId, timelineId, intervalFrom, intervalTo,
   event_id, ts, stage FROM jbase""")
 def q_jobs_join_events_bucketed(spark, sf_dir):
-    """Same join through the shuffle path (what runs when the job list is too big to broadcast)."""
+    """Same join by a shuffle (what the optimizer takes for a job list that is too big to broadcast)."""
     ev, jobs = _backfill_jobs(spark, sf_dir)
-    return JB.jobs_join_events(jobs, ev, broadcast_max_jobs=0).select(
+    return JB.jobs_join_events(jobs.hint("merge"), ev, environment=ENVIRONMENT).select(
         "tenantId", "matchId", "timelineId", "intervalFrom", "intervalTo", "event_id", "ts", "stage")
 
 
@@ -432,10 +433,35 @@ _BF_CTES = [O.FIXTURE_VIEW, O.job_inputs(), f"bmsgs AS ({O.encoded_backfill()})"
                 WHERE te.environment = 'development')"""]
 
 
+_MIXED_MINUTES = "CASE event_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 60 ELSE 1440 END"
+
+
+@register("jobs_join_events_mixed", O.with_(O.FIXTURE_VIEW, f"""mjobs AS (
+  SELECT DISTINCT tenant_id AS tenantId, media_content_id AS matchId, timeline_id AS timelineId, ts AS intervalFrom,
+         ts + {_MIXED_MINUTES} * INTERVAL 1 MINUTE AS intervalTo FROM te WHERE stage = 'sent'
+  UNION
+  SELECT tenant_id, media_content_id, timeline_id, MIN(ts), MIN(ts) + INTERVAL 366 DAY FROM te GROUP BY ALL)""") + """
+SELECT j.tenantId, j.matchId, j.timelineId, j.intervalFrom, j.intervalTo, COUNT(*) AS n_events,
+       COUNT(*) FILTER (WHERE te.stage = 'rendered') AS n_rendered
+FROM mjobs j JOIN te ON te.tenant_id = j.tenantId AND te.media_content_id = j.matchId AND te.timeline_id = j.timelineId
+ AND te.ts >= j.intervalFrom AND te.ts < j.intervalTo WHERE te.environment = 'development' GROUP BY ALL""")
+def q_jobs_join_events_mixed(spark, sf_dir):
+    """A job list that grows with the events: after every overlay sent a minute, an hour or a day, and per timeline a
+    year from its first event; all of them overlap."""
+    ev = fixture_events(spark, sf_dir)
+    ids = [F.col("tenant_id").alias("tenantId"), F.col("media_content_id").alias("matchId"), F.col("timeline_id").alias("timelineId")]
+    after = ev.where("stage = 'sent'").select(*ids, F.col("ts").alias("intervalFrom"), F.expr(
+        f"ts + make_dt_interval(0, 0, {_MIXED_MINUTES})").alias("intervalTo"))
+    year = ev.groupBy(*ids).agg(F.min("ts").alias("intervalFrom")).withColumn("intervalTo", F.expr("intervalFrom + INTERVAL 366 DAY"))
+    joined = JB.jobs_join_events(after.unionByName(year), ev, environment=ENVIRONMENT)
+    return joined.groupBy("tenantId", "matchId", "timelineId", "intervalFrom", "intervalTo").agg(
+        F.count("*").alias("n_events"), F.count_if(F.col("stage") == "rendered").alias("n_rendered"))
+
+
 @register("backfill_platform", O.with_(*_BF_CTES, O.platform_cte(src="jbase")) + f"SELECT {O.PLATFORM_COLS} FROM plat")
 def q_backfill_platform(spark, sf_dir):
     ev, jobs = _backfill_jobs(spark, sf_dir)
-    return M.platform_metrics(JB.jobs_join_events(jobs, ev))
+    return M.platform_metrics(JB.jobs_join_events(jobs, ev, environment=ENVIRONMENT))
 
 
 @register("latency_zero_fill", O.with_(*_BF_CTES, O.latency_cte(src="jbase")) + """SELECT j.timelineId, j.matchId,
@@ -447,7 +473,7 @@ def q_backfill_platform(spark, sf_dir):
   AND j.timelineId = l.timelineId AND j.intervalFrom = l.intervalFrom AND j.intervalTo = l.intervalTo""")
 def q_latency_zero_fill(spark, sf_dir):
     ev, jobs = _backfill_jobs(spark, sf_dir)
-    return JB.zero_fill_latency(jobs, M.latency_percentiles(JB.jobs_join_events(jobs, ev)))
+    return JB.zero_fill_latency(jobs, M.latency_percentiles(JB.jobs_join_events(jobs, ev, environment=ENVIRONMENT)))
 
 
 # ------------------------------------------------------------------ store
@@ -529,8 +555,8 @@ _CUT_SQL = "ts < TIMESTAMP '2024-01-20 00:00:00'"
 def _old_new(spark, sf_dir):
     ev = fixture_events(spark, sf_dir)
     old_rows = M.platform_metrics(grid_context(ev.where(F.col("ts") < F.lit("2024-01-20 00:00:00").cast("timestamp")),
-                                               DAILY))
-    new_rows = M.platform_metrics(grid_context(ev, DAILY))
+                                               DAILY, environment=ENVIRONMENT))
+    new_rows = M.platform_metrics(grid_context(ev, DAILY, environment=ENVIRONMENT))
     return old_rows, new_rows
 
 
@@ -688,7 +714,7 @@ def _scratch(spark, name: str) -> str:
 @register("stream_platform_hourly", ORACLES["platform_metrics_hourly"])
 def q_stream_platform(spark, sf_dir):
     root = _scratch(spark, "stream-platform")
-    stream = SW.stream_platform_metrics(fixture_event_stream(spark, sf_dir), minutes=HOURLY)
+    stream = SW.stream_platform_metrics(fixture_event_stream(spark, sf_dir), minutes=HOURLY, environment=ENVIRONMENT)
     SK.run_available_now(stream, SK.metric_upsert_sink(f"{root}/platform", "platform"), f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/platform_contrib").select(*[c.strip() for c in O.PLATFORM_COLS.split(",")])
 
@@ -696,7 +722,7 @@ def q_stream_platform(spark, sf_dir):
 @register("stream_timeseries_hourly_jobs", ORACLES["timeseries_hourly_jobs"])
 def q_stream_timeseries(spark, sf_dir):
     root = _scratch(spark, "stream-timeseries")
-    stream = SW.stream_timeseries_buckets(fixture_event_stream(spark, sf_dir), job_minutes=HOURLY)
+    stream = SW.stream_timeseries_buckets(fixture_event_stream(spark, sf_dir), job_minutes=HOURLY, environment=ENVIRONMENT)
     SK.run_available_now(stream, SK.buckets_sink(f"{root}/buckets"), f"{root}/_checkpoint")
     return M.timeseries_from_buckets(spark.read.parquet(f"{root}/buckets").drop("intervalDate"))
 
@@ -848,7 +874,7 @@ STREAM_TOP_N = 2
 def q_stream_top_platforms(spark, sf_dir):
     """Streamed platform buckets -> sink keeps all buckets, applies the per-job top-N, derives the match table."""
     root = _scratch(spark, "stream-top")
-    stream = SW.stream_platform_metrics(fixture_event_stream(spark, sf_dir), minutes=HOURLY, keep_doc_count=True)
+    stream = SW.stream_platform_metrics(fixture_event_stream(spark, sf_dir), minutes=HOURLY, environment=ENVIRONMENT, keep_doc_count=True)
     SK.run_available_now(stream, SK.metric_upsert_sink(f"{root}/platform", "platform",
                                                        truncate=SW.platform_top_n(STREAM_TOP_N)),
                          f"{root}/_checkpoint")

@@ -40,7 +40,7 @@ def job_consumer_sink(events: DataFrame, store_root: str, dlq_path: str,
             jobs = JB.valid_jobs(checked, now)
             if jobs.limit(1).count() == 0:
                 return
-            base = JB.jobs_join_events(jobs, events, environment)
+            base = JB.jobs_join_events(jobs, events, environment=environment)
             try:
                 ETL.run_all(batch.sparkSession, base, store_root, jobs=jobs, now=now)
             except ETL.MetricRunError as e:

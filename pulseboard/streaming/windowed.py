@@ -21,7 +21,7 @@ from pulseboard.functions.numeric import key_or_unknown
 from pulseboard.functions.time import parse_interval
 from pulseboard.operators import metrics as M
 from pulseboard.operators.topk import top_n_per_group
-from pulseboard.schema import CONTEXT, DEFAULT_ENVIRONMENT, TOP_PLATFORMS
+from pulseboard.schema import CONTEXT
 
 def _ids() -> list:
     return [F.col("tenant_id").alias("tenantId"), F.col("media_content_id").alias("matchId"),
@@ -37,9 +37,8 @@ def _job_events(events: DataFrame, environment: str | None, watermark: str) -> D
     return events.where(cond).withWatermark("ts", watermark)
 
 
-def stream_platform_metrics(events: DataFrame, minutes: int = 60, watermark: str = "10 minutes",
-                            environment: str | None = DEFAULT_ENVIRONMENT,
-                            keep_doc_count: bool = False) -> DataFrame:
+def stream_platform_metrics(events: DataFrame, minutes: int = 60, watermark: str = "10 minutes", *,
+                            environment: str | None, keep_doc_count: bool = False) -> DataFrame:
     """A3 per (tenant, match, timeline, event-time window, platform) on a stream.
 
     ``keep_doc_count`` carries the bucket's row count, which the sink needs to
@@ -58,7 +57,7 @@ def stream_platform_metrics(events: DataFrame, minutes: int = 60, watermark: str
     return out
 
 
-def platform_top_n(n: int = TOP_PLATFORMS):
+def platform_top_n(n: int):
     """Sink-side top-N of the platform buckets of each job (count desc, key asc)."""
     def apply(contrib: DataFrame) -> DataFrame:
         return top_n_per_group(contrib, CONTEXT, "doc_count", "platform", n).drop("doc_count")
@@ -66,8 +65,7 @@ def platform_top_n(n: int = TOP_PLATFORMS):
 
 
 def stream_timeseries_buckets(events: DataFrame, job_minutes: int = 60, interval: str = "5m",
-                              watermark: str = "10 minutes",
-                              environment: str | None = DEFAULT_ENVIRONMENT) -> DataFrame:
+                              watermark: str = "10 minutes", *, environment: str | None) -> DataFrame:
     """A11 raw measures per non-empty bucket; the bucket window carries the event time.
 
     The job interval is a plain function of the event time (the bucket must

@@ -80,7 +80,10 @@ def test_encode_roundtrip(spark):
     assert enc["key"] == "t1|m1|a" and '"version":1' in enc["value"] and '"jobType"' in enc["value"]
 
 
-def test_jobs_join_events_broadcast_and_bucketed_agree(spark):
+JOB_DDL = "tenantId string, matchId string, timelineId string, intervalFrom timestamp, intervalTo timestamp"
+
+
+def test_jobs_join_events_broadcast_and_shuffled_agree(spark):
     ev = make_events(spark, [
         {"event_id": 1, "ts": datetime(2026, 5, 13, 9, 59, 59)},
         {"event_id": 2, "ts": datetime(2026, 5, 13, 10, 0, 0)},
@@ -90,13 +93,53 @@ def test_jobs_join_events_broadcast_and_bucketed_agree(spark):
     ])
     jobs = spark.createDataFrame(
         [("t1", "m1", "tl-1", datetime(2026, 5, 13, 10), datetime(2026, 5, 14, 11)),
-         ("t1", "m1", "tl-1", datetime(2026, 5, 14, 10), datetime(2026, 5, 14, 11))],
-        "tenantId string, matchId string, timelineId string, intervalFrom timestamp, intervalTo timestamp")
-    a = sorted((r["event_id"], r["intervalFrom"]) for r in JB.jobs_join_events(jobs, ev).collect())
-    b = sorted((r["event_id"], r["intervalFrom"]) for r in
-               JB.jobs_join_events(jobs, ev, broadcast_max_jobs=0, bucket_minutes=60).collect())
+         ("t1", "m1", "tl-1", datetime(2026, 5, 14, 10), datetime(2026, 5, 14, 11))], JOB_DDL)
+    a, b = (sorted((r["event_id"], r["intervalFrom"]) for r in
+                   JB.jobs_join_events(j, ev, environment="development").collect()) for j in (jobs, jobs.hint("merge")))
     # event 3 belongs to both overlapping jobs; 1 is before the range; 4/5 fail env / match
     assert a == b == [(2, datetime(2026, 5, 13, 10)), (3, datetime(2026, 5, 13, 10)), (3, datetime(2026, 5, 14, 10))]
+    both = JB.jobs_join_events(jobs, ev, environment=None)
+    assert both.where("event_id = 4").count() == 1
+    assert JB.jobs_join_events(jobs.limit(0), ev, environment=None).count() == 0
+
+
+def test_jobs_of_any_length_equal_plain_comparison(spark):
+    """Microsecond to three-year jobs, ends on and off cell borders, times before 1970, repeated and empty jobs."""
+    import random
+    from datetime import timedelta
+    rng = random.Random(5)
+    zero = datetime(1969, 12, 31, 12)
+    lengths = [1, 2, 1 << 20, (1 << 20) + 1, 3_600_000_000, 1 << 36, 86_400_000_000, 94_608_000_000_000]
+    jobs = []
+    for n in range(120):
+        start = zero + timedelta(microseconds=rng.choice([0, rng.randrange(1 << 21), rng.randrange(200_000_000_000)]))
+        jobs.append(("t1", "m1", "tl-1", start, start + timedelta(microseconds=rng.choice(lengths))))
+    jobs += [jobs[0], ("t1", "m1", "tl-1", zero, zero)]
+    times = [zero + timedelta(microseconds=rng.choice([rng.randrange(1 << 21), rng.randrange(300_000_000_000)])) for _ in range(200)]
+    times += [j[3] for j in jobs] + [j[4] for j in jobs]
+    ev = make_events(spark, [{"event_id": n, "ts": t} for n, t in enumerate(times)])
+    want = sorted((n, j[3], j[4]) for n, t in enumerate(times) for j in set(jobs) if j[3] <= t < j[4])
+    for slices, frame in ((1, spark.createDataFrame(jobs, JOB_DDL)), (16, spark.createDataFrame(jobs, JOB_DDL).hint("merge"))):
+        got = JB.jobs_join_events(frame, ev, environment="development", slices=slices)
+        assert sorted((r["event_id"], r["intervalFrom"], r["intervalTo"]) for r in got.collect()) == want
+
+
+def test_a_hot_live_match_is_joined_by_many_tasks(spark):
+    """All events in one job: the shuffle key holds the slice, and no task gets more than a small part."""
+    ev = spark.range(16_000).selectExpr(
+        "id AS event_id", "timestamp_micros(1778666400000000 + id * 1000) AS ts", "'t1' AS tenant_id",
+        "'m1' AS media_content_id", "'tl-1' AS timeline_id", "'development' AS environment")
+    jobs = spark.createDataFrame([("t1", "m1", "tl-1", datetime(2026, 5, 13, 10), datetime(2026, 5, 13, 11))], JOB_DDL)
+    out = JB.jobs_join_events(jobs.hint("merge"), ev, environment="development", slices=16)
+    assert "_slice" in "".join(x for x in out._jdf.queryExecution().executedPlan().toString().splitlines(True)
+                               if "hashpartitioning" in x and "_cell" in x)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sum(sizes) == 16_000 and len(sizes) >= 4 and max(sizes) <= 8_000
 
 
 def test_fixture_inputs_follow_the_rules(spark):

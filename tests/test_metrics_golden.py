@@ -12,7 +12,7 @@ from pulseboard.plans import jobs as JB
 
 
 def base_of(spark, rows, minutes=60):
-    return grid_context(make_events(spark, rows), minutes)
+    return grid_context(make_events(spark, rows), minutes, environment="development")
 
 
 def by(rows, key):
@@ -181,7 +181,7 @@ def test_empty_window_only_latency_row(spark):
     jobs = spark.createDataFrame([("t1", "m1", "tl-1", datetime(2026, 5, 13, 10), datetime(2026, 5, 13, 11))],
                                  "tenantId string, matchId string, timelineId string, intervalFrom timestamp, "
                                  "intervalTo timestamp")
-    base = JB.jobs_join_events(jobs, ev)
+    base = JB.jobs_join_events(jobs, ev, environment="development")
     assert M.platform_metrics(base).count() == 0 and M.timeseries(base).count() == 0
     lat = JB.zero_fill_latency(jobs, M.latency_percentiles(base)).collect()
     assert len(lat) == 1 and lat[0]["render_p50"] == 0.0

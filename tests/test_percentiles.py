@@ -49,7 +49,7 @@ def test_percentiles_of_awkward_values(spark):
 def test_one_rule_for_numbers_that_are_no_measurements(spark):
     """Sum, average, extremes and percentiles leave out the same values (latency 100, NaN, 1e31, 200)."""
     ev = make_events(spark, [{"stage": "received", "receive_latency_ms": x} for x in (100.0, float("nan"), 1e31, 200.0)])
-    row = M.latency_percentiles(grid_context(ev, 60)).first()
+    row = M.latency_percentiles(grid_context(ev, 60, environment="development")).first()
     assert (row["receive_avg"], row["receive_max"], row["receive_p50"], row["receive_p95"]) == (150.0, 200.0, 150.0, 195.0)
 
 
@@ -71,12 +71,12 @@ def test_global_group_and_empty_input(spark):
 
 def test_hot_group_is_met_as_counts_only(spark):
     """Partial counts stand before every shuffle of values, and no built-in percentile gathers a group."""
-    plan = M.latency_percentiles(grid_context(fixture_events(spark, SF0001), 1440))._jdf.queryExecution().executedPlan().toString()
+    plan = M.latency_percentiles(grid_context(fixture_events(spark, SF0001), 1440, environment="development"))._jdf.queryExecution().executedPlan().toString()
     assert "percentile(" not in plan and "partial_count" in plan
 
 
 def test_one_scan_equals_the_single_metrics(spark):
-    base = grid_context(fixture_events(spark, SF0001), 1440)
+    base = grid_context(fixture_events(spark, SF0001), 1440, environment="development")
     pre = cut_lineage(one_scan.pre_aggregate(base))
     for name, fn in M.METRIC_FUNCTIONS.items():
         a, b = one_scan.TABLES[name](pre), fn(base)

@@ -24,9 +24,9 @@ def test_split_batches_and_replay_equal_one_run(spark):
     ev = fixture_events(spark, SF0001)
     cut = F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp")
     one, split = f"{ck}/prop-one-{uuid.uuid4().hex}", f"{ck}/prop-split-{uuid.uuid4().hex}"
-    ST.upsert_table(spark, one, M.platform_metrics(grid_context(ev, 1440)), "platform")
-    first = M.platform_metrics(grid_context(ev.where(cut), 1440))
-    second = M.platform_metrics(grid_context(ev.where(~cut), 1440))
+    ST.upsert_table(spark, one, M.platform_metrics(grid_context(ev, 1440, environment="development")), "platform")
+    first = M.platform_metrics(grid_context(ev.where(cut), 1440, environment="development"))
+    second = M.platform_metrics(grid_context(ev.where(~cut), 1440, environment="development"))
     for rows in (first, second, first):          # the first batch is replayed at the end
         ST.upsert_table(spark, split, rows, "platform")
     assert _table(spark, one) == _table(spark, split)

@@ -45,7 +45,7 @@ def test_property_platform_rows_sum_to_funnel(spark):
 
 
 def test_property_failure_shares_sum_to_100(spark):
-    base = grid_context(fixture_events(spark, SF001), 1440)
+    base = grid_context(fixture_events(spark, SF001), 1440, environment="development")
     sums = M.failure_analysis(base).groupBy("tenantId", "matchId", "timelineId", "intervalFrom") \
         .agg(F.sum("percentOfFailed").alias("s")).collect()
     assert sums and all(abs(r["s"] - 100.0) <= 0.05 for r in sums)
@@ -53,16 +53,16 @@ def test_property_failure_shares_sum_to_100(spark):
 
 def test_property_event_outside_interval_changes_nothing(spark):
     rows = [{"stage": "received", "ts": datetime(2026, 5, 13, 10, 5)}]
-    a = M.platform_metrics(grid_context(make_events(spark, rows), 60)).collect()
+    a = M.platform_metrics(grid_context(make_events(spark, rows), 60, environment="development")).collect()
     b = M.platform_metrics(grid_context(make_events(spark, rows + [{"stage": "received",
-                                                                     "ts": datetime(2026, 5, 13, 11, 0)}]), 60)) \
+                                                                     "ts": datetime(2026, 5, 13, 11, 0)}]), 60, environment="development")) \
         .where(F.col("intervalFrom") == datetime(2026, 5, 13, 10)).collect()
     assert a == b
 
 
 def test_all_metrics_isolate_failures(spark, tmp_path):
     ensure_checkpoint_dir(spark)
-    base = grid_context(make_events(spark, expand("received", 3, platform="web")), 60)
+    base = grid_context(make_events(spark, expand("received", 3, platform="web")), 60, environment="development")
 
     def boom(_):
         raise RuntimeError("broken metric")
@@ -77,7 +77,7 @@ def test_all_metrics_isolate_failures(spark, tmp_path):
 
 def test_all_metrics_rerun_is_idempotent(spark, tmp_path):
     ensure_checkpoint_dir(spark)
-    base = grid_context(make_events(spark, expand("received", 3, platform="web") + expand("sent", 1, room_size=4.0)), 60)
+    base = grid_context(make_events(spark, expand("received", 3, platform="web") + expand("sent", 1, room_size=4.0)), 60, environment="development")
     for _ in range(2):
         ETL.run_all(spark, base, str(tmp_path))
     p = spark.read.parquet(str(tmp_path / "platform")).collect()

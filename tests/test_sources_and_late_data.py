@@ -29,14 +29,14 @@ def test_nested_json_events_flatten_and_aggregate(spark, tmp_path):
     d.mkdir()
     (d / "part-0.json").write_text("\n".join(json.dumps(x) for x in docs))
     ev = flatten_events(read_tracking_events(spark, str(tmp_path / "tracking-events-*"), "json"))
-    out = {r["platform"]: r for r in M.platform_metrics(grid_context(ev, 60)).collect()}
+    out = {r["platform"]: r for r in M.platform_metrics(grid_context(ev, 60, environment="development")).collect()}
     assert out["web"]["sent"] == 40.0 and out["web"]["receiveRate"] == 2.5 and out["web"]["avgRenderMs"] == 12.5
     assert out["ios"]["rendered"] == 1 and out["web"]["intervalFrom"] == datetime(2026, 5, 13, 10)
 
 
 def test_upsert_rejects_rows_without_unique_fields(spark, tmp_path):
     ensure_checkpoint_dir(spark)
-    rows = M.platform_metrics(grid_context(make_events(spark, [{"stage": "received"}]), 60))
+    rows = M.platform_metrics(grid_context(make_events(spark, [{"stage": "received"}]), 60, environment="development"))
     bad = rows.withColumn("matchId", rows["matchId"].substr(1, 0).cast("string")).na.replace("", None, ["matchId"])
     with pytest.raises(Exception, match="Missing unique field"):
         ST.upsert_table(spark, str(tmp_path / "p"), bad, "platform")
@@ -55,7 +55,7 @@ def test_late_event_beyond_watermark_is_left_to_backfill(spark, tmp_path):
                                {"stage": "received", "ts": datetime(2026, 5, 13, 12, 40)}])
     first.write.parquet(str(src / "b1"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(src / "*"))
-    out = SW.stream_platform_metrics(stream, minutes=60, watermark="10 minutes")
+    out = SW.stream_platform_metrics(stream, minutes=60, watermark="10 minutes", environment="development")
     q = (out.writeStream.outputMode("update").format("memory").queryName("late_test")
          .option("checkpointLocation", str(tmp_path / "ck")).start())
     q.processAllAvailable()

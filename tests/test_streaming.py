@@ -29,7 +29,7 @@ def test_sink_replay_of_a_batch_is_idempotent(spark, tmp_path):
     from pulseboard.operators import metrics as M
     from pulseboard.sources.events import fixture_events
     from pulseboard.streaming.sinks import metric_upsert_sink
-    rows = M.platform_metrics(grid_context(fixture_events(spark, SF), 60), top_n=None)
+    rows = M.platform_metrics(grid_context(fixture_events(spark, SF), 60, environment="development"), top_n=None)
     sink = metric_upsert_sink(str(tmp_path / "p"), "platform")
     sink(rows, 0)
     first = spark.read.parquet(str(tmp_path / "p")).count()
