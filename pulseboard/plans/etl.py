@@ -77,7 +77,8 @@ def run_all(spark: SparkSession, base: DataFrame, store_root: str, mode: str = "
 
 def backfill(spark: SparkSession, events: DataFrame, requests: DataFrame, store_root: str,
              *, environment: str | None, now: datetime | str, mode: str = "idempotent",
-             caller_tenant_col: str | None = None, correlation_id=None) -> dict[str, DataFrame]:
+             caller_tenant_col: str | None = None, correlation_id=None,
+             registry: dict[str, MetricFn] | None = None) -> dict[str, DataFrame]:
     """K3: backfill requests -> jobs -> range join with the events -> all metrics -> store.
 
     ``environment`` is the deployment's own (null: events of all).  Requests
@@ -86,4 +87,4 @@ def backfill(spark: SparkSession, events: DataFrame, requests: DataFrame, store_
     jobs = JB.expand_backfill(requests, caller_tenant_col=caller_tenant_col, correlation_id=correlation_id)
     valid = JB.valid_jobs(JB.validate_jobs(JB.encode_jobs(jobs)), now)
     base = JB.jobs_join_events(valid, events, environment=environment)
-    return run_all(spark, base, store_root, mode=mode, jobs=valid, now=now)
+    return run_all(spark, base, store_root, mode=mode, registry=registry, jobs=valid, now=now)

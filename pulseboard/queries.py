@@ -879,3 +879,39 @@ def q_stream_top_platforms(spark, sf_dir):
                                                        truncate=SW.platform_top_n(STREAM_TOP_N)),
                          f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/platform").select(*_PCOLS)
+
+
+# ------------------------------------------------------------------ late and repeated events (ST1, ST2, K2)
+from pulseboard.plans import etl as _ETL  # noqa: E402
+from pulseboard.sources.events import FLAT_SCHEMA  # noqa: E402
+from pulseboard.streaming import late as LT  # noqa: E402
+
+ARRIVAL_CUTS = ("2024-01-11", "2024-01-21")
+
+
+def arrivals(ev: DataFrame) -> list[DataFrame]:
+    """The events in three deliveries by time; every twentieth of the first comes with the last, every 25th event comes twice."""
+    first, second = (F.col("ts") < F.lit(f"{d} 00:00:00").cast("timestamp") for d in ARRIVAL_CUTS)
+    late, again = F.col("event_id") % 20 == 0, F.col("event_id") % 25 == 0
+    third = ev.where(~second)
+    return [ev.where(first & ~late).unionByName(ev.where(first & ~late & again)), ev.where(~first & second),
+            third.unionByName(ev.where(first & late)).unionByName(third.where(again))]
+
+
+@register("stream_late_and_repeated_events", ORACLES["platform_metrics_hourly"])
+def q_stream_late_events(spark, sf_dir):
+    """Three deliveries with a restart of both streams after each; what came late is worked off as backfill requests.  Equals
+    the batch result."""
+    root = _scratch(spark, "stream-late")
+    seen = None
+    for n, delivery in enumerate(arrivals(fixture_events(spark, sf_dir))):
+        delivery.write.parquet(f"{root}/events/delivery={n}")
+        seen = spark.readStream.schema(FLAT_SCHEMA).parquet(f"{root}/events/*")
+        metrics = SW.stream_platform_metrics(LT.drop_repeats(seen), minutes=HOURLY, environment=ENVIRONMENT, watermark=None)
+        SK.run_available_now(metrics, SK.metric_upsert_sink(f"{root}/store/platform", "platform"), f"{root}/_metrics")
+        SK.run_available_now(seen, LT.late_event_sink(f"{root}/requests", environment=ENVIRONMENT, reads_ahead=False),
+                             f"{root}/_late", output_mode="append")
+    archive = LT.drop_repeats(spark.read.schema(FLAT_SCHEMA).parquet(f"{root}/events/*"))
+    _ETL.backfill(spark, archive, LT.late_requests(spark, f"{root}/requests"), f"{root}/store", environment=ENVIRONMENT,
+                  now=JOB_NOW, registry={"platform": M.platform_metrics})
+    return spark.read.parquet(f"{root}/store/platform_contrib").select(*_PCOLS)

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pulseboard.schema import EVENT_LABELS, EVENT_NUMERICS, TRACKING_EVENT_SCHEMA
 
 FLAT_COLUMNS = ["event_id", "ts", *EVENT_LABELS, *EVENT_NUMERICS]
+FLAT_SCHEMA = ", ".join(["event_id bigint", "ts timestamp", *(f"{c} string" for c in EVENT_LABELS),
+                         *(f"{c} double" for c in EVENT_NUMERICS)])
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

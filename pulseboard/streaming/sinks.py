@@ -2,8 +2,8 @@
 
 ``foreachBatch`` applies the batch upsert of ``plans.store`` to every
 micro-batch.  The stream's checkpoint replays a batch after a failure with the
-same ``batchId``; the sink is idempotent (row replacement), and a batch-id
-ledger next to the table skips batches that were already committed.
+same ``batchId``; the sink is idempotent (row replacement), and a
+ledger next to the table skips the batch that was committed last.
 """
 
 from __future__ import annotations
@@ -11,22 +11,13 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseboard.plans import jobs as JB
 from pulseboard.plans import store as ST
 from pulseboard.session import cut_lineage
-
-
-def _ledger_has(spark: SparkSession, ledger: str, batch_id: int) -> bool:
-    if not ST._exists(spark, ledger):
-        return False
-    return spark.read.parquet(ledger).where(F.col("batchId") == batch_id).limit(1).count() > 0
-
-
-def _ledger_add(spark: SparkSession, ledger: str, batch_id: int) -> None:
-    spark.range(1).select(F.lit(batch_id).cast("long").alias("batchId")).write.mode("append").parquet(ledger)
+from pulseboard.streaming.ledger import Ledger
 
 
 def metric_upsert_sink(path: str, metric_type: str, mode: str = "idempotent", truncate=None):
@@ -41,11 +32,11 @@ def metric_upsert_sink(path: str, metric_type: str, mode: str = "idempotent", tr
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        ledger = path.rstrip("/") + "_batches"
-        if _ledger_has(spark, ledger, batch_id):
+        ledger = Ledger(spark, path)
+        if ledger.last() == batch_id:
             return
         ST.upsert_table(spark, path, batch, metric_type, mode=mode, replace_by="row", truncate=truncate)
-        _ledger_add(spark, ledger, batch_id)
+        ledger.commit(batch_id)
     return run
 
 

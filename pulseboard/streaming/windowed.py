@@ -28,21 +28,22 @@ def _ids() -> list:
             F.col("timeline_id").alias("timelineId")]
 
 
-def _job_events(events: DataFrame, environment: str | None, watermark: str) -> DataFrame:
+def _job_events(events: DataFrame, environment: str | None, watermark: str | None) -> DataFrame:
     cond = (F.col("tenant_id").isNotNull() & (F.col("tenant_id") != "") & F.col("media_content_id").isNotNull()
             & (F.col("media_content_id") != "") & F.col("timeline_id").isNotNull() & (F.col("timeline_id") != "")
             & F.col("ts").isNotNull())
     if environment is not None:
         cond = cond & (F.col("environment") == F.lit(environment))
-    return events.where(cond).withWatermark("ts", watermark)
+    return events.where(cond) if watermark is None else events.where(cond).withWatermark("ts", watermark)
 
 
-def stream_platform_metrics(events: DataFrame, minutes: int = 60, watermark: str = "10 minutes", *,
+def stream_platform_metrics(events: DataFrame, minutes: int = 60, watermark: str | None = "10 minutes", *,
                             environment: str | None, keep_doc_count: bool = False) -> DataFrame:
     """A3 per (tenant, match, timeline, event-time window, platform) on a stream.
 
     ``keep_doc_count`` carries the bucket's row count, which the sink needs to
-    apply the top-N limit (:func:`platform_top_n`).
+    apply the top-N limit (:func:`platform_top_n`).  ``watermark`` is null for events that bring their own
+    (``streaming.late.drop_repeats``).
     """
     ev = _job_events(events, environment, watermark)
     agg = ev.groupBy(F.window("ts", f"{minutes} minutes").alias("w"), *_ids(),
