@@ -4,8 +4,8 @@ The vocabulary's pre-tokenizer never joins text across white space, so a text's
 white-space separated chunks in a row.  Chunks repeat, so a worker encodes a chunk once and looks it up afterwards, in a
 table of bounded size that its later tasks find again.
 
-Strings such as ``<|endoftext|>`` inside a text are ordinary text (``encode_special_tokens = True``, as the tokenizers' own
-description has it): a document cannot put a control id into the ids.
+The ids are the untouched tokenizer's with ``add_special_tokens=False``: an added token's string inside a text, such as
+``<|endoftext|>``, is that one id, found in the raw text before anything is lower-cased (``<|ENDOFTEXT|>`` is ordinary text).
 """
 
 from __future__ import annotations
@@ -42,13 +42,23 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.added = {content: struct.pack("<I", i) for content, i in added.items()}
+        self.cut = re.compile(f"({'|'.join(map(re.escape, sorted(added, key=len, reverse=True)))})") if added else None
+        self.tokenizer.encode_special_tokens = True  # texts are cut at added tokens first; what lower-casing makes is none
         self.known: dict[str, bytes] = {}
         self.missed = 0
 
     def ids(self, text: str | None, end: int) -> np.ndarray:
         """Ids of a whole text (null: none), then ``end``; unsigned 32-bit, little-endian."""
-        text = _STOP.sub(r" \g<0>", text or "")
+        text = text or ""
+        parts = self.cut.split(text) if any(a in text for a in self.added) else [text]
+        ids = b"".join([self.added[p] if n % 2 else self._plain(p) for n, p in enumerate(parts)])
+        return np.frombuffer(ids + struct.pack("<I", end), "<u4")
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
+        text = _STOP.sub(r" \g<0>", text)
         if text.isascii():  # the vocabulary lower-cases after composing characters, which ASCII has none of
             text = text.lower()
         chunks = [c for c in _SPACE.split(text) if c] if _SEPARATORS.search(text) else text.split()
@@ -56,7 +66,7 @@ class WordEncoder:
         if new := list(set(chunks).difference(known)):
             found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
             known.update((c, struct.pack(f"<{len(e)}I", *e.ids)) for c, e in zip(new, found, strict=True))
-        ids = b"".join([*map(known.__getitem__, chunks), struct.pack("<I", end)])
+        ids = b"".join(map(known.__getitem__, chunks))
         # the table keeps what it met first, so mostly frequent chunks; where too much is missing from it, it begins anew
         full = len(known) > CACHE_CHUNKS
         for c in new:
@@ -67,4 +77,4 @@ class WordEncoder:
             if self.missed > RENEW * CACHE_CHUNKS:
                 known.clear()
                 self.missed = 0
-        return np.frombuffer(ids, "<u4")
+        return ids

@@ -22,12 +22,18 @@ def texts(n, seed=3):
     return ["", " ", "\x1c", *("".join(r.choice(ALPHABET) for _ in range(r.randrange(60))) for _ in range(n)), "word " * 30_000]
 
 
+def added_texts():
+    """Strings of added tokens at word ends, in a row, in capitals, inside words and next to points."""
+    r = random.Random(4)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>", "x", "Y.", " ", ".", "İ", "don't", "<|"]
+    return ["x<|endoftext|>y", *("".join(r.choice(parts) for _ in range(r.randrange(1, 12))) for _ in range(400))]
+
+
 def test_word_encoder_equals_tokenizer():
     from tokenizers import Tokenizer
     path = PT.path("word_bpe_49k.json")
     own, ref = WordEncoder(path), Tokenizer.from_file(path)
-    ref.encode_special_tokens = True
-    for t in texts(800):
+    for t in texts(800) + added_texts():
         assert own.ids(t, 1).tolist() == [*ref.encode(t, add_special_tokens=False).ids, 1]
     assert own.ids(None, 1).tolist() == [1]
 
