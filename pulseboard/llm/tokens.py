@@ -37,6 +37,20 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
+class Chunks(dict):
+    """Ids of chunks; one that is looked up and not there is encoded, kept and noted in ``new``."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.encode, self.new = tokenizer.encode_batch_fast, []
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.encode([chunk], add_special_tokens=False)[0].ids
+        self[chunk] = found = struct.pack(f"<{len(ids)}I", *ids)
+        self.new.append(chunk)
+        return found
+
+
 class WordEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,7 +60,7 @@ class WordEncoder:
         self.added = {content: struct.pack("<I", i) for content, i in added.items()}
         self.cut = re.compile(f"({'|'.join(map(re.escape, sorted(added, key=len, reverse=True)))})") if added else None
         self.tokenizer.encode_special_tokens = True  # texts are cut at added tokens first; what lower-casing makes is none
-        self.known: dict[str, bytes] = {}
+        self.known = Chunks(self.tokenizer)
         self.missed = 0
 
     def ids(self, text: str | None, end: int) -> np.ndarray:
@@ -62,12 +76,9 @@ class WordEncoder:
         if text.isascii():  # the vocabulary lower-cases after composing characters, which ASCII has none of
             text = text.lower()
         chunks = [c for c in _SPACE.split(text) if c] if _SEPARATORS.search(text) else text.split()
-        known = self.known
-        if new := list(set(chunks).difference(known)):
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            known.update((c, struct.pack(f"<{len(e)}I", *e.ids)) for c, e in zip(new, found, strict=True))
-        ids = b"".join(map(known.__getitem__, chunks))
+        ids = b"".join(map(self.known.__getitem__, chunks))
         # the table keeps what it met first, so mostly frequent chunks; where too much is missing from it, it begins anew
+        known, new = self.known, self.known.new
         full = len(known) > CACHE_CHUNKS
         for c in new:
             if full or len(c) > CACHE_CHARS:
@@ -77,4 +88,5 @@ class WordEncoder:
             if self.missed > RENEW * CACHE_CHUNKS:
                 known.clear()
                 self.missed = 0
+        new.clear()
         return ids
