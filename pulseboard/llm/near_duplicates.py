@@ -1,12 +1,14 @@
 """N-gram Jaccard join: a MinHash LSH forest finds candidates, exact comparison decides.
 
 Every text becomes the set of its hashed five-word shingles.  Texts with equal sets are one node from there on.  Each of ``TREES`` tries
-orders the nodes by its own sequence of minhash values; the matched prefix is shortened from ``DEPTH`` until a pair at the threshold
-shares one in some trie with at least the target probability.  The threshold and the target are fixed, so this level is the same for
-every node, and whatever meets on a deeper level meets on this one too: only its keys are made.  Nodes under one prefix are chained to the least of them (linear in the
-prefix's size, never all pairs), and the components of these chains are candidate clusters.
-
-Within a cluster every pair is compared, in units of two blocks of bounded size: a unit counts shingles that its texts share by a
+orders the nodes by its own sequence of minhash values.  Nodes under one prefix of a trie are candidates, and matched prefixes are
+shortened from ``DEPTH`` values until a pair at the threshold shares one in some trie with at least the target probability (``prefix_length``).
+
+Where a node first matches on the way down says where it is compared: its home is the least node under its deepest shared
+prefix, so near copies, which share long prefixes, have one home, and a chance match of short prefixes moves nobody.  Nodes of a
+home are dealt into blocks of bounded size.  Two blocks meet only if a prefix of the last level holds nodes of both, and only these
+nodes go there.  So each pair is compared in one place, and what is compared is bounded by the prefix groups, not by
+what chains of chance matches connect.  A unit counts shingles that its texts share by a
 matrix product, adds up each text's links, and returns a spanning forest of them - one row per text and unit, not per pair.
 """
 
@@ -29,6 +31,8 @@ from pulseboard.llm.components import connected_components
 SHINGLE = 5
 THRESHOLD = 0.8
 HASHES, TREES, DEPTH = 128, 48, 16
+#: Values that a shortening step takes off a matched prefix.
+STEP = 3
 RECALL = 0.999
 #: Nodes of a block; a unit compares two blocks in one task.
 BLOCK = 256
@@ -80,12 +84,12 @@ class Shingler:
 class Forest:
     """Minhash values of a set, and the keys of its prefixes in every trie."""
 
-    def __init__(self, prefix: int, seed: int = 20):
+    def __init__(self, seed: int = 20):
         r = np.random.RandomState(seed)
         self.a = (r.randint(0, 1 << 32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
         self.b = r.randint(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
-        self.order = np.stack([r.permutation(HASHES)[:prefix] for _ in range(TREES)])
-        self.mix = r.randint(0, 1 << 63, (TREES, prefix), dtype=np.uint64) | np.uint64(1)
+        self.order = np.stack([r.permutation(HASHES)[:DEPTH] for _ in range(TREES)])
+        self.mix = r.randint(0, 1 << 63, (TREES, DEPTH), dtype=np.uint64) | np.uint64(1)
         self.salt = r.randint(0, 1 << 63, TREES, dtype=np.uint64)
 
     def minhashes(self, shingles: np.ndarray) -> np.ndarray:
@@ -94,12 +98,59 @@ class Forest:
             low = np.minimum(low, (h[i:i + 2048, None] * self.a + self.b).min(axis=0))
         return low
 
-    def keys(self, shingles: np.ndarray) -> np.ndarray:
-        k = (self.minhashes(shingles).astype(np.uint64)[self.order] * self.mix).sum(axis=1, dtype=np.uint64) + self.salt
+    def keys(self, minhashes: np.ndarray, level: int) -> np.ndarray:
+        """The key of the first ``level`` values in every trie; keys of different levels differ."""
+        order, mix = self.order[:, :level], self.mix[:, :level]
+        k = (minhashes.astype(np.uint64)[order] * mix).sum(axis=1, dtype=np.uint64) + self.salt * np.uint64(2 * level + 1)
         k ^= k >> np.uint64(31)
         return ((k * np.uint64(0x9E3779B97F4A7C15)) ^ self.salt).view(np.int64)
 
 
+def shortened(prefix: int, depth: int = DEPTH, step: int = STEP) -> list[int]:
+    """The levels from the deepest down to, and without, the last one (only the last one, if it is the deepest)."""
+    return list(range(depth, prefix, -step)) or [prefix]
+
+
+def _prefix_keys(nodes: DataFrame, levels: list[int]) -> DataFrame:
+    """(node, level, prefix): the keys of nodes (with their ``minhashes``) in every trie on each of the levels."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1024):
+                part = batch.slice(i, 1024)
+                ids = np.repeat(part.column("node").to_numpy(), len(levels) * TREES)
+                found = [forest.keys(np.frombuffer(m, np.uint32), n) for m in part.column("minhashes").to_pylist() for n in levels]
+                each = np.tile(np.repeat(np.array(levels, np.int32), TREES), part.num_rows)
+                yield pa.record_batch([pa.array(ids), pa.array(each), pa.array(np.concatenate(found))], names=["node", "level", "prefix"])
+
+    return nodes.select("node", "minhashes").mapInArrow(keys, "node long, level int, prefix long")
+
+
+def candidate_blocks(nodes: DataFrame, prefix: int) -> DataFrame:
+    """(node, block, other): every node that shares a prefix of the last level, its block, and each block that it meets (its own one
+    too).  ``nodes``: node, minhashes.  Two nodes that share a prefix are in one block or are both sent to the other's."""
+    under = stored(_prefix_keys(nodes, [prefix]).select("node", "prefix"), "prefixes")
+    crowded = under.groupBy("prefix").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("prefix", "first")
+    # a node twice under one prefix (two tries with equal keys) does no harm: the pair is compared once anyway
+    matched = stored(under.join(crowded, "prefix").select("node", "prefix", "first"), "matched")
+    last = matched.groupBy("node").agg(F.min("first").alias("first"))
+    deep = _prefix_keys(nodes.join(last.select("node"), "node", "left_semi"), shortened(prefix))
+    deep = stored(deep, "deep-prefixes")
+    shared = deep.groupBy("level", "prefix").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    longer = deep.join(shared, ["level", "prefix"]).select("node", "level", "first")
+    homes = longer.unionByName(last.withColumn("level", F.lit(prefix))).groupBy("node").agg(F.min(F.struct((-F.col("level")).alias("l"), "first")).alias("h"))
+    homes = homes.select("node", F.col("h.first").alias("home"))
+    sizes = homes.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    placed = homes.join(sizes, "home").select("node", F.xxhash64("home", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block"))
+    placed = stored(placed, "blocks")
+    at = matched.select("node", "prefix").join(placed, "node")
+    mixed = at.groupBy("prefix").agg(F.min("block").alias("x"), F.max("block").alias("y")).where("x != y").select("prefix")
+    at = at.join(mixed, "prefix")
+    meets = at.join(at.select("prefix", F.col("block").alias("other")).distinct(), "prefix").select("node", "block", "other").where("block != other")
+    return placed.withColumn("other", F.col("block")).unionByName(meets.distinct())
+
+
 def compare(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray | None, threshold: Fraction) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(linked texts, linked documents, index of the component's first text) per set; with ``side``, only pairs across it."""
     n = np.array([len(s) for s in sets], np.int64)
@@ -142,7 +193,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     and are classes of their own (class_id is their doc_id).  Null ids are allowed; a class of null ids alone has
     a null class_id.  Repeated rows are copies.  An empty table gives an empty result; other columns are ignored.
 
-    Only a verified link joins classes, and copies are carried as counts.  What a candidate cluster costs beyond its
+    Only a verified link joins classes, and copies are carried as counts.  What a prefix group costs beyond its
     own size is comparing its texts, spread over units of at most about two blocks.
     """
     return classes(docs, doc_id, text, threshold).select(*JOINED)
@@ -157,37 +208,27 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     id_type = source.schema["doc_id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, forest = Shingler(), Forest(prefix)
+        shingles, forest = Shingler(), Forest()
         for batch in batches:
-            keys, trees = [], []
+            keys, low = [], []
             for t in values(batch, "text"):
                 s = shingles(t)
                 keys.append(blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                trees.append(forest.keys(s) if len(s) else None)
-            yield pa.record_batch([batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.binary()), pa.array(trees, pa.list_(pa.int64()))],
-                                  names=["doc_id", "text_hash", "set_key", "trees"])
+                low.append(forest.minhashes(s).tobytes() if len(s) else None)
+            yield pa.record_batch([batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.binary()), pa.array(low, pa.binary())],
+                                  names=["doc_id", "text_hash", "set_key", "minhashes"])
 
-    signed = stored(source.mapInArrow(sign, f"doc_id {id_type}, text_hash long, set_key binary, trees array<long>"), "signatures")
+    signed = stored(source.mapInArrow(sign, f"doc_id {id_type}, text_hash long, set_key binary, minhashes binary"), "signatures")
     nodes = signed.where("set_key IS NOT NULL").groupBy("set_key").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")).alias("least"), F.count(F.lit(1)).alias("copies"), F.any_value("trees").alias("trees"))
-    nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "set_key", "least.doc_id", "least.text_hash", "copies", "least", "trees"), "nodes")
+        F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")).alias("least"), F.count(F.lit(1)).alias("copies"), F.any_value("minhashes").alias("minhashes"))
+    nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "set_key", "least.doc_id", "least.text_hash", "copies", "least", "minhashes"), "nodes")
 
-    # chains: each node of a prefix to the prefix's least node; of a node's several least nodes, all to the least of them, so that
-    # near copies, which share many prefixes, give about an edge each and not one per trie
-    under = nodes.select("node", F.explode_outer("trees").alias("prefix"))
-    crowded = under.groupBy("prefix").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("prefix", "first")
-    firsts = under.join(crowded, "prefix").groupBy("node").agg(F.collect_set("first").alias("firsts"))
-    chains = firsts.select(F.explode(F.array_union("firsts", F.array("node"))).alias("a"), F.array_min("firsts").alias("b")).where("a != b").distinct()
-    clusters = connected_components(chains).withColumnRenamed("label", "cluster")
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    asked = clusters.join(sizes, "cluster").join(nodes.select("node", "doc_id", "text_hash", "copies"), "node")
-    asked = stored(asked.select("node", "cluster", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
-                                F.col("doc_id").alias("rep_id"), F.col("text_hash").alias("rep_hash"), "copies"), "candidates")
+    asked = candidate_blocks(nodes, prefix).join(nodes.select("node", "doc_id", "text_hash", "copies"), "node")
+    asked = stored(asked.select("node", "block", "other", F.col("doc_id").alias("rep_id"), F.col("text_hash").alias("rep_hash"), "copies"), "candidates")
     wanted = F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked
     texts = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_hash") == F.col("rep_hash")))
-    texts = texts.withColumn("other", F.explode_outer(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    units = texts.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "copies", "text")
-    units = units.repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi", "node")
+    units = texts.select(F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "copies", "text")
+    units = units.repartition("lo", "hi").sortWithinPartitions("lo", "hi", "node")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, unit, rows = Shingler(), None, {}
@@ -201,17 +242,17 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
                 return []
             ids = np.array(list(rows))
             sets, blocks, copies = zip(*rows.values(), strict=True)
-            side = None if unit[1] == unit[2] else np.array(blocks)
+            side = None if unit[0] == unit[1] else np.array(blocks)
             texts_, docs_, first = compare(list(sets), np.array(copies), side, fraction)
             at = np.flatnonzero(texts_)
             return list(zip(ids[at].tolist(), ids[first[at]].tolist(), texts_[at].tolist(), docs_[at].tolist(), strict=True))
 
         for batch in batches:
             out = []
-            for cluster, lo, hi, block, node, copies, t in values(batch, "cluster", "lo", "hi", "block", "node", "copies", "text"):
-                if (cluster, lo, hi) != unit:
+            for lo, hi, block, node, copies, t in values(batch, "lo", "hi", "block", "node", "copies", "text"):
+                if (lo, hi) != unit:
                     out += done()
-                    unit, rows = (cluster, lo, hi), {}
+                    unit, rows = (lo, hi), {}
                 if node not in rows:  # a repeated row brings its text twice
                     rows[node] = (shingles(t), block, copies)
             yield table(out)

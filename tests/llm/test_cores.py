@@ -135,19 +135,22 @@ def test_compare_counts_links_and_components():
 
 def test_forest_recall_at_the_threshold():
     assert 1 - (1 - 0.8 ** N.prefix_length()) ** N.TREES >= N.RECALL
-    r, forest = np.random.RandomState(0), N.Forest(N.prefix_length())
+    r, forest, level = np.random.RandomState(0), N.Forest(), N.prefix_length()
     hits = 0
     for _ in range(300):
         both = r.randint(0, 1 << 62, 400).astype(np.uint64) * np.uint64(3)
         a, b = both[:360], np.concatenate([both[40:360], both[360:]])  # 320 of 400 shared
-        hits += bool((forest.keys(np.unique(a)) == forest.keys(np.unique(b))).any())
+        x, y = forest.minhashes(np.unique(a)), forest.minhashes(np.unique(b))
+        hits += bool((forest.keys(x, level) == forest.keys(y, level)).any())
+        for longer, shorter in ((16, 13), (13, 10), (10, level)):  # what meets on a level meets on those above
+            assert (~(forest.keys(x, longer) == forest.keys(y, longer)) | (forest.keys(x, shorter) == forest.keys(y, shorter))).all()
     assert hits >= 295
 
 
 def test_forest_recall_with_shared_minhashes():
     k = N.prefix_length()
     assert N.forest_recall(N.THRESHOLD, k) >= N.RECALL > N.forest_recall(N.THRESHOLD, k + 1)
-    r, order = np.random.RandomState(1), N.Forest(k).order
+    r, order = np.random.RandomState(1), N.Forest().order[:, :k]
     agree = r.random_sample((100_000, N.HASHES)) < N.THRESHOLD  # minhashes of pairs at the threshold, under the forest's own draws
     missed = np.ones(len(agree), bool)
     for trie in order:

@@ -1,6 +1,7 @@
 """Each operator on awkward tables: nulls, empty and very long texts, ties, repeated rows, no rows, clashing columns."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -97,6 +98,38 @@ def test_jaccard_join(spark, docs):
     assert near_duplicates.one_per_class(table.limit(0)).count() == 0
 
 
+def test_candidates_are_bounded_by_prefix_groups(spark):
+    """A chain of texts, each near the next one only: blocks meet where a prefix is shared, not wherever the chain leads."""
+    r, links, size = random.Random(4), 40, 60
+    pool = [f"w{i}" for i in range(9000)]
+    r.shuffle(pool)
+    step = 6  # of 60 words, neighbours share 54; two steps apart they are below the threshold
+    texts = [" ".join(pool[i * step:i * step + size]) for i in range(links)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, " ".join([f"x{i}", *pool[5000:5200]])) for i in range(30)]
+    shingles, forest, prefix = near_duplicates.Shingler(), near_duplicates.Forest(), near_duplicates.prefix_length()
+    low = {i: forest.minhashes(shingles(t)) for i, t in rows}
+    nodes = spark.createDataFrame([(i, m.tobytes()) for i, m in low.items()], "node long, minhashes binary")
+    old = near_duplicates.BLOCK
+    try:
+        near_duplicates.BLOCK = 4
+        got = [tuple(x) for x in near_duplicates.candidate_blocks(nodes, prefix).collect()]
+    finally:
+        near_duplicates.BLOCK = old
+    assert len(got) == len(set(got))
+    block = {n: b for n, b, _ in got}
+    sent = {(n, frozenset((b, o))) for n, b, o in got}
+    keys = {n: forest.keys(m, prefix) for n, m in low.items()}
+    share = lambda a, b: bool((keys[a] == keys[b]).any())
+    for a in block:
+        for b in block:
+            if a < b and share(a, b):
+                unit = frozenset((block[a], block[b]))
+                assert (a, unit) in sent and (b, unit) in sent
+    for n, b, o in got:  # a node is sent to another block only for a node there that it shares a prefix with
+        assert b == o or any(share(n, m) for m in block if block[m] == o)
+    assert set(block) == {a for a in low if any(share(a, b) for b in low if a != b)}
+
+
 def test_one_per_class_with_shared_ids(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
     def kept(rows):
