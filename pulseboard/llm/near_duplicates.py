@@ -4,9 +4,9 @@ Every text becomes the set of its hashed five-word shingles.  Texts with equal s
 orders the nodes by its own sequence of minhash values.  Nodes under one prefix of a trie are candidates, and matched prefixes are
 shortened from ``DEPTH`` values until a pair at the threshold shares one in some trie with at least the target probability (``prefix_length``).
 
-Where a node first matches on the way down says where it is compared: its home is the least node under its deepest shared
-prefix, so near copies, which share long prefixes, have one home, and a chance match of short prefixes moves nobody.  Nodes of a
-home are dealt into blocks of bounded size.  Two blocks meet only if a prefix of the last level holds nodes of both, and only these
+Where a node first matches says where it is compared.  Nodes that share whole prefixes (``DEPTH`` values) are chained, and such a
+chain is one home, so many near copies have one; any other node goes to the home of the least node under its deepest shared prefix, and nobody
+follows it there, so chance matches of short prefixes connect nothing.  Nodes of a home are dealt into blocks of bounded size.  Two blocks meet only if a prefix of the last level holds nodes of both, and only these
 nodes go there.  So each pair is compared in one place, and what is compared is bounded by the prefix groups, not by
 what chains of chance matches connect.  A unit counts shingles that its texts share by a
 matrix product, adds up each text's links, and returns a spanning forest of them - one row per text and unit, not per pair.
@@ -34,8 +34,8 @@ HASHES, TREES, DEPTH = 128, 48, 16
 #: Values that a shortening step takes off a matched prefix.
 STEP = 3
 RECALL = 0.999
-#: Nodes of a block; a unit compares two blocks in one task.
-BLOCK = 256
+#: Nodes and shingles of a block, about; a unit compares two blocks in one task (some 50 MB of arrays).
+BLOCK, BLOCK_SHINGLES = 1024, 500_000
 #: Rows up to which node lists are sent to every task to fetch their texts (under 100 bytes each); beyond, texts are shuffled.
 BROADCAST_ROWS = 500_000
 _WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -129,7 +129,7 @@ def _prefix_keys(nodes: DataFrame, levels: list[int]) -> DataFrame:
 
 def candidate_blocks(nodes: DataFrame, prefix: int) -> DataFrame:
     """(node, block, other): every node that shares a prefix of the last level, its block, and each block that it meets (its own one
-    too).  ``nodes``: node, minhashes.  Two nodes that share a prefix are in one block or are both sent to the other's."""
+    too).  ``nodes``: node, minhashes, shingles.  Two nodes that share a prefix are in one block or are both sent to the other's."""
     under = stored(_prefix_keys(nodes, [prefix]).select("node", "prefix"), "prefixes")
     crowded = under.groupBy("prefix").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("prefix", "first")
     # a node twice under one prefix (two tries with equal keys) does no harm: the pair is compared once anyway
@@ -138,46 +138,63 @@ def candidate_blocks(nodes: DataFrame, prefix: int) -> DataFrame:
     deep = _prefix_keys(nodes.join(last.select("node"), "node", "left_semi"), shortened(prefix))
     deep = stored(deep, "deep-prefixes")
     shared = deep.groupBy("level", "prefix").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    longer = deep.join(shared, ["level", "prefix"]).select("node", "level", "first")
-    homes = longer.unionByName(last.withColumn("level", F.lit(prefix))).groupBy("node").agg(F.min(F.struct((-F.col("level")).alias("l"), "first")).alias("h"))
-    homes = homes.select("node", F.col("h.first").alias("home"))
-    sizes = homes.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    longer = stored(deep.join(shared, ["level", "prefix"]).select("node", "level", "first").distinct(), "longer")
+    deepest = longer.unionByName(last.withColumn("level", F.lit(prefix))).groupBy("node").agg(F.min(F.struct((-F.col("level")).alias("l"), "first")).alias("h"))
+    # of a node's several least nodes, all to the least of them: about an edge each and not one per trie
+    firsts = longer.where(F.col("level") == shortened(prefix)[0]).groupBy("node").agg(F.collect_set("first").alias("firsts"))
+    chains = firsts.select(F.explode(F.array_union("firsts", F.array("node"))).alias("a"), F.array_min("firsts").alias("b")).where("a != b").distinct()
+    chained = connected_components(chains)
+    homes = deepest.select("node", F.col("h.first").alias("first")).join(chained.withColumnRenamed("node", "first"), "first", "left")
+    homes = homes.select("node", F.coalesce("label", "first").alias("home"))
+    homes = stored(homes.join(nodes.select("node", "shingles"), "node"), "homes")
+    sizes = homes.groupBy("home").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).alias("blocks"))
     placed = homes.join(sizes, "home").select("node", F.xxhash64("home", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block"))
     placed = stored(placed, "blocks")
     at = matched.select("node", "prefix").join(placed, "node")
-    mixed = at.groupBy("prefix").agg(F.min("block").alias("x"), F.max("block").alias("y")).where("x != y").select("prefix")
-    at = at.join(mixed, "prefix")
-    meets = at.join(at.select("prefix", F.col("block").alias("other")).distinct(), "prefix").select("node", "block", "other").where("block != other")
+    # prefixes of near copies hold the same blocks: a node meets each distinct set of blocks once, not once per trie
+    held = stored(at.select("prefix", "block").distinct(), "held")
+    name = [F.bit_xor(F.xxhash64("block")).alias("x"), F.bit_xor(F.xxhash64("block", F.lit(1))).alias("y")]
+    mixed = held.groupBy("prefix").agg(*name, F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    others = held.join(mixed, "prefix").select("x", "y", F.col("block").alias("other")).distinct()
+    meets = at.join(mixed, "prefix").select("node", "block", "x", "y").distinct().join(others, ["x", "y"])
+    meets = meets.select("node", "block", "other").where("block != other")
     return placed.withColumn("other", F.col("block")).unionByName(meets.distinct())
 
 
 def compare(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray | None, threshold: Fraction) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(linked texts, linked documents, index of the component's first text) per set; with ``side``, only pairs across it."""
-    n = np.array([len(s) for s in sets], np.int64)
+    """(linked texts, linked documents, index of the component's first text) per set; with ``side`` (two values), only pairs across it."""
+    total, n = len(sets), np.array([len(s) for s in sets], np.int64)
+    left = np.ones(total, bool) if side is None else side == side[0]
+    a, b = np.flatnonzero(left), np.arange(total) if side is None else np.flatnonzero(~left)
     _, column, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(sets)), n)
+    row = np.repeat(np.arange(total), n)
     shared = df[column] > 1
     row, (used, column) = row[shared], np.unique(column[shared], return_inverse=True)
     by = np.argsort(column, kind="stable")
     row, column = row[by], column[by]
-    both = np.zeros((len(sets), len(sets)), np.float32)
-    step = 4096
+    both, step = np.zeros((len(a), len(b)), np.float32), 2048
     for c in range(0, len(used), step):
         lo, hi = np.searchsorted(column, (c, c + step))
-        m = np.zeros((len(sets), min(step, len(used) - c)), np.float32)
+        m = np.zeros((total, min(step, len(used) - c)), np.float32)
         m[row[lo:hi], column[lo:hi] - c] = 1
-        both += m @ m.T
+        both += m @ m.T if side is None else m[a] @ m[b].T
     p, q = threshold.numerator, threshold.denominator
-    linked = both.astype(np.int64) * (p + q) >= p * (n[:, None] + n)
-    np.fill_diagonal(linked, False)
-    if side is not None:
-        linked &= side[:, None] != side
-    first = np.arange(len(sets))
+    linked = np.zeros(both.shape, bool)
+    for i in range(0, len(a), 256):
+        linked[i:i + 256] = both[i:i + 256].astype(np.int64) * (p + q) >= p * (n[a[i:i + 256], None] + n[b])
+    if side is None:
+        np.fill_diagonal(linked, False)
+    texts, documents = np.zeros(total, np.int64), np.zeros(total, np.int64)
+    texts[b], documents[b] = linked.sum(axis=0), copies[a] @ linked
+    texts[a], documents[a] = linked.sum(axis=1), linked @ copies[b]
+    first = np.arange(total)
     while True:
-        least = np.minimum(first, np.where(linked, first, len(sets)).min(axis=1, initial=len(sets)))
+        least = first.copy()
+        least[b] = np.minimum(first[b], np.where(linked, first[a][:, None], total).min(axis=0, initial=total))
+        least[a] = np.minimum(least[a], np.where(linked, first[b], total).min(axis=1, initial=total))
         least = least[least]
         if (least == first).all():
-            return linked.sum(axis=1), linked @ copies, first
+            return texts, documents, first
         first = least
 
 
@@ -210,18 +227,19 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, forest = Shingler(), Forest()
         for batch in batches:
-            keys, low = [], []
+            keys, low, sizes = [], [], []
             for t in values(batch, "text"):
                 s = shingles(t)
                 keys.append(blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                sizes.append(len(s))
                 low.append(forest.minhashes(s).tobytes() if len(s) else None)
-            yield pa.record_batch([batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.binary()), pa.array(low, pa.binary())],
-                                  names=["doc_id", "text_hash", "set_key", "minhashes"])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.binary()), pa.array(low, pa.binary()), pa.array(sizes, pa.int64())],
+                                  names=["doc_id", "text_hash", "set_key", "minhashes", "shingles"])
 
-    signed = stored(source.mapInArrow(sign, f"doc_id {id_type}, text_hash long, set_key binary, minhashes binary"), "signatures")
+    signed = stored(source.mapInArrow(sign, f"doc_id {id_type}, text_hash long, set_key binary, minhashes binary, shingles long"), "signatures")
     nodes = signed.where("set_key IS NOT NULL").groupBy("set_key").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")).alias("least"), F.count(F.lit(1)).alias("copies"), F.any_value("minhashes").alias("minhashes"))
-    nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "set_key", "least.doc_id", "least.text_hash", "copies", "least", "minhashes"), "nodes")
+        F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")).alias("least"), F.count(F.lit(1)).alias("copies"), F.any_value("minhashes").alias("minhashes"), F.any_value("shingles").alias("shingles"))
+    nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "set_key", "least.doc_id", "least.text_hash", "copies", "least", "minhashes", "shingles"), "nodes")
 
     asked = candidate_blocks(nodes, prefix).join(nodes.select("node", "doc_id", "text_hash", "copies"), "node")
     asked = stored(asked.select("node", "block", "other", F.col("doc_id").alias("rep_id"), F.col("text_hash").alias("rep_hash"), "copies"), "candidates")

@@ -108,7 +108,7 @@ def test_candidates_are_bounded_by_prefix_groups(spark):
     rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, " ".join([f"x{i}", *pool[5000:5200]])) for i in range(30)]
     shingles, forest, prefix = near_duplicates.Shingler(), near_duplicates.Forest(), near_duplicates.prefix_length()
     low = {i: forest.minhashes(shingles(t)) for i, t in rows}
-    nodes = spark.createDataFrame([(i, m.tobytes()) for i, m in low.items()], "node long, minhashes binary")
+    nodes = spark.createDataFrame([(i, m.tobytes(), 100) for i, m in low.items()], "node long, minhashes binary, shingles long")
     old = near_duplicates.BLOCK
     try:
         near_duplicates.BLOCK = 4
