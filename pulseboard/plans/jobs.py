@@ -8,14 +8,16 @@ the events, and every metric aggregates all jobs in one plan.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseboard.operators.context import EVENT_PAYLOAD
 from pulseboard.operators.predicates import to_utc, ts_lit
 from pulseboard.schema import CONTEXT, JOB_SCHEMA
+from pulseboard.session import ensure_checkpoint_dir
 
 # Job message defaults and error texts.
 JOB_VERSION = 1
@@ -215,7 +217,11 @@ def _cell(micros: Column) -> Column:
     return F.call_function("shiftright", micros, F.col("_level"))
 
 
-def jobs_join_events(jobs: DataFrame, events: DataFrame, *, environment: str | None, slices: int = 16) -> DataFrame:
+EVENT_IDS = {"tenant_id": "tenantId", "timeline_id": "timelineId", "media_content_id": "matchId"}
+
+
+def jobs_join_events(jobs: DataFrame, events: DataFrame, *, environment: str | None, slices: int = 16,
+                     counts: dict[str, Column] | None = None) -> DataFrame:
     """Attach every event to each job it belongs to (tenant, match, timeline equal and
     ``intervalFrom <= ts < intervalTo``); overlapping jobs each get the event, repeated jobs count once.
 
@@ -225,6 +231,10 @@ def jobs_join_events(jobs: DataFrame, events: DataFrame, *, environment: str | N
     whose events share one cell is joined by that many tasks.  Nothing is counted beforehand; whether the job list is
     broadcast is left to the optimizer's size estimate.
 
+    With ``counts`` (name -> condition on an event) the joined rows are not made: each job that has an event comes
+    once, with the number of its events that meet each condition (``count_in_jobs``).  Where jobs overlap, the rows
+    grow with the product of jobs and events and the counts do not.
+
     ``environment`` is the deployment's own (null: events of all).  Events without time or ids belong to no job.
     """
     cond = F.col("ts").isNotNull()
@@ -232,18 +242,53 @@ def jobs_join_events(jobs: DataFrame, events: DataFrame, *, environment: str | N
         cond = cond & (F.col("environment") == F.lit(environment))
     ev = events.where(cond & F.col("tenant_id").isNotNull() & F.col("timeline_id").isNotNull()
                       & F.col("media_content_id").isNotNull())
+    if counts is not None:
+        return count_in_jobs(jobs.select(*CONTEXT).distinct(), ev, counts)
     j = job_cells(jobs.select(*CONTEXT).distinct(), slices)
     levels = j.agg(F.collect_set("_level")).scalar()  # a handful of numbers, whatever the length of the list
     ev = (ev.withColumn("_level", F.explode(levels))
           .withColumns({"_cell": _cell(F.unix_micros("ts")),
                         "_slice": F.pmod(F.xxhash64("ts", "event_id"), F.lit(slices)).cast("int")}))
-    on = [ev[e] == j[k] for e, k in (("tenant_id", "tenantId"), ("timeline_id", "timelineId"),
-                                     ("media_content_id", "matchId"))]
+    on = [ev[e] == j[k] for e, k in EVENT_IDS.items()]
     on += [ev[c] == j[c] for c in ("_level", "_cell", "_slice")]
     on += [ev["ts"] >= j["intervalFrom"], ev["ts"] < j["intervalTo"]]
     return ev.join(j, on, "inner").select(*CONTEXT, *[ev[c] for c in EVENT_PAYLOAD if c in events.columns])
 
 
+def count_in_jobs(jobs: DataFrame, events: DataFrame, counts: dict[str, Column]) -> DataFrame:
+    """CONTEXT and the ``counts`` of each job (distinct) with at least one of ``events`` (with time and ids).
+
+    A job's count is the number of events before its end less the number before its start, both in the order of
+    (ids, time).  Events and job ends are combined into one row per ids and time and dealt by range, so a hot
+    timeline or hour is many partitions; running sums inside a partition start from the totals of those before it."""
+    ids, names = list(EVENT_IDS.values()), [f"_n{i}" for i in range(len(counts) + 1)]
+    j = jobs.where(F.col("intervalFrom") < F.col("intervalTo")).dropna(subset=ids)
+    met = [F.lit(True), *counts.values()]  # the first counts all
+    at = events.select(*[F.col(e).alias(k) for e, k in EVENT_IDS.items()], F.col("ts").alias("_at"),
+                       *[F.when(c, 1).otherwise(0).alias(n) for n, c in zip(names, met, strict=True)], F.lit(False).alias("_end"))
+    ends = j.select(*ids, F.explode(F.array("intervalFrom", "intervalTo")).alias("_at"), *[F.lit(0).alias(n) for n in names],
+                    F.lit(True).alias("_end"))
+    points = at.unionByName(ends).groupBy(*ids, "_at").agg(*[F.sum(n).alias(n) for n in names], F.max("_end").alias("_end"))
+    points = points.repartitionByRange(*ids, "_at").withColumn("_part", F.spark_partition_id())
+    spark = points.sparkSession  # written once: the range borders are drawn anew each time they are computed
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/job-points-{uuid.uuid4().hex}"
+    points.write.parquet(path)
+    points = spark.read.schema(points.schema).parquet(path)
+
+    def before(w) -> list[Column]:
+        return [F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(n) for n in names]
+
+    totals = points.groupBy("_part").agg(*[F.sum(n).alias(n) for n in names])  # a row per partition
+    offsets = totals.select(F.col("_part").alias("_p"), *[c.alias(f"_o{n}") for n, c in zip(names, before(Window.orderBy("_part")), strict=True)])
+    running = points.select(*ids, "_at", "_end", "_part", *before(Window.partitionBy("_part").orderBy(*ids, "_at"))).where("_end")
+    running = running.join(F.broadcast(offsets), F.col("_part") == F.col("_p")).select(
+        *ids, "_at", *[(F.col(n) + F.col(f"_o{n}")).alias(n) for n in names])
+    first = running.select(*ids, F.col("_at").alias("intervalFrom"), *[F.col(n).alias(f"_f{n}") for n in names])
+    last = running.select(*ids, F.col("_at").alias("intervalTo"), *names)
+    found = j.join(first, [*ids, "intervalFrom"]).join(last, [*ids, "intervalTo"]).where(F.col(names[0]) > F.col(f"_f{names[0]}"))
+    return found.select(*CONTEXT, *[(F.col(n) - F.col(f"_f{n}")).alias(c) for c, n in zip(counts, names[1:], strict=True)])
+
+
 # ------------------------------------------------------------------ J4
 def zero_fill_latency(jobs: DataFrame, latency_flat: DataFrame) -> DataFrame:
     """Exactly one latency row per job: jobs without events get all-zero values."""

@@ -453,9 +453,9 @@ def q_jobs_join_events_mixed(spark, sf_dir):
     after = ev.where("stage = 'sent'").select(*ids, F.col("ts").alias("intervalFrom"), F.expr(
         f"ts + make_dt_interval(0, 0, {_MIXED_MINUTES})").alias("intervalTo"))
     year = ev.groupBy(*ids).agg(F.min("ts").alias("intervalFrom")).withColumn("intervalTo", F.expr("intervalFrom + INTERVAL 366 DAY"))
-    joined = JB.jobs_join_events(after.unionByName(year), ev, environment=ENVIRONMENT)
-    return joined.groupBy("tenantId", "matchId", "timelineId", "intervalFrom", "intervalTo").agg(
-        F.count("*").alias("n_events"), F.count_if(F.col("stage") == "rendered").alias("n_rendered"))
+    return JB.jobs_join_events(after.unionByName(year), ev, environment=ENVIRONMENT, counts={
+        "n_events": F.lit(True), "n_rendered": F.col("stage") == "rendered"}).select(
+        "tenantId", "matchId", "timelineId", "intervalFrom", "intervalTo", "n_events", "n_rendered")
 
 
 @register("backfill_platform", O.with_(*_BF_CTES, O.platform_cte(src="jbase")) + f"SELECT {O.PLATFORM_COLS} FROM plat")

@@ -124,6 +124,42 @@ def test_jobs_of_any_length_equal_plain_comparison(spark):
         assert sorted((r["event_id"], r["intervalFrom"], r["intervalTo"]) for r in got.collect()) == want
 
 
+def test_counts_of_overlapping_jobs_equal_the_joined_rows(spark):
+    """Overlapping, empty, repeated and eventless jobs, null ids, events on job ends, several timelines; rows without the operator's counts
+    grow with jobs x events, the counted plan makes no joined row beyond one per job."""
+    import random
+    from datetime import timedelta
+    rng, zero = random.Random(8), datetime(2026, 5, 13)
+    ev = make_events(spark, [{"event_id": n, "ts": rng.choice([None, *[zero + timedelta(seconds=rng.randrange(3000))] * 20]), "timeline_id": rng.choice(["tl-1", "tl-2", None]),
+                              "stage": rng.choice(["rendered", "sent", None]), "environment": rng.choice(["development", "production"])} for n in range(600)])
+    jobs = [("t1", rng.choice(["m1", None]), rng.choice(["tl-1", "tl-2", "tl-3"]), a, a + timedelta(seconds=rng.choice([0, 1, 60, 5000, -5])))
+            for a in (zero + timedelta(seconds=rng.randrange(3200)) for _ in range(200))]
+    jobs = spark.createDataFrame(jobs + jobs[:9] + [("t1", "m1", "tl-1", None, zero)], JOB_DDL)
+    ids = ["tenantId", "matchId", "timelineId", "intervalFrom", "intervalTo"]
+    for environment in ("development", None):
+        want = JB.jobs_join_events(jobs, ev, environment=environment).groupBy(*ids).agg(
+            F.count("*").alias("n"), F.count_if(F.col("stage") == "rendered").alias("r"))
+        for parts in ("1", "13"):
+            before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+            try:
+                for k, v in zip(before, (parts, "false"), strict=True):
+                    spark.conf.set(k, v)
+                got = JB.jobs_join_events(jobs, ev, environment=environment, counts={"n": F.lit(True), "r": F.col("stage") == "rendered"})
+                assert sorted(map(tuple, got.select(*ids, "n", "r").collect())) == sorted(map(tuple, want.collect()))
+            finally:
+                for k, v in before.items():
+                    spark.conf.set(k, v)
+    assert want.count() > 20
+    empty = JB.jobs_join_events(jobs.limit(0), ev, environment=None, counts={"n": F.lit(True)})
+    assert empty.count() == 0 and JB.jobs_join_events(jobs, ev.limit(0), environment=None, counts={"n": F.lit(True)}).count() == 0
+
+
+def test_overlapping_jobs_are_counted_without_the_joined_rows(spark):
+    from pulseboard.queries import QUERIES
+    plan = QUERIES["jobs_join_events_mixed"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Join" in x and (">=" in x or "_cell" in x)]
+
+
 def test_a_hot_live_match_is_joined_by_many_tasks(spark):
     """All events in one job: the shuffle key holds the slice, and no task gets more than a small part."""
     ev = spark.range(16_000).selectExpr(
