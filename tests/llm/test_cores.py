@@ -48,6 +48,22 @@ def test_word_encoder_with_a_full_table(monkeypatch):
     assert [own.ids(t, 1).tolist() for t in texts(60)] == plain and len(own.known) <= 20
 
 
+def test_plain_chunks_skip_the_tokenizers_chain(monkeypatch):
+    """ASCII without the apostrophe and letters up to U+00FF go to the model alone, with the tokenizer's ids."""
+    from tokenizers import Tokenizer
+    path, r = PT.path("word_bpe_49k.json"), random.Random(6)
+    ref, own = Tokenizer.from_file(path), WordEncoder(path)
+    letters = [chr(c) for c in [*range(33, 127), *range(0xC0, 0x100)] if chr(c) not in "'×÷"]
+    chunks = [*letters, *("".join(r.choices(letters, k=r.randrange(1, 30))) for _ in range(3000)), *("".join(r.choices("aeßéÉnNtA", k=r.randrange(1, 12))) for _ in range(3000)), "a" * 5000]
+    ref.encode_special_tokens = True
+    want = [ref.encode(c, add_special_tokens=False).ids for c in chunks]
+    monkeypatch.setattr(own.known, "encode", None)
+    assert [list(struct.unpack(f"<{len(b) // 4}I", b)) for b in map(own.known.__getitem__, chunks)] == want
+    monkeypatch.undo()
+    for other in ("don't", "×", "÷", "ª", "µ", "İ", "e\u0301", "漢", "ŉ"):
+        assert list(struct.unpack(f"<{len(own.known[other]) // 4}I", own.known[other])) == ref.encode(other, add_special_tokens=False).ids and not own.known.plain(other)
+
+
 def test_counts_equal_unigram_tokenizer():
     from tokenizers import Tokenizer, models, pre_tokenizers
     vocabulary = load_vocabulary(PT.path("piece_bpe_32k.model"))
