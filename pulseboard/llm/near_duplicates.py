@@ -6,7 +6,8 @@ shortened from ``DEPTH`` values until a pair at the threshold shares one in some
 
 Where a node first matches says where it is compared.  Nodes that share whole prefixes (``DEPTH`` values) are chained, and such a
 chain is one home, so many near copies have one; any other node goes to the home of the least node under its deepest shared prefix, and nobody
-follows it there, so chance matches of short prefixes connect nothing.  Nodes of a home are dealt into blocks of bounded size.  Two blocks meet only if a prefix of the last level holds nodes of both, and only these
+follows it there, so chance matches of short prefixes connect nothing.  Then a home moves into the largest one that it shares a prefix with, so
+that few small homes are left around a large group.  Nodes of a home are dealt into blocks of bounded size.  Two blocks meet only if a prefix of the last level holds nodes of both, and only these
 nodes go there.  So each pair is compared in one place, and what is compared is bounded by the prefix groups, not by
 what chains of chance matches connect.  A unit counts shingles that its texts share by a
 matrix product, adds up each text's links, and returns a spanning forest of them - one row per text and unit, not per pair.
@@ -147,6 +148,13 @@ def candidate_blocks(nodes: DataFrame, prefix: int) -> DataFrame:
     homes = deepest.select("node", F.col("h.first").alias("first")).join(chained.withColumnRenamed("node", "first"), "first", "left")
     homes = homes.select("node", F.coalesce("label", "first").alias("home"))
     homes = stored(homes.join(nodes.select("node", "shingles"), "node"), "homes")
+    # a home moves into the largest one that it shares a prefix of the last level with, if that is larger (nobody follows it there):
+    # else each node of a large home meets all the small ones around it, every one of them a block
+    sized = homes.join(homes.groupBy("home").agg(F.count(F.lit(1)).alias("size")), "home").select("node", "home", "size")
+    met = stored(matched.select("node", "prefix").join(sized, "node").select("prefix", "home", "size").distinct(), "met")
+    largest = met.groupBy("prefix").agg(F.max(F.struct("size", "home")).alias("to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    moves = met.join(largest, "prefix").groupBy("home").agg(F.max("to").alias("to")).select("home", F.col("to.home").alias("host"))
+    homes = stored(homes.join(moves, "home", "left").select("node", F.coalesce("host", "home").alias("home"), "shingles"), "moved-homes")
     sizes = homes.groupBy("home").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).alias("blocks"))
     placed = homes.join(sizes, "home").select("node", F.xxhash64("home", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block"))
     placed = stored(placed, "blocks")

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +131,25 @@ def test_candidates_are_bounded_by_prefix_groups(spark):
     assert set(block) == {a for a in low if any(share(a, b) for b in low if a != b)}
 
 
+def test_small_homes_join_the_large_group_beside_them(spark):
+    """Near copies of one text at many distances: a node of the group's home meets few blocks, not each small home around it."""
+    r, n = random.Random(300), 300
+    texts = []
+    for _ in range(n):
+        w = [f"b{i}" for i in range(200)]
+        for _ in range(r.randrange(24)):
+            w[r.randrange(200)] = f"x{r.randrange(10**6)}"
+        texts.append(" ".join(w))
+    shingles, forest, prefix = near_duplicates.Shingler(), near_duplicates.Forest(), near_duplicates.prefix_length()
+    sets = [shingles(t) for t in texts]
+    nodes = spark.createDataFrame([(i, forest.minhashes(s).tobytes(), len(s)) for i, s in enumerate(sets)], "node long, minhashes binary, shingles long")
+    got = [tuple(x) for x in near_duplicates.candidate_blocks(nodes, prefix).collect()]
+    assert len([b for _, b, o in got if b != o]) <= n
+    links, _, first = near_duplicates.compare(sets, np.ones(n, np.int64), None, near_duplicates.Fraction(4, 5))
+    joined = near_duplicates.jaccard_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {tuple(x) for x in joined.select("doc_id", "class_id", "n_links").collect()} == {(i, int(f), int(x)) for i, (f, x) in enumerate(zip(first, links, strict=True))}
+
+
 def test_one_per_class_with_shared_ids(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
     def kept(rows):
